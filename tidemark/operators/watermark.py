@@ -36,9 +36,10 @@ class Watermark:
         return text
 
 
-def mark_text(df: DataFrame, column: str) -> Column:
+def mark_text(df: DataFrame, column: str, where: Column | None = None) -> Column:
     """Aggregate expression: the highest value of a column, rendered as text."""
-    highest = F.max(quoted(column))
+    value = quoted(column)
+    highest = F.max(value if where is None else F.when(where, value))
     if df.schema[column].dataType.simpleString() == "timestamp":
         return F.date_format(highest, _TIMESTAMP_WITH_OFFSET)
     return highest.cast("string")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from tidemark.shared import staged
 from tidemark.specs import TABLES, TableSpec
 from tidemark.warehouse import Warehouse
 
@@ -25,10 +26,13 @@ def ingest(warehouse: Warehouse, source, spec: TableSpec, refresh: bool = False)
     if not spec.is_incremental:
         return SKIPPED
     mark = warehouse.watermark(LAYER, spec.name, spec.watermark)
+    # The merge reads its source more than once; a live database could answer
+    # differently each time, so the slice is fetched once.
+    changes = staged(source.read_since(spec, mark))
     warehouse.merge(
         LAYER,
         spec.name,
-        source.read_since(spec, mark),
+        changes,
         keys=spec.ingest_keys,
         mark=spec.watermark,
     )

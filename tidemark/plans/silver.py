@@ -42,18 +42,23 @@ def refine(warehouse: Warehouse, spec: TableSpec) -> None:
     if update:
         batch = since(batch, warehouse.watermark("silver", name, mark))
 
-    if spec.rules:
-        # One evaluation feeds both sides; each read pushes its filter down.
-        rows = staged(judged(batch, spec))
-        write_quarantine(warehouse, spec, rejected(rows))
-        valid = accepted(rows)
-    else:
+    if not spec.rules:
         valid = clean(batch, spec)
+        if update:
+            warehouse.merge("silver", name, valid, keys, mark=mark, source_is_unique=True)
+        else:
+            warehouse.overwrite("silver", name, valid, keys=keys, mark=mark)
+        return
 
+    # The verdict is evaluated once; both sides of the split read the result.
+    rows = judged(batch, spec)
     if update:
-        warehouse.merge("silver", name, valid, keys, mark=mark, source_is_unique=True)
+        rows = staged(rows)
+        write_quarantine(warehouse, spec, rejected(rows))
+        warehouse.merge("silver", name, accepted(rows), keys, mark=mark, source_is_unique=True)
     else:
-        warehouse.overwrite("silver", name, valid, keys=keys, mark=mark)
+        bad = warehouse.overwrite_judged("silver", name, rows, keys=keys, mark=mark)
+        write_quarantine(warehouse, spec, bad)
 
 
 def write_quarantine(warehouse: Warehouse, spec: TableSpec, bad: DataFrame) -> None:

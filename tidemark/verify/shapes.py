@@ -103,8 +103,9 @@ FROM {lineitem}
 ORDER_REVIEWS = """
 SELECT CASE WHEN event_id % 10 = 9 THEN event_id - 1 ELSE event_id END AS review_id,
        event_id - event_id % 3 AS order_id,
-       CASE WHEN event_id % 211 = 7 THEN NULL ELSE CAST(floor(value / 80) AS INT) END
-           AS review_score,
+       CASE WHEN event_id % 211 = 7 THEN NULL
+            WHEN event_id % 101 = 1 THEN 6
+            ELSE CAST(floor(value) AS INT) % 6 END AS review_score,
        ' ' || event_type || ' ' AS review_comment_title,
        props || '  ' AS review_comment_message,
        ts AS review_creation_date,

@@ -17,14 +17,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.quality import REASON, accepted, rejected
 from tidemark.operators.upsert import SchemaMismatch, aligned, upsert
 from tidemark.operators.watermark import Watermark, mark_text, read_watermark
+from tidemark.shared import staged
 
 LAYERS = ("bronze", "silver", "quarantine", "gold")
 # Layers whose tables are unique on their key, so that no bucket can be hot.
 BUCKETED_LAYERS = ("silver", "gold")
 _ROWS = "tidemark.rows"
 _MARK = "tidemark.mark."
+_SNAPSHOT = "tidemark.snapshot"
 
 
 @dataclass(frozen=True)
@@ -95,6 +98,25 @@ class Warehouse:
             check_same_schema(df, self.read(layer, table))
         return self._publish(layer, table, df, keys, mark)
 
+    def overwrite_judged(
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        keys: Sequence[str] = (),
+        mark: str | None = None,
+    ) -> DataFrame:
+        """Replace the content with the accepted rows; returns the rejected ones.
+
+        One evaluation and one write: the snapshot holds all judged rows and
+        the published view leaves the rejected out. The filter on the verdict
+        column is pushed to the scan.
+        """
+        if self.exists(layer, table):
+            check_same_schema(accepted(rows), self.read(layer, table))
+        self._publish(layer, table, rows, keys, mark, judged=True)
+        return rejected(self.spark.table(self.name(layer, self.snapshot(layer, table))))
+
     def merge(
         self,
         layer: str,
@@ -111,18 +133,26 @@ class Warehouse:
         return self._publish(layer, table, merged, keys, mark)
 
     def _publish(
-        self, layer: str, table: str, df: DataFrame, keys: Sequence[str], mark: str | None
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        keys: Sequence[str],
+        mark: str | None,
+        judged: bool = False,
     ) -> Published:
         snapshot = f"{table}__{uuid.uuid4().hex[:12]}"
-        metrics = [F.count("*").alias(_ROWS)]
+        shown = [c for c in df.columns if not (judged and c == REASON)]
+        counts = F.col(REASON).isNull() if judged else F.lit(True)
+        metrics = [F.count_if(counts).alias(_ROWS)]
         if mark:
-            metrics.append(mark_text(df, mark).alias(_MARK + mark))
-        # Shuffle stages may run again after an executor loss; the observed
-        # node is the last one before the write, so its counts are final.
-        seen = Observation()
+            metrics.append(mark_text(df, mark, where=counts).alias(_MARK + mark))
         bucketed = bool(self.buckets and keys and layer in BUCKETED_LAYERS)
         if bucketed:
             df = df.repartition(self.buckets, *keys)
+        # Shuffle stages may run again after an executor loss; the observed
+        # node is the last one before the write, so its counts are final.
+        seen = Observation()
         writer = df.observe(seen, *metrics).write.format("parquet")
         if bucketed:
             writer = writer.bucketBy(self.buckets, *keys).sortBy(*keys)
@@ -130,16 +160,22 @@ class Warehouse:
 
         facts = {k: str(v) for k, v in seen.get.items() if v is not None}
         properties = ", ".join(f"'{k}' = '{v}'" for k, v in facts.items())
+        columns = ", ".join(f"`{c}`" for c in shown)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} "
-            f"TBLPROPERTIES ({properties}, 'tidemark.snapshot' = '{snapshot}') "
-            f"AS SELECT * FROM {self.name(layer, snapshot)}"
+            f"TBLPROPERTIES ({properties}, '{_SNAPSHOT}' = '{snapshot}') "
+            f"AS SELECT {columns} FROM {self.name(layer, snapshot)}"
+            + (f" WHERE {REASON} IS NULL" if judged else "")
         )
         return Published(self.name(layer, table), int(facts[_ROWS]))
 
+    def snapshot(self, layer: str, table: str) -> str:
+        """Name of the snapshot table behind a published view."""
+        return self._properties(layer, table)[_SNAPSHOT]
+
     def drop_old_snapshots(self, layer: str, table: str) -> list[str]:
         """Remove every snapshot but the published one. Run it when no reader is left."""
-        current = self._properties(layer, table)["tidemark.snapshot"]
+        current = self.snapshot(layer, table)
         found = self.spark.sql(f"SHOW TABLES IN {self.schema(layer)} LIKE '{table}__*'").collect()
         stale = [
             row.tableName
@@ -191,6 +227,18 @@ class MergeWarehouse(Warehouse):
         writer.mode("overwrite").saveAsTable(name)
         return Published(name, int(seen.get[_ROWS]))
 
+    def overwrite_judged(
+        self,
+        layer: str,
+        table: str,
+        rows: DataFrame,
+        keys: Sequence[str] = (),
+        mark: str | None = None,
+    ) -> DataFrame:
+        rows = staged(rows)
+        self.overwrite(layer, table, accepted(rows), keys, mark)
+        return rejected(rows)
+
     def merge(
         self,
         layer: str,

@@ -1,0 +1,137 @@
+"""One key holds a third of all rows: no task may receive its rows unreduced."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import plan_of
+from tidemark.operators import aggregates, profiling
+from tidemark.operators.dedup import distinct_rows, latest_per_key
+from tidemark.operators.ranking import shuffled_positions
+from tidemark.operators.upsert import upsert
+
+ROWS = 60_000
+HOT = ROWS // 3
+
+
+@pytest.fixture(autouse=True)
+def four_partitions(spark):
+    """Keep the shuffle partitions apart, so that each reduce task can be measured."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+@pytest.fixture
+def lines(spark):
+    """order_id 0, product_id 0 and a NULL seller hold a third of the rows each."""
+    third = F.col("id") % 3
+    return spark.range(ROWS, numPartitions=8).select(
+        F.when(third == 0, 0).otherwise(F.col("id")).alias("order_id"),
+        F.when(third == 1, 0).otherwise(F.col("id") % 500).alias("product_id"),
+        F.when(third == 2, None).otherwise(F.col("id") % 50).alias("seller_id"),
+        (F.col("id") % 4).alias("order_item_id"),
+        F.lit(1.5).alias("price"),
+        F.lit(0.5).alias("freight_value"),
+        F.col("id").alias("updated_at"),
+    )
+
+
+def largest_task_input(spark, df):
+    """Most shuffle records any task of this query reads."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    before = spark.sparkContext.statusTracker()
+    group = f"skew-{id(df)}"
+    spark.sparkContext.setJobGroup(group, group)
+    df.write.format("noop").mode("overwrite").save()
+    spark.sparkContext.setJobGroup("none", "none")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for job in before.getJobIdsForGroup(group):
+        for stage in before.getJobInfo(job).stageIds:
+            try:
+                attempt = store.lastStageAttempt(stage).attemptId()
+            except Exception:  # a stage that was skipped has no attempt
+                continue
+            tasks = store.taskList(stage, attempt, 100_000)
+            for i in range(tasks.size()):
+                metrics = tasks.apply(i).taskMetrics()
+                if metrics.isDefined():
+                    most = max(most, metrics.get().shuffleReadMetrics().recordsRead())
+    return most
+
+
+def test_dedup_sends_one_row_per_map_task(spark, lines):
+    hot = lines.withColumn("order_item_id", F.lit(1))
+    kept = latest_per_key(hot, ["order_id", "order_item_id"], "updated_at")
+    assert kept.count() == ROWS - HOT + 1
+    # 40,000 cold keys over 4 partitions, and at most 8 rows of the hot one.
+    assert largest_task_input(spark, kept) < 12_000
+    null_hot = latest_per_key(lines, ["seller_id"], "updated_at")
+    assert largest_task_input(spark, null_hot) < 500
+
+
+def test_distinct_rows(spark, lines):
+    assert largest_task_input(spark, distinct_rows(lines.select("order_id"))) < 12_000
+
+
+@pytest.mark.parametrize(
+    ("report", "limit"),
+    [
+        (aggregates.item_summary, 12_000),
+        # The distinct count spreads (product, order) pairs: no product is one task.
+        (aggregates.product_sales_summary, 17_000),
+        (lambda df: profiling.grain(df, ["order_id"]), 12_000),
+        (lambda df: profiling.frequency(df, "seller_id"), 500),
+        (lambda df: profiling.coverage(df, "product_id"), 2_000),
+        (lambda df: profiling.heaviest_keys(df, ["product_id"]), 2_000),
+        (lambda df: profiling.orphan_value(df, df.limit(10), "product_id", "price"), 2_000),
+        (lambda df: profiling.fan_out(df, [df], "order_id"), ROWS),
+    ],
+)
+def test_grouped_reports_combine_before_the_shuffle(spark, lines, report, limit):
+    assert largest_task_input(spark, report(lines)) < limit
+
+
+def test_positions_spread_by_digest(spark, lines):
+    keyed = lines.withColumn("uid", F.col("updated_at"))
+    assert largest_task_input(spark, shuffled_positions(keyed, ["uid"], "s")) < 20_000
+
+
+def test_upsert_splits_a_hot_target_key(spark, lines):
+    """Source beyond the broadcast size: the skewed target key is split at run time."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    target = lines.select("order_id", F.sha2(F.col("updated_at").cast("string"), 256).alias("v"))
+    source = spark.range(0, ROWS, 2).select(
+        F.col("id").alias("order_id"), F.sha2(F.lit("new"), 256).alias("v")
+    )
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        merged = upsert(target, source, ["order_id"], source_is_unique=True)
+        rows = merged.collect()
+        plan = plan_of(merged)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    new = source.first()["v"]
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r.order_id, []).append(r.v)
+    assert len(by_key[0]) == HOT and set(by_key[0]) == {new}
+    assert set(range(0, ROWS, 2)) <= set(by_key)
+    assert "skew=true" in plan
+
+
+def test_null_keys_bypass_the_merge_join(spark, lines):
+    target = lines.select("seller_id", "updated_at")
+    source = spark.range(10).select(F.col("id").alias("seller_id"), F.lit(-1).alias("updated_at"))
+    merged = upsert(target, source, ["seller_id"], source_is_unique=True)
+    assert merged.filter("seller_id IS NULL").count() == HOT
+    assert merged.count() == ROWS
+    assert merged.filter("updated_at = -1").count() == target.filter("seller_id < 10").count()

@@ -42,16 +42,23 @@ def _same_key(keys: Sequence[str], null_safe: bool) -> Column:
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str], unique: bool) -> DataFrame:
-    """Key columns plus the source row; an ambiguous match raises when it is used."""
+    """Key columns, a source row of that key, and how many rows share the key."""
     row = F.struct(*[quoted(c) for c in source.columns])
     if unique:
-        return source.select(*_renamed_keys(source, keys), row.alias(_NEW))
-    grouped = source.groupBy(*_renamed_keys(source, keys)).agg(
-        F.count("*").alias(_COUNT), F.max(row).alias(_NEW)
+        return source.select(*_renamed_keys(source, keys), row.alias(_NEW), F.lit(1).alias(_COUNT))
+    return source.groupBy(*_renamed_keys(source, keys)).agg(
+        F.max(row).alias(_NEW), F.count("*").alias(_COUNT)
     )
+
+
+def _matched(keys: Sequence[str]) -> Column:
+    """Whether the target row has a source row; raises if it has several.
+
+    Stands above the join, because a repeated source key is no error as long as
+    no target row has it.
+    """
     message = F.lit(f"several source rows match one target row on {list(keys)}")
-    checked = F.when(F.col(_COUNT) > 1, F.raise_error(message)).otherwise(F.col(_NEW))
-    return grouped.select(*[f"__key{i}" for i in range(len(keys))], checked.alias(_NEW))
+    return F.when(F.col(_COUNT) > 1, F.raise_error(message)).otherwise(F.col(_COUNT).isNotNull())
 
 
 def upsert(
@@ -86,7 +93,7 @@ def upsert(
         target, source = (side.filter(all_not_null(keys)) for side in (target, source))
 
     incoming = _one_per_key(source, keys, source_is_unique)
-    hit = F.col(_NEW).isNotNull()
+    hit = F.col(_COUNT).isNotNull() if source_is_unique else _matched(keys)
     kept = target.join(incoming, _same_key(keys, null_safe), "left").select(
         *[F.when(hit, F.col(_NEW).getField(c)).otherwise(quoted(c)).alias(c) for c in columns]
     )

@@ -22,7 +22,7 @@ from tidemark.plans.silver import invalid_rows, judged, valid_rows
 from tidemark.shared import new_folder
 from tidemark.sources import FrameSource
 from tidemark.specs import TABLES
-from tidemark.verify.shapes import source_tables
+from tidemark.verify.shapes import SourceTables
 from tidemark.warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ class Shop:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
-        self.sources = source_tables(spark, sf_dir)
+        self.sources = SourceTables(spark, sf_dir)
 
     def source(self, name: str) -> DataFrame:
         return self.sources[name]

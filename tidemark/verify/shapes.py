@@ -188,13 +188,26 @@ SHAPES: dict[str, str] = {
 }
 
 
-def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The nine source tables over one test-data folder (lazy)."""
-    base = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in BASE_TABLES}
-    return {
-        name: spark.sql(text, **{t: df for t, df in base.items() if f"{{{t}}}" in text})
-        for name, text in SHAPES.items()
-    }
+class SourceTables:
+    """The nine source tables over one test-data folder, built when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self.base: dict[str, DataFrame] = {}
+        self.built: dict[str, DataFrame] = {}
+
+    def test_table(self, name: str) -> DataFrame:
+        if name not in self.base:
+            self.base[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.base[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.built:
+            text = SHAPES[name]
+            used = [t for t in BASE_TABLES if f"{{{t}}}" in text]
+            self.built[name] = self.spark.sql(text, **{t: self.test_table(t) for t in used})
+        return self.built[name]
 
 
 def as_sql(table: str) -> str:

@@ -9,6 +9,7 @@ which changes tables in place.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -177,11 +178,9 @@ class Warehouse:
         """Remove every snapshot but the published one. Run it when no reader is left."""
         current = self.snapshot(layer, table)
         found = self.spark.sql(f"SHOW TABLES IN {self.schema(layer)} LIKE '{table}__*'").collect()
-        stale = [
-            row.tableName
-            for row in found
-            if row.tableName.startswith(f"{table}__") and row.tableName != current
-        ]
+        ours = re.compile(re.escape(table.lower()) + "__[0-9a-f]{12}")
+        names = [row.tableName for row in found if ours.fullmatch(row.tableName)]
+        stale = [name for name in names if name != current.lower()]
         for snapshot in stale:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, snapshot)}")
         return stale

@@ -29,6 +29,12 @@ def test_null_counts_in_one_scan(df):
     assert plan_of(p.null_counts(df)).count("Scan") == 1
 
 
+def test_one_pass(df):
+    report = p.one_pass(df, {"big": "k > 1"})
+    assert plan_of(report).count("Scan") == 1
+    assert dict(rows(report)) == {"rows": 6, "nulls:k": 2, "nulls:v": 2, "check:big": 2}
+
+
 def test_flag_counts_ignore_unknown(df):
     flags = {"big": "k > 1", "small": "k < 2", "none": "k > 100"}
     assert rows(p.flag_counts(df, flags)) == [("big", 2), ("none", 0), ("small", 2)]

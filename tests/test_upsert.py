@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tests.helpers import plan_of, rows
-from tidemark.operators.upsert import SchemaMismatch, upsert
+from tidemark.operators.upsert import SchemaMismatch, has_effect, upsert
 
 SCHEMA = "k int, j int, v string"
 
@@ -85,6 +85,19 @@ def test_columns_are_matched_by_name(spark):
         upsert(target, shuffled.selectExpr("*", "1 AS extra"), ["k", "j"])
 
 
+def test_has_effect(spark):
+    target = frame(spark, [(1, 1, "a"), (2, 1, "b"), (None, 1, "n")])
+    assert not has_effect(target, frame(spark, [(1, 1, "a"), (2, 1, "b")]), ["k", "j"])
+    assert not has_effect(target, frame(spark, []), ["k", "j"])
+    assert has_effect(target, frame(spark, [(1, 1, "A")]), ["k", "j"])
+    assert has_effect(target, frame(spark, [(3, 1, "a")]), ["k", "j"])
+    # Identical rows, but ambiguous: the merge has to run and raise.
+    assert has_effect(target, frame(spark, [(1, 1, "a"), (1, 1, "a")]), ["k", "j"])
+    null_key = frame(spark, [(None, 1, "n")])
+    assert has_effect(target, null_key, ["k", "j"])
+    assert not has_effect(target, null_key, ["k", "j"], null_safe=True)
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, [(1, 1, "a")]), frame(spark, [])
     assert rows(upsert(some, none, ["k", "j"])) == [(1, 1, "a")]

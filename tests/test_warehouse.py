@@ -104,21 +104,6 @@ def test_old_snapshots_can_be_dropped(spark, house):
     assert house.read("silver", "t__other").count() == 1
 
 
-def test_bucketed_tables_join_and_merge_without_moving_the_large_side(spark, tmp_path):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        house = new_warehouse(spark, tmp_path, buckets=4)
-        house.overwrite("silver", "a", numbers(spark, 100), keys=["id"])
-        house.overwrite("silver", "b", numbers(spark, 50, "b"), keys=["id"])
-        a, b = house.read("silver", "a"), house.read("silver", "b")
-        assert "Exchange" not in plan_of(a.join(b, "id", "left"))
-        house.merge("silver", "a", numbers(spark, 120, "c").filter("id > 90"), ["id"])
-        assert house.read("silver", "a").groupBy("v").count().count() == 2
-        assert house.read("silver", "a").count() == 120
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_merge_format_uses_the_catalogs_merge(spark, tmp_path):
     """No such format is installed here; a plain table must be asked and refuse."""
     house = MergeWarehouse(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,8 +44,13 @@ def all_not_null(columns: Iterable[str]) -> Column:
 
 
 def money_sum(column: str) -> Column:
-    """Exact money total: cast to decimal first so the order of rows is irrelevant."""
-    return F.sum(quoted(column).cast(MONEY)).cast(MONEY)
+    """Exact money total: cast to cents per row, so the order of rows is irrelevant.
+
+    Sums of bigint cents take 8 bytes in the aggregation buffer and the shuffle
+    where a decimal sum takes 24, and they reach beyond decimal(18,2).
+    """
+    cents = F.sum((quoted(column).cast(MONEY) * 100).cast("bigint"))
+    return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 
 
 def or_zero(column: str) -> Column:

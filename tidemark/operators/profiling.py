@@ -70,7 +70,7 @@ def heaviest_keys(
 def attribute_drift(
     df: DataFrame, entity: str, attributes: Sequence[str], k: int | None = None
 ) -> DataFrame:
-    """Distinct values of each attribute per entity, the most drifting first.
+    """Distinct values of each attribute per entity; with ``k``, the most drifting ones.
 
     Repeated (entity, attributes) rows are collapsed before the distinct counts
     expand them.
@@ -78,8 +78,9 @@ def attribute_drift(
     seen = df.select(quoted(entity), *[quoted(a) for a in attributes]).distinct()
     counts = [F.countDistinct(quoted(a)).alias(f"distinct_{a}") for a in attributes]
     drift = seen.groupBy(quoted(entity)).agg(*counts)
-    drift = drift.orderBy(F.desc(f"distinct_{attributes[0]}"), quoted(entity))
-    return drift if k is None else drift.limit(k)
+    if k is None:
+        return drift
+    return drift.orderBy(F.desc(f"distinct_{attributes[0]}"), quoted(entity)).limit(k)
 
 
 def coverage(df: DataFrame, column: str) -> DataFrame:
@@ -107,6 +108,14 @@ def flag_counts(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     return _long_form(one_row, "check_name", "violations")
 
 
+def one_pass(df: DataFrame, checks: Mapping[str, str] | None = None) -> DataFrame:
+    """Row count, NULLs per column and violations per check from a single scan."""
+    measures = [F.count("*").alias("rows")]
+    measures += [_true_count(quoted(c).isNull()).alias(f"nulls:{c}") for c in df.columns]
+    measures += [_true_count(F.expr(p)).alias(f"check:{n}") for n, p in (checks or {}).items()]
+    return _long_form(df.agg(*measures), "measure", "row_count")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return stacked({n: df.agg(F.count("*").alias("row_count")) for n, df in tables.items()})
 

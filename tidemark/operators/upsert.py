@@ -61,6 +61,20 @@ def _matched(keys: Sequence[str]) -> Column:
     return F.when(F.col(_COUNT) > 1, F.raise_error(message)).otherwise(F.col(_COUNT).isNotNull())
 
 
+def has_effect(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> bool:
+    """Whether an upsert would change the target at all.
+
+    ``target`` may be limited to the rows that could equal a source row. Re-read
+    boundary rows are usually there already, and then nothing needs rewriting.
+    """
+    source = aligned(source, target)
+    if not null_safe and not source.filter(~all_not_null(keys)).isEmpty():
+        return True  # rows with a NULL key are inserted again
+    return not source.exceptAll(target.select(*source.columns)).isEmpty()
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -95,7 +109,13 @@ def upsert(
     incoming = _one_per_key(source, keys, source_is_unique)
     hit = F.col(_COUNT).isNotNull() if source_is_unique else _matched(keys)
     kept = target.join(incoming, _same_key(keys, null_safe), "left").select(
-        *[F.when(hit, F.col(_NEW).getField(c)).otherwise(quoted(c)).alias(c) for c in columns]
+        # Matched keys are equal anyway; passing the target's on keeps its partitioning.
+        *[
+            quoted(c)
+            if c in keys
+            else F.when(hit, F.col(_NEW).getField(c)).otherwise(quoted(c)).alias(c)
+            for c in columns
+        ]
     )
 
     source_keys = source.select(*_renamed_keys(source, keys)).distinct()

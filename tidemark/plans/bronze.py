@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from tidemark.operators.upsert import has_effect
+from tidemark.operators.watermark import since
 from tidemark.shared import staged
 from tidemark.specs import TABLES, TableSpec
 from tidemark.warehouse import Warehouse
 
 LAYER = "bronze"
-LOADED, MERGED, SKIPPED = "loaded", "merged", "skipped"
+LOADED, MERGED, UNCHANGED, SKIPPED = "loaded", "merged", "unchanged", "skipped"
 
 
 def ingest(warehouse: Warehouse, source, spec: TableSpec, refresh: bool = False) -> str:
     """Bring one table up to date and say how.
 
-    A static table is read once; ``refresh`` loads it again.
+    A static table is read once; ``refresh`` loads it again. An incremental
+    slice that holds nothing new (the rows at the mark are always read again)
+    leaves the table as it is instead of rewriting it.
     """
     first = not warehouse.exists(LAYER, spec.name)
     if first or (refresh and not spec.is_incremental):
-        warehouse.overwrite(
-            LAYER, spec.name, source.read(spec), keys=spec.ingest_keys, mark=spec.watermark
-        )
+        warehouse.overwrite(LAYER, spec.name, source.read(spec), mark=spec.watermark)
         return LOADED
     if not spec.is_incremental:
         return SKIPPED
@@ -29,13 +31,10 @@ def ingest(warehouse: Warehouse, source, spec: TableSpec, refresh: bool = False)
     # The merge reads its source more than once; a live database could answer
     # differently each time, so the slice is fetched once.
     changes = staged(source.read_since(spec, mark))
-    warehouse.merge(
-        LAYER,
-        spec.name,
-        changes,
-        keys=spec.ingest_keys,
-        mark=spec.watermark,
-    )
+    at_risk = since(warehouse.read(LAYER, spec.name), mark)
+    if not has_effect(at_risk, changes, spec.ingest_keys):
+        return UNCHANGED
+    warehouse.merge(LAYER, spec.name, changes, keys=spec.ingest_keys, mark=spec.watermark)
     return MERGED
 
 

@@ -107,14 +107,14 @@ def run_gold(warehouse: Warehouse) -> dict[str, int]:
     def silver(table: str) -> DataFrame:
         return warehouse.read("silver", table)
 
-    def publish(table: str, df: DataFrame, key: str) -> int:
-        return warehouse.overwrite("gold", table, df, keys=(key,), schema_may_change=True).rows
+    def publish(table: str, df: DataFrame) -> int:
+        return warehouse.overwrite("gold", table, df, schema_may_change=True).rows
 
     items = silver("order_items")
     fact = fact_orders(silver("orders"), items, silver("order_payments"), silver("order_reviews"))
-    counts = {"fact_orders": publish("fact_orders", fact, "order_id")}
+    counts = {"fact_orders": publish("fact_orders", fact)}
     customers = customer_summary(silver("customers"), warehouse.read("gold", "fact_orders"))
-    counts["customer_summary"] = publish("customer_summary", customers, "customer_id")
+    counts["customer_summary"] = publish("customer_summary", customers)
     products = product_summary(silver("products"), items)
-    counts["product_summary"] = publish("product_summary", products, "product_id")
+    counts["product_summary"] = publish("product_summary", products)
     return counts

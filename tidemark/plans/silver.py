@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators.cleaning import clean
 from tidemark.operators.quality import accepted, rejected, tagged
+from tidemark.operators.upsert import has_effect
 from tidemark.operators.watermark import since
 from tidemark.shared import staged
 from tidemark.specs import TABLES, TableSpec
@@ -36,29 +37,23 @@ def refine(warehouse: Warehouse, spec: TableSpec) -> None:
     valid Silver rows; static ones are rebuilt. A row that turns bad leaves its
     last good version in Silver, a repaired one stays listed in quarantine.
     """
-    name, keys, mark = spec.name, spec.keys, spec.watermark
-    update = spec.is_incremental and warehouse.exists("silver", name)
+    name, mark_column = spec.name, spec.watermark
     batch = warehouse.read("bronze", name)
-    if update:
-        batch = since(batch, warehouse.watermark("silver", name, mark))
-
-    if not spec.rules:
-        valid = clean(batch, spec)
-        if update:
-            warehouse.merge("silver", name, valid, keys, mark=mark, source_is_unique=True)
+    if not (spec.is_incremental and warehouse.exists("silver", name)):
+        if spec.rules:
+            bad = warehouse.overwrite_judged("silver", name, judged(batch, spec), mark_column)
+            write_quarantine(warehouse, spec, bad)
         else:
-            warehouse.overwrite("silver", name, valid, keys=keys, mark=mark)
+            warehouse.overwrite("silver", name, clean(batch, spec), mark_column)
         return
 
     # The verdict is evaluated once; both sides of the split read the result.
-    rows = judged(batch, spec)
-    if update:
-        rows = staged(rows)
-        write_quarantine(warehouse, spec, rejected(rows))
-        warehouse.merge("silver", name, accepted(rows), keys, mark=mark, source_is_unique=True)
-    else:
-        bad = warehouse.overwrite_judged("silver", name, rows, keys=keys, mark=mark)
-        write_quarantine(warehouse, spec, bad)
+    mark = warehouse.watermark("silver", name, mark_column)
+    rows = staged(judged(since(batch, mark), spec))
+    write_quarantine(warehouse, spec, rejected(rows))
+    valid = accepted(rows)
+    if has_effect(since(warehouse.read("silver", name), mark), valid, spec.keys):
+        warehouse.merge("silver", name, valid, spec.keys, mark_column, source_is_unique=True)
 
 
 def write_quarantine(warehouse: Warehouse, spec: TableSpec, bad: DataFrame) -> None:
@@ -69,12 +64,13 @@ def write_quarantine(warehouse: Warehouse, spec: TableSpec, bad: DataFrame) -> N
     """
     if bad.isEmpty():
         return
-    if warehouse.exists("quarantine", spec.name):
+    name = spec.name
+    if not warehouse.exists("quarantine", name):
+        warehouse.overwrite("quarantine", name, bad)
+    elif has_effect(warehouse.read("quarantine", name), bad, spec.keys, null_safe=True):
         warehouse.merge(
-            "quarantine", spec.name, bad, spec.keys, null_safe=True, source_is_unique=True
+            "quarantine", name, bad, spec.keys, null_safe=True, source_is_unique=True
         )
-    else:
-        warehouse.overwrite("quarantine", spec.name, bad)
 
 
 def run_silver(warehouse: Warehouse, specs: Iterable[TableSpec] = TABLES.values()) -> None:

@@ -723,19 +723,32 @@ def _profiles() -> dict[str, str]:
         _union([_flag(t, n, s.raw(t), p) for t, n, p in times])
     )
     s = Script()
+    status = [
+        (
+            "orders",
+            f"delivered_without_{who}_date",
+            f"order_status = 'delivered' AND order_delivered_{who}_date IS NULL",
+        )
+        for who in ("customer", "carrier")
+    ]
+    one_pass = [
+        f"SELECT '{t}' AS table_name, 'rows' AS measure, count(*) AS row_count FROM {s.raw(t)}"
+        for t in LAYOUT
+    ]
+    one_pass += [
+        f"SELECT '{t}', 'nulls:{c}', count(*) - count({c}) FROM {s.raw(t)}"
+        for t in LAYOUT
+        for c in LAYOUT[t][0]
+    ]
+    one_pass += [
+        f"SELECT '{t}', 'check:{n}', count(*) FROM {s.raw(t)} WHERE {p}"
+        for t, n, p in ranges + times + status
+    ]
+    found["profile_one_pass"] = s.select(_union(one_pass))
+    s = Script()
     orders = s.cleaned("orders")
     found["profile_status_mismatch"] = s.select(
-        _union(
-            [
-                _flag(
-                    None,
-                    f"delivered_without_{who}_date",
-                    orders,
-                    f"order_status = 'delivered' AND order_delivered_{who}_date IS NULL",
-                )
-                for who in ("customer", "carrier")
-            ]
-        )
+        _union([_flag(None, n, orders, p) for _, n, p in status])
     )
     s = Script()
     shown = f"order_id, order_status, {bought}, {carried}, {delivered}"

@@ -281,16 +281,25 @@ def _flags(s: Shop, checks: dict[str, dict[str, str]]) -> DataFrame:
     )
 
 
+def _one_pass(s: Shop) -> DataFrame:
+    reports = {}
+    for name in TABLES:
+        checks = {}
+        for group in (RANGE_CHECKS, TIME_ORDER_CHECKS, STATUS_CHECKS):
+            checks |= group.get(name, {})
+        reports[name] = profiling.one_pass(s.source(name), checks)
+    return profiling.stacked(reports)
+
+
 def _frequency(s: Shop) -> DataFrame:
     reports = {
-        "order_status": profiling.frequency(clean(s.source("orders"), TABLES["orders"]), "order_status"),
+        "order_status": profiling.frequency(
+            clean(s.source("orders"), TABLES["orders"]), "order_status"
+        ),
         "customer_state": profiling.frequency(s.silver("customers"), "customer_state"),
     }
     return profiling.stacked(
-        {
-            label: df.withColumnRenamed(label, "value")
-            for label, df in reports.items()
-        },
+        {label: df.withColumnRenamed(label, "value") for label, df in reports.items()},
         label="column_name",
     )
 
@@ -389,6 +398,7 @@ def _profiles() -> dict[str, Query]:
         "profile_nulls": over_shop(
             lambda s: profiling.stacked({n: profiling.null_counts(s.source(n)) for n in TABLES})
         ),
+        "profile_one_pass": over_shop(_one_pass),
         "profile_frequency": over_shop(_frequency),
         "profile_duplicate_keys": over_shop(
             lambda s: profiling.repeated_keys(s.source("customers"), ["customer_id"])

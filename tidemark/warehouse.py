@@ -24,8 +24,6 @@ from tidemark.operators.watermark import Watermark, mark_text, read_watermark
 from tidemark.shared import staged
 
 LAYERS = ("bronze", "silver", "quarantine", "gold")
-# Layers whose tables are unique on their key, so that no bucket can be hot.
-BUCKETED_LAYERS = ("silver", "gold")
 _ROWS = "tidemark.rows"
 _MARK = "tidemark.mark."
 _SNAPSHOT = "tidemark.snapshot"
@@ -44,10 +42,6 @@ class Warehouse:
 
     ``root``      folder for the schemas (the catalog's default if not given).
     ``namespace`` prefix of the schema names, e.g. ``"shop_"``.
-    ``buckets``   if set, Silver and Gold tables are bucketed by their full merge
-                  key, so merges and the joins of the marts read the large side
-                  without a shuffle. That key is unique there, hence no bucket
-                  can be hot. Set it to the shuffle partition count.
     """
 
     def __init__(
@@ -55,12 +49,10 @@ class Warehouse:
         spark: SparkSession,
         root: str | None = None,
         namespace: str = "",
-        buckets: int = 0,
     ) -> None:
         self.spark = spark
         self.root = root
         self.namespace = namespace
-        self.buckets = buckets
         for layer in LAYERS:
             where = f" LOCATION '{root}/{layer}'" if root else ""
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema(layer)}{where}")
@@ -90,21 +82,19 @@ class Warehouse:
         layer: str,
         table: str,
         df: DataFrame,
-        keys: Sequence[str] = (),
         mark: str | None = None,
         schema_may_change: bool = False,
     ) -> Published:
         """Replace the content. Without ``schema_may_change`` other columns or types fail."""
         if not schema_may_change and self.exists(layer, table):
             check_same_schema(df, self.read(layer, table))
-        return self._publish(layer, table, df, keys, mark)
+        return self._publish(layer, table, df, mark)
 
     def overwrite_judged(
         self,
         layer: str,
         table: str,
         rows: DataFrame,
-        keys: Sequence[str] = (),
         mark: str | None = None,
     ) -> DataFrame:
         """Replace the content with the accepted rows; returns the rejected ones.
@@ -115,7 +105,7 @@ class Warehouse:
         """
         if self.exists(layer, table):
             check_same_schema(accepted(rows), self.read(layer, table))
-        self._publish(layer, table, rows, keys, mark, judged=True)
+        self._publish(layer, table, rows, mark, judged=True)
         return rejected(self.spark.table(self.name(layer, self.snapshot(layer, table))))
 
     def merge(
@@ -128,17 +118,20 @@ class Warehouse:
         null_safe: bool = False,
         source_is_unique: bool = False,
     ) -> Published:
-        """Upsert by key into an existing table."""
+        """Upsert by key into an existing table.
+
+        The whole snapshot is written anew, but a change set under Spark's
+        broadcast threshold moves no target row between executors.
+        """
         target = self.read(layer, table)
         merged = upsert(target, source, keys, null_safe, source_is_unique)
-        return self._publish(layer, table, merged, keys, mark)
+        return self._publish(layer, table, merged, mark)
 
     def _publish(
         self,
         layer: str,
         table: str,
         df: DataFrame,
-        keys: Sequence[str],
         mark: str | None,
         judged: bool = False,
     ) -> Published:
@@ -148,15 +141,10 @@ class Warehouse:
         metrics = [F.count_if(counts).alias(_ROWS)]
         if mark:
             metrics.append(mark_text(df, mark, where=counts).alias(_MARK + mark))
-        bucketed = bool(self.buckets and keys and layer in BUCKETED_LAYERS)
-        if bucketed:
-            df = df.repartition(self.buckets, *keys)
         # Shuffle stages may run again after an executor loss; the observed
         # node is the last one before the write, so its counts are final.
         seen = Observation()
         writer = df.observe(seen, *metrics).write.format("parquet")
-        if bucketed:
-            writer = writer.bucketBy(self.buckets, *keys).sortBy(*keys)
         writer.saveAsTable(self.name(layer, snapshot))
 
         facts = {k: str(v) for k, v in seen.get.items() if v is not None}
@@ -212,7 +200,6 @@ class MergeWarehouse(Warehouse):
         layer: str,
         table: str,
         df: DataFrame,
-        keys: Sequence[str] = (),
         mark: str | None = None,
         schema_may_change: bool = False,
     ) -> Published:
@@ -231,11 +218,10 @@ class MergeWarehouse(Warehouse):
         layer: str,
         table: str,
         rows: DataFrame,
-        keys: Sequence[str] = (),
         mark: str | None = None,
     ) -> DataFrame:
         rows = staged(rows)
-        self.overwrite(layer, table, accepted(rows), keys, mark)
+        self.overwrite(layer, table, accepted(rows), mark)
         return rejected(rows)
 
     def merge(

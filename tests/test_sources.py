@@ -52,6 +52,14 @@ def test_parallel_read():
     assert seen["numPartitions"] == "64"
 
 
+def test_parallel_slice_starts_at_the_mark():
+    split = JdbcSplit("updated_at", "2016-01-01", "2020-06-01", 64)
+    seen = source(splits={"orders": split}).read_since(TABLES["orders"], MARK)
+    assert (seen["lowerBound"], seen["upperBound"]) == (MARK.text, "2020-06-01")
+    other = JdbcSplit("id", "1", "9", 8)
+    assert source(splits={"orders": other}).read_since(TABLES["orders"], MARK)["lowerBound"] == "1"
+
+
 def test_delta_is_selected_by_the_database():
     query = delta_query("public", "orders", MARK)
     assert query == (

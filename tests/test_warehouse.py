@@ -75,6 +75,12 @@ def test_recorded_mark_equals_a_scan(spark, house):
     assert house.watermark("silver", "empty", "updated_at") is None
 
 
+def test_text_marks_are_quoted(spark, house):
+    df = spark.createDataFrame([("it's \\ here",)], "version string")
+    house.overwrite("silver", "t", df, mark="version")
+    assert house.watermark("silver", "t", "version") == read_watermark(df, "version")
+
+
 def test_merge(spark, house):
     house.overwrite("silver", "t", numbers(spark, 3))
     published = house.merge("silver", "t", numbers(spark, 5, "b").filter("id >= 2"), ["id"])

@@ -20,7 +20,7 @@ _TOP_N_LIMIT = 10_000
 
 
 def shuffled_positions(df: DataFrame, keys: Sequence[str], seed: str) -> DataFrame:
-    """Add ``position`` 1..N in the order of a seeded key digest.
+    """Add ``position`` 1..N in the order of a seeded digest of a unique key.
 
     Global ranking in two levels: rows are ranked within a digest-prefix bucket
     and shifted by the number of rows in lower buckets. Digests spread evenly,

@@ -14,13 +14,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without the setting falls back to a new temporary
     folder; on a cluster such a folder would exist on one machine only.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+    if context.master.startswith("local"):
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        return context.getCheckpointDir().rstrip("/")
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 

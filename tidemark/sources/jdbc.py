@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +24,10 @@ class JdbcSplit:
     upper: str
     partitions: int
 
+    def above(self, mark: Watermark) -> JdbcSplit:
+        """Ranges of a slice: from the mark upwards where it is on the same column."""
+        return replace(self, lower=mark.text) if self.column == mark.column else self
+
     def options(self) -> dict[str, str]:
         return {
             "partitionColumn": self.column,
@@ -57,8 +61,12 @@ class JdbcSource:
     splits: Mapping[str, JdbcSplit] = field(default_factory=dict)
     fetch_size: int = 10_000
 
-    def read_options(self, spec: TableSpec, dbtable: str) -> dict[str, str]:
+    def read_options(
+        self, spec: TableSpec, dbtable: str, mark: Watermark | None = None
+    ) -> dict[str, str]:
         split = self.splits.get(spec.name)
+        if split and mark:
+            split = split.above(mark)
         return {
             "url": self.url,
             "dbtable": dbtable,
@@ -73,8 +81,8 @@ class JdbcSource:
     def read_since(self, spec: TableSpec, mark: Watermark | None) -> DataFrame:
         if mark is None:
             return self.read(spec)
-        return self._load(spec, delta_query(self.schema, spec.name, mark))
+        return self._load(spec, delta_query(self.schema, spec.name, mark), mark)
 
-    def _load(self, spec: TableSpec, dbtable: str) -> DataFrame:
+    def _load(self, spec: TableSpec, dbtable: str, mark: Watermark | None = None) -> DataFrame:
         reader = self.spark.read.format("jdbc")
-        return reader.options(**self.read_options(spec, dbtable)).load()
+        return reader.options(**self.read_options(spec, dbtable, mark)).load()

@@ -41,7 +41,8 @@ class Warehouse:
     """Snapshot tables behind views in the session catalog.
 
     ``root``      folder for the schemas (the catalog's default if not given).
-    ``namespace`` prefix of the schema names, e.g. ``"shop_"``.
+    ``namespace`` prefix of the schema names, e.g. ``"shop_"``, or ``"shop."``
+                  for a catalog with nested names.
     """
 
     def __init__(
@@ -148,7 +149,7 @@ class Warehouse:
         writer.saveAsTable(self.name(layer, snapshot))
 
         facts = {k: str(v) for k, v in seen.get.items() if v is not None}
-        properties = ", ".join(f"'{k}' = '{v}'" for k, v in facts.items())
+        properties = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in facts.items())
         columns = ", ".join(f"`{c}`" for c in shown)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} "
@@ -252,6 +253,11 @@ class MergeWarehouse(Warehouse):
         return Published(name, int(seen.get[_ROWS]))
 
 
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def check_same_schema(df: DataFrame, current: DataFrame) -> None:
     new, old = (
         [(f.name, f.dataType.simpleString()) for f in frame.schema.fields]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from tidemark.operators.cleaning import clean
 from tidemark.operators.quality import accepted, rejected, tagged
 from tidemark.operators.upsert import has_effect
-from tidemark.operators.watermark import since
+from tidemark.operators.watermark import Watermark, since
 from tidemark.shared import staged
 from tidemark.specs import TABLES, TableSpec
 from tidemark.warehouse import Warehouse
@@ -50,24 +50,29 @@ def refine(warehouse: Warehouse, spec: TableSpec) -> None:
     # The verdict is evaluated once; both sides of the split read the result.
     mark = warehouse.watermark("silver", name, mark_column)
     rows = staged(judged(since(batch, mark), spec))
-    write_quarantine(warehouse, spec, rejected(rows))
+    write_quarantine(warehouse, spec, rejected(rows), mark)
     valid = accepted(rows)
     if has_effect(since(warehouse.read("silver", name), mark), valid, spec.keys):
         warehouse.merge("silver", name, valid, spec.keys, mark_column, source_is_unique=True)
 
 
-def write_quarantine(warehouse: Warehouse, spec: TableSpec, bad: DataFrame) -> None:
+def write_quarantine(
+    warehouse: Warehouse, spec: TableSpec, bad: DataFrame, mark: Watermark | None = None
+) -> None:
     """Create or merge the quarantine table; nothing happens without bad rows.
 
     Keys are compared null-safe: a row rejected for its missing key is replaced
-    when it is read again instead of piling up.
+    when it is read again instead of piling up. ``mark`` is where the batch
+    starts: only listed rows at or above it can equal a row of the batch.
     """
     if bad.isEmpty():
         return
     name = spec.name
     if not warehouse.exists("quarantine", name):
         warehouse.overwrite("quarantine", name, bad)
-    elif has_effect(warehouse.read("quarantine", name), bad, spec.keys, null_safe=True):
+        return
+    listed = since(warehouse.read("quarantine", name), mark)
+    if has_effect(listed, bad, spec.keys, null_safe=True):
         warehouse.merge(
             "quarantine", name, bad, spec.keys, null_safe=True, source_is_unique=True
         )

@@ -184,29 +184,33 @@ def _marts() -> dict[str, Query]:
 # -- published layers --------------------------------------------------------------
 
 
-@lru_cache(maxsize=4)
-def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Two full runs of all layers into a new warehouse in the shared folder.
-
-    The source is the shop's database at two points in time, one current row
-    per key each.
-    """
+def two_states(
+    spark: SparkSession, sf_dir: str
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The shop's database at two points in time: one current row per key each."""
     s = Shop(spark, sf_dir)
 
     def state(name: str, rows: DataFrame) -> DataFrame:
         spec = TABLES[name]
         return latest_per_key(rows, spec.keys, spec.watermark) if spec.keys else rows
 
-    before, after = {}, {}
-    for name, spec in TABLES.items():
-        after[name] = state(name, s.source(name))
-        before[name] = (
-            state(name, s.first_load(name)) if spec.is_incremental else after[name]
-        )
+    after = {name: state(name, s.source(name)) for name in TABLES}
+    before = {name: state(name, s.first_load(name)) for name in INCREMENTAL}
+    return {**after, **before}, after
+
+
+def new_warehouse(spark: SparkSession) -> Warehouse:
+    """An empty warehouse in the shared folder."""
     root = new_folder(spark, "warehouse")
-    warehouse = Warehouse(spark, root=root, namespace=f"t{root[-12:]}_")
-    run_pipeline(warehouse, FrameSource(before))
-    run_pipeline(warehouse, FrameSource(after))
+    return Warehouse(spark, root=root, namespace=f"t{root[-12:]}_")
+
+
+@lru_cache(maxsize=4)
+def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """Two full runs of all layers, over the earlier and the later state."""
+    warehouse = new_warehouse(spark)
+    for state in two_states(spark, sf_dir):
+        run_pipeline(warehouse, FrameSource(state))
     return warehouse
 
 

@@ -41,6 +41,7 @@ def test_whole_table():
     assert seen["dbtable"] == "public.orders"
     assert seen["driver"] == "org.postgresql.Driver"
     assert seen["fetchsize"] == "10000"
+    assert seen["preferTimestampNTZ"] == "true"
     assert "numPartitions" not in seen
 
 

@@ -73,6 +73,13 @@ def test_literal_is_quoted():
     )
 
 
+def test_zoned_marks_keep_their_offset(spark):
+    df = spark.sql("SELECT TIMESTAMP '2020-01-01 00:00:00.25+02:00' AS updated_at")
+    assert read_watermark(df).sql_literal() == (
+        "TIMESTAMP WITH TIME ZONE '2019-12-31 22:00:00.250000Z'"
+    )
+
+
 def test_filter_reaches_the_scan(spark, tmp_path):
     spark.createDataFrame(DATA, "k string, updated_at timestamp_ntz").write.parquet(
         f"{tmp_path}/t"

@@ -27,8 +27,10 @@ class Watermark:
     def sql_literal(self) -> str:
         """The mark as an SQL literal for a source-side query."""
         text = self.text.replace("'", "''")
-        if self.dtype in ("timestamp", "timestamp_ntz"):
+        if self.dtype == "timestamp_ntz":
             return f"TIMESTAMP '{text}'"
+        if self.dtype == "timestamp":  # the text carries its offset
+            return f"TIMESTAMP WITH TIME ZONE '{text}'"
         if self.dtype == "date":
             return f"DATE '{text}'"
         if self.dtype == "string":

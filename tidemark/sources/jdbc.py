@@ -71,6 +71,9 @@ class JdbcSource:
             "url": self.url,
             "dbtable": dbtable,
             "fetchsize": str(self.fetch_size),
+            # Zone-less database timestamps stay wall-clock values, so a mark
+            # sent back to the database is what the database stored.
+            "preferTimestampNTZ": "true",
             **self.options,
             **(split.options() if split else {}),
         }

@@ -92,8 +92,15 @@ def test_merge(spark, house):
 
 def test_judged_rows_are_written_once_and_split(spark, house):
     judged = tagged(numbers(spark, 6), [Rule("odd", "id % 2 = 1")])
-    bad = house.overwrite_judged("silver", "t", judged, mark="updated_at")
-    assert rows(bad, "id", "quarantine_reason") == [(1, "odd"), (3, "odd"), (5, "odd")]
+    kept = []
+
+    def keep(bad):
+        assert not house.exists("silver", "t")
+        kept.extend(rows(bad, "id", "quarantine_reason"))
+
+    published = house.overwrite_judged("silver", "t", judged, "updated_at", keep)
+    assert published.rows == 3
+    assert kept == [(1, "odd"), (3, "odd"), (5, "odd")]
     assert rows(house.read("silver", "t"), "id") == [(0,), (2,), (4,)]
     assert house.read("silver", "t").columns == ["id", "v", "updated_at"]
     # The mark is that of the valid rows.
@@ -101,6 +108,16 @@ def test_judged_rows_are_written_once_and_split(spark, house):
     assert "IsNull(quarantine_reason)" in plan_of(house.read("silver", "t"))
 
 
+def test_rejected_rows_are_kept_before_silver_appears(spark, house):
+    def fail(_):
+        raise OSError("lost")
+
+    judged = tagged(numbers(spark, 6), [Rule("odd", "id % 2 = 1")])
+    with pytest.raises(OSError):
+        house.overwrite_judged("silver", "t", judged, "updated_at", fail)
+    assert not house.exists("silver", "t")
+
+
 def test_old_snapshots_can_be_dropped(spark, house):
     for n in (1, 2, 3):
         house.overwrite("silver", "t", numbers(spark, n))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.functions.columns import money_or_zero, or_zero
 from tidemark.operators.aggregates import (

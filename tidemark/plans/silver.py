@@ -41,13 +41,19 @@ def refine(warehouse: Warehouse, spec: TableSpec) -> None:
     batch = warehouse.read("bronze", name)
     if not (spec.is_incremental and warehouse.exists("silver", name)):
         if spec.rules:
-            bad = warehouse.overwrite_judged("silver", name, judged(batch, spec), mark_column)
-            write_quarantine(warehouse, spec, bad)
+            warehouse.overwrite_judged(
+                "silver",
+                name,
+                judged(batch, spec),
+                mark_column,
+                keep_rejected=lambda bad: write_quarantine(warehouse, spec, bad),
+            )
         else:
             warehouse.overwrite("silver", name, clean(batch, spec), mark_column)
         return
 
     # The verdict is evaluated once; both sides of the split read the result.
+    # Quarantine goes first: only the Silver mark decides what is read next time.
     mark = warehouse.watermark("silver", name, mark_column)
     rows = staged(judged(since(batch, mark), spec))
     write_quarantine(warehouse, spec, rejected(rows), mark)

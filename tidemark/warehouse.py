@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -96,18 +96,23 @@ class Warehouse:
         layer: str,
         table: str,
         rows: DataFrame,
-        mark: str | None = None,
-    ) -> DataFrame:
-        """Replace the content with the accepted rows; returns the rejected ones.
+        mark: str | None,
+        keep_rejected: Callable[[DataFrame], None],
+    ) -> Published:
+        """Replace the content with the accepted rows, after keeping the rejected ones.
 
         One evaluation and one write: the snapshot holds all judged rows and
         the published view leaves the rejected out. The filter on the verdict
-        column is pushed to the scan.
+        column is pushed to the scan. ``keep_rejected`` is given the rejected
+        rows before the view appears, so a run that dies in between is repeated
+        in full and loses none of them.
         """
         if self.exists(layer, table):
             check_same_schema(accepted(rows), self.read(layer, table))
-        self._publish(layer, table, rows, mark, judged=True)
-        return rejected(self.spark.table(self.name(layer, self.snapshot(layer, table))))
+        snapshot, facts = self._write_snapshot(layer, table, rows, mark, judged=True)
+        keep_rejected(rejected(self.spark.table(self.name(layer, snapshot))))
+        shown = [c for c in rows.columns if c != REASON]
+        return self._point(layer, table, snapshot, facts, shown, where=f"{REASON} IS NULL")
 
     def merge(
         self,
@@ -128,16 +133,15 @@ class Warehouse:
         merged = upsert(target, source, keys, null_safe, source_is_unique)
         return self._publish(layer, table, merged, mark)
 
-    def _publish(
-        self,
-        layer: str,
-        table: str,
-        df: DataFrame,
-        mark: str | None,
-        judged: bool = False,
-    ) -> Published:
+    def _publish(self, layer: str, table: str, df: DataFrame, mark: str | None) -> Published:
+        snapshot, facts = self._write_snapshot(layer, table, df, mark)
+        return self._point(layer, table, snapshot, facts, df.columns)
+
+    def _write_snapshot(
+        self, layer: str, table: str, df: DataFrame, mark: str | None, judged: bool = False
+    ) -> tuple[str, dict[str, str]]:
+        """Write a new snapshot table; returns its name and what was observed."""
         snapshot = f"{table}__{uuid.uuid4().hex[:12]}"
-        shown = [c for c in df.columns if not (judged and c == REASON)]
         counts = F.col(REASON).isNull() if judged else F.lit(True)
         metrics = [F.count_if(counts).alias(_ROWS)]
         if mark:
@@ -147,15 +151,25 @@ class Warehouse:
         seen = Observation()
         writer = df.observe(seen, *metrics).write.format("parquet")
         writer.saveAsTable(self.name(layer, snapshot))
+        return snapshot, {k: str(v) for k, v in seen.get.items() if v is not None}
 
-        facts = {k: str(v) for k, v in seen.get.items() if v is not None}
-        properties = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in facts.items())
-        columns = ", ".join(f"`{c}`" for c in shown)
+    def _point(
+        self,
+        layer: str,
+        table: str,
+        snapshot: str,
+        facts: dict[str, str],
+        columns: Sequence[str],
+        where: str | None = None,
+    ) -> Published:
+        """Make the published view show a snapshot."""
+        properties = {**facts, _SNAPSHOT: snapshot}
+        listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        shown = ", ".join(f"`{c}`" for c in columns)
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} "
-            f"TBLPROPERTIES ({properties}, '{_SNAPSHOT}' = '{snapshot}') "
-            f"AS SELECT {columns} FROM {self.name(layer, snapshot)}"
-            + (f" WHERE {REASON} IS NULL" if judged else "")
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({listed}) "
+            f"AS SELECT {shown} FROM {self.name(layer, snapshot)}"
+            + (f" WHERE {where}" if where else "")
         )
         return Published(self.name(layer, table), int(facts[_ROWS]))
 
@@ -219,11 +233,12 @@ class MergeWarehouse(Warehouse):
         layer: str,
         table: str,
         rows: DataFrame,
-        mark: str | None = None,
-    ) -> DataFrame:
+        mark: str | None,
+        keep_rejected: Callable[[DataFrame], None],
+    ) -> Published:
         rows = staged(rows)
-        self.overwrite(layer, table, accepted(rows), mark)
-        return rejected(rows)
+        keep_rejected(rejected(rows))
+        return self.overwrite(layer, table, accepted(rows), mark)
 
     def merge(
         self,

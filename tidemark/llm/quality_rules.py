@@ -2,9 +2,9 @@
 
 For each document two histograms are built: character classes of the whole
 text, and common words (function words of all known languages, plus one bin for
-every other word). The references are the mean histograms of all documents of a
-language, each document counting once, so neither long documents nor a hot
-source outweigh the rest. A document is rejected when its Jensen-Shannon
+every other word). The references are made of all documents of a language, each
+counting once: the median share of each character class, which a minority of
+junk can't move, and the mean share of each common word. A document is rejected when its Jensen-Shannon
 distance to its language's reference is above a limit; a guard leaves out a
 histogram of too few characters or words to be compared.
 """
@@ -42,8 +42,8 @@ COMMON_WORDS = {
 }
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-MAX_CHAR_DISTANCE = 0.22
-MAX_WORD_DISTANCE = 0.62
+MAX_CHAR_DISTANCE = 0.2
+MAX_WORD_DISTANCE = 0.45
 MIN_CHARS = 200
 MIN_COMMON = 100
 
@@ -70,7 +70,8 @@ _CLASS[0x7F] = 8
 _CLASS[0xC0:] = 9
 _CLASS[0x80:0xC0] = _CHAR_BINS
 
-_SCALE = 1_000_000  # histograms are summed as integers, so sums don't depend on order
+_SCALE = 1_000_000  # shares are summed as integers, so sums don't depend on order
+_LEVELS = 500  # steps of the square root of a share, for medians
 
 BASE_FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean"
 FIELDS = f"{BASE_FIELDS}, char_distance double, word_distance double, kept boolean"
@@ -123,43 +124,55 @@ def _texts(column: pd.Series) -> Iterator[bytes]:
 
 
 def language_references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Mean histograms of each known language over all its documents.
+    """Usual histograms of each known language over all its documents.
 
-    Documents below the length guard are left out. At most one row for each
-    known language and bin reaches the driver.
+    Documents below the length guards are left out. The driver receives at most
+    one row for each known language, class and level (20,000), and one for each
+    language and common word.
     """
     known = sorted(COMMON_WORDS)
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sums: dict[str, np.ndarray] = {}
+            words_of: dict[str, np.ndarray] = {}
+            levels_of: dict[str, np.ndarray] = {}
             for language, data in zip(batch.iloc[:, 0], _texts(batch.iloc[:, 1])):
-                words = data.split()
+                words = data.lower().split()
                 if len(words) < MIN_COMMON or len(data) < MIN_CHARS:
                     continue
-                row = np.concatenate(
-                    [[1], *((h * _SCALE) // max(1, h.sum()) for h in histograms(data, [w.lower() for w in words]))]
+                classes, common = histograms(data, words)
+                levels = (np.sqrt(classes / classes.sum()) * _LEVELS).astype(int)
+                if language not in words_of:
+                    words_of[language] = np.zeros(_WORD_BINS, np.int64)
+                    levels_of[language] = np.zeros((_CHAR_BINS, _LEVELS + 1), np.int64)
+                words_of[language] += common * _SCALE // common.sum()
+                levels_of[language][np.arange(_CHAR_BINS), levels] += 1
+            for language, sums in words_of.items():
+                yield pd.DataFrame({"lang": language, "bin": np.arange(_WORD_BINS), "level": -1, "total": sums})
+                bins, levels = levels_of[language].nonzero()
+                yield pd.DataFrame(
+                    {"lang": language, "bin": bins, "level": levels, "total": levels_of[language][bins, levels]}
                 )
-                sums[language] = sums.get(language, 0) + row
-            for language, row in sums.items():
-                yield pd.DataFrame({"lang": language, "bin": np.arange(len(row)), "total": row.astype(np.int64)})
 
     rows = (
         df.select(F.col(f"`{lang}`").alias("l"), F.col(f"`{text}`").alias("t"))
         .where(F.col("l").isin(known))
-        .mapInPandas(partial, "lang string, bin int, total long")
-        .groupBy("lang", "bin")
+        .mapInPandas(partial, "lang string, bin int, level int, total long")
+        .groupBy("lang", "bin", "level")
         .agg(F.sum("total").alias("total"))
-        .collect()
+        .toPandas()
     )
-    tables = {language: np.zeros(1 + _CHAR_BINS + _WORD_BINS) for language in known}
-    for row in rows:
-        tables[row["lang"]][row["bin"]] = row["total"]
     made = {}
-    for language, table in tables.items():
-        if table[0]:
-            chars, words = table[1 : 1 + _CHAR_BINS], table[1 + _CHAR_BINS :]
-            made[language] = (chars / chars.sum(), words / words.sum())
+    for language, own in rows.groupby("lang"):
+        words = np.zeros(_WORD_BINS)
+        common = own[own["level"] < 0]
+        words[common["bin"]] = common["total"]
+        counts = np.zeros((_CHAR_BINS, _LEVELS + 1))
+        graded = own[own["level"] >= 0]
+        counts[graded["bin"], graded["level"]] = graded["total"]
+        half = np.cumsum(counts, axis=1) * 2 >= counts.sum(axis=1, keepdims=True)
+        chars = (half.argmax(axis=1) / _LEVELS) ** 2
+        made[language] = (chars / chars.sum(), words / words.sum())
     return made
 
 
@@ -193,7 +206,7 @@ def rate_quality(
         rows, chars, commons = [], [], []
         for data in _texts(texts):
             words = data.split()
-            classes, common = histograms(data, [w.lower() for w in words])
+            classes, common = histograms(data, data.lower().split())
             repeats = repeated_words(words)
             rows.append(
                 (

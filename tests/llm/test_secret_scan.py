@@ -1,0 +1,67 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.automaton import Automaton
+from tidemark.llm.secret_scan import BASE_KINDS, MASK, Scanner, redact_secrets, scan_secrets
+
+SCANNER = Scanner()
+PATTERNS = {
+    "assign": (
+        re.compile(
+            r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD])|(?:[pP][aA][sS][sS][wW][dD])|(?:[sS][eE][cC][rR][eE][tT])|"""
+            r"""(?:[tT][oO][kK][eE][nN])|(?:[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+        ),
+        lambda m: len(m[2]) >= 6,
+    ),
+    "access": (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
+    "hex": (re.compile("[0-9a-f]+"), lambda m: len(m[0]) >= 24),
+}
+PIECES = [
+    "token", "ToKeN", "secret", "passwd", "password", "api_key", "apikey", "AKIA", "AKIAAKIA", "=", ":", " ", '"', "'",
+    "abcdef", "0123456789abcdef", "ABCDEFGHIJKLMNOP", "x", "é", "\n", ".", "ghp_", "ſ", "-----BEGIN PRIVATE KEY-----",
+]
+
+
+def expected(text):
+    spans = []
+    for order, (kind, (pattern, fits)) in enumerate(PATTERNS.items()):
+        spans += [(m.start(), order, m.end(), kind) for m in pattern.finditer(text) if fits(m)]
+    return [(start, end, kind) for start, _, end, kind in sorted(spans)]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=24).map("".join))
+def test_base_spans_equal_regex_search(text):
+    assert [s for s in SCANNER.find(text) if s[2] in BASE_KINDS] == expected(text)
+
+
+@pytest.mark.parametrize(
+    ("pattern", "text"),
+    [("ab{2,3}c?", "xabbcabbbbc"), ("(a|bc)*d", "abcd bcbcd d"), ("[0-9]{2}", "a12345"), ("x+y", "xxxyxy")],
+)
+def test_ends_equal_regex_ends(pattern, text):
+    found = {at for at, _ in Automaton([(pattern, False)]).ends(text.encode())}
+    assert found == {e for s in range(len(text)) for e in range(s + 1, len(text) + 1) if re.fullmatch(pattern, text[s:e])}
+
+
+def test_own_kinds():
+    text = "a ghp_" + "a1B2" * 10 + " b -----BEGIN RSA PRIVATE KEY----- c"
+    assert [s[2] for s in SCANNER.find(text)] == ["github", "private_key"]
+    assert SCANNER.mask(text) == f"a {MASK} b {MASK} c"
+
+
+def test_frame(spark):
+    rows = [(1, None, "x"), (2, "", "x"), (2, "", "x"), (3, "token = abcdef1", None), (4, "w " * 50000, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    out = {r["doc_id"]: r for r in scan_secrets(df).collect()}
+    assert out[3]["n_assign"] == 1 and out[3]["spans"] == "assign:0:15"
+    assert out[1]["spans"] == out[2]["spans"] == out[4]["spans"] == ""
+    assert out[1]["base_sha256"] == hashlib.sha256(b"").hexdigest()
+    assert scan_secrets(df).count() == 5
+    assert scan_secrets(df.limit(0)).count() == 0
+    masked = {r["doc_id"]: r["text"] for r in redact_secrets(df).collect()}
+    assert masked[3] == MASK and masked[1] is None and masked[2] == ""

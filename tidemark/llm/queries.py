@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, url_filters
+from . import quality_rules, secret_scan, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,10 +51,16 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select(*[c for c in rated.columns if c not in ("text", "lang")])
 
 
+def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return secret_scan.scan_secrets(documents).drop("text")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
         "op3_quality_rules": op3_quality_rules,
+        "op9_secret_scans": op9_secret_scans,
     }
 
 

@@ -1,0 +1,52 @@
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm.html_text import LABELLED, extract_text, main_text, text_blocks, trained_tree
+
+TREE = trained_tree()
+
+
+def test_learns_its_table():
+    for page in LABELLED:
+        kept = main_text("".join(part for part, _ in page), TREE)
+        wanted = "\n".join(b.text for part, main in page if main for b in text_blocks(part))
+        assert kept == wanted
+
+
+def test_held_out_pages():
+    page = (
+        "<html><head><title>T</title><script>var t='</p>';</script></head><body><header><p>Site name</p></header>"
+        "<nav><ul><li><a href='/a'>a</a></li></ul></nav><!-- ad --><div class='ad-top'>Buy it.</div>"
+        "<article><h1>A &amp; B</h1><p>One<br>two\n three &lt;b&gt;</p><p><b>Open.<br><p>Nine &nbsp; lives.</article>"
+        "<div class=comments><p>" + "I think so too. " * 20 + "</p></div><form>Mail <input> <button>Go</button></form>"
+        "<footer>&copy; x</footer>"
+    )
+    assert main_text(page, TREE) == "A & B\nOne two three <b>\nOpen.\nNine lives."
+
+
+def test_made_pages():
+    """Pages of a different make, with known main text."""
+    for n in range(40):
+        body = [f"Paragraph {i} " + "word " * (i * n % 37) + "end." for i in range(1 + n % 7)]
+        page = (
+            "<body><div id='topbar'>Free delivery today</div><main>"
+            + "".join(f"<p class='x'>{p}</p>" for p in body)
+            + "<aside><p>" + "More of this here. " * 12 + "</p></aside></main><div class='widget'>See also this</div>"
+        )
+        assert main_text(page, TREE) == "\n".join(body)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'", ">", "<", "a b", "&amp;", "<!--", "-->", "<script>", '"', "</article>", "<article>"]), max_size=30).map("".join))
+def test_never_fails(page):
+    assert isinstance(main_text(page, TREE), str)
+
+
+def test_frame(spark):
+    rows = [(1, None, "t"), (2, "", "t"), (3, "<article><p>Hi  there</p></article>", None), (3, "<article><p>Hi  there</p></article>", None), (4, "<p>" + "w " * 200_000, "t")]
+    df = spark.createDataFrame(rows, "page_id long, html string, text string")
+    out = extract_text(df).select("page_id", "text", "n_chars").collect()
+    assert [(r["text"], r["n_chars"]) for r in out if r["page_id"] == 3] == [("Hi there", 8)] * 2
+    assert [(r["text"], r["n_chars"]) for r in out if r["page_id"] < 3] == [("", 0)] * 2
+    assert next(r for r in out if r["page_id"] == 4)["n_chars"] == 399_999
+    assert extract_text(df.limit(0)).count() == 0

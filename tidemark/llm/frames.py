@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,3 +31,27 @@ def with_fields(df: DataFrame, made: Column, fields: Iterable[str], keep: Iterab
 def shuffle_width(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+_ARROW = {
+    "long": pa.int64(),
+    "int": pa.int32(),
+    "double": pa.float64(),
+    "boolean": pa.bool_(),
+    "string": pa.string(),
+    "binary": pa.binary(),
+}
+
+
+def names_of(fields: str) -> list[str]:
+    """Column names of a ``name type, ...`` list."""
+    return [field.split()[0] for field in fields.split(", ")]
+
+
+def record_batch(fields: str, columns: dict[str, list]) -> pa.RecordBatch:
+    """Arrow rows of a ``name type, ...`` list; columns that aren't given are null."""
+    rows = len(next(iter(columns.values())))
+    schema = pa.schema([(name, _ARROW[kind]) for name, kind in map(str.split, fields.split(", "))])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns.get(f.name, [None] * rows), type=f.type) for f in schema], schema=schema
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, quality_rules, secret_scan, url_filters
+from . import fingerprints, html_text, quality_rules, secret_scan, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select(*[c for c in rated.columns if c not in ("text", "lang")])
 
 
+def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages").select("page_id", "url", "html")
     return html_text.extract_text(pages).drop("html")
@@ -65,6 +69,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
         "op3_quality_rules": op3_quality_rules,
+        "op7_document_fingerprints": op7_document_fingerprints,
         "op8_html_extraction": op8_html_extraction,
         "op9_secret_scans": op9_secret_scans,
     }

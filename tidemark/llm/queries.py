@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, quality_rules, secret_scan, url_filters
+from . import fingerprints, html_text, lattice_lm, quality_rules, secret_scan, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -65,6 +66,11 @@ def op9_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.scan_secrets(documents).drop("text")
 
 
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return lattice_lm.score_documents(documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -72,6 +78,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_document_fingerprints": op7_document_fingerprints,
         "op8_html_extraction": op8_html_extraction,
         "op9_secret_scans": op9_secret_scans,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, lattice_lm, quality_rules, secret_scan, url_filters
+from . import fingerprints, html_text, lattice_lm, near_dups, quality_rules, secret_scan, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select(*[c for c in rated.columns if c not in ("text", "lang")])
 
 
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dups.near_duplicates(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -75,6 +79,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
         "op3_quality_rules": op3_quality_rules,
+        "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op7_document_fingerprints": op7_document_fingerprints,
         "op8_html_extraction": op8_html_extraction,
         "op9_secret_scans": op9_secret_scans,

@@ -8,6 +8,9 @@ DATA = "/root/testdata/sf0.001"
 
 def test_stages_one_after_the_other(spark, tmp_path):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    clean = docs.where("lang = 'en' AND length(text) > 1000").orderBy("doc_id").limit(1)
+    planted = clean.selectExpr("9999L AS doc_id", "reverse(text) || ' token = abcdef123456' AS text", "lang", "source")
+    docs = docs.unionByName(planted.selectExpr("*", "CAST(length(text) AS BIGINT) AS n_chars"))
     start = docs.count()
     columns = docs.columns
     counts = {}
@@ -25,4 +28,4 @@ def test_stages_one_after_the_other(spark, tmp_path):
     assert {r["doc_id"] for r in docs.select("doc_id").distinct().collect()} == {r["doc_id"] for r in texts.collect()}
     ran = corpus_pipeline.run(spark, DATA)
     key = lambda rows: Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
-    assert key(ran.collect()) == key(docs.collect())
+    assert key(ran.collect()) == key(docs.where("doc_id <> 9999").collect())

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, secret_scan, url_filters
+from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, secret_scan, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return byte_tokens.token_digests(documents, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
 def op7_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprint_edits(_table(spark, folder, "documents").select("doc_id", "text"))
 
@@ -86,6 +91,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_quality_rules": op3_quality_rules,
         "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_bpe_encoding": op6_bpe_encoding,
         "op7_document_fingerprints": op7_document_fingerprints,
         "op8_html_extraction": op8_html_extraction,
         "op9_secret_scans": op9_secret_scans,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, secret_scan, url_filters
+from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, secret_scan, token_files, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,11 @@ FROM parts p LEFT JOIN found f ON p.host = f.host AND p.path = f.path
 """
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    return token_files.token_digests(documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     rated = quality_rules.rate_quality(documents)
@@ -88,6 +93,7 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
+        "op2_token_files": op2_token_files,
         "op3_quality_rules": op3_quality_rules,
         "op4_minhash_near_dedup": op4_minhash_near_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,

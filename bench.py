@@ -35,8 +35,7 @@ HEADLINE = [
     "profile_fanout",
     "reconcile_gold",
     "product_seller_pairs",
-    "status_advance",
-    "new_batch_order_items",
+    "shuffled_sample",
 ]
 REPEATS = 3
 

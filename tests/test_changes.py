@@ -1,24 +1,17 @@
-"""Seeded samples and change batches."""
+"""Seeded samples, pairs and open orders."""
 
 import hashlib
 import math
+import re
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import rows, ts
-from tidemark.functions.draws import digest, draw_between, draw_choice, draw_money
-from tidemark.operators.changes import (
-    NEW_STATUSES,
-    NEXT_STATUS,
-    PAYMENT_TYPES,
-    advance_status,
-    new_order_batch,
-    product_seller_pairs,
-)
-from tidemark.operators.ranking import POSITION, shuffled_positions, shuffled_sample
-
-NOW = "2030-01-01 12:00:00"
+from tests.helpers import rows
+from tidemark.functions.draws import digest
+from tidemark.operators.changes import orders_in, product_seller_pairs
+from tidemark.operators.ranking import POSITION, share_of, shuffled_positions, shuffled_sample
 
 
 def expected_order(seed, n):
@@ -40,105 +33,50 @@ def test_sample_by_rows_and_by_share_agree(spark):
     assert {r["id"] for r in shuffled_sample(df, ["id"], "x", share=0.02).collect()} == first
     big = shuffled_sample(spark.range(30_000), ["id"], "x", rows=20_000)
     assert big.count() == 20_000 and big.distinct().count() == 20_000
-    assert shuffled_sample(df, ["id"], "x", share=0.0001).count() == math.ceil(5000 * 0.001)
+    assert shuffled_sample(df, ["id"], "x", share=0.0001).count() == 1
+    assert shuffled_sample(spark.range(100_000), ["id"], "x", share=0.0001).count() == 10
     with pytest.raises(ValueError):
         shuffled_sample(df, ["id"], "x")
 
 
-def test_draws_stay_in_range_and_cover_it(spark):
-    c = F.col("id")
-    df = spark.range(2000).select(
-        draw_between(1, 3, "a", c).alias("n"),
-        draw_choice(["x", "y"], "b", c).alias("s"),
-        draw_money(5, 80, "c", c).alias("m"),
-        digest("d", F.lit(None).cast("string")).alias("h"),
-    )
-    assert {r[0] for r in df.select("n").distinct().collect()} == {1, 2, 3}
-    assert {r[0] for r in df.select("s").distinct().collect()} == {"x", "y"}
-    low, high = df.agg(F.min("m"), F.max("m")).first()
-    assert 5 <= low < 10 and 75 < high <= 80
-    assert df.first()["h"] == hashlib.md5(b"d|").hexdigest()
-
-
-def orders(spark):
-    statuses = ["created", "approved", "processing", "shipped", "delivered", "canceled"]
-    data = [(f"o{i}", statuses[i % 6], ts("2020-01-01")) for i in range(600)]
-    return spark.createDataFrame(data, "order_id string, order_status string, updated_at timestamp_ntz")
-
-
-def test_status_moves_one_step(spark):
-    before = dict(rows(orders(spark), "order_id", "order_status"))
-    moved = advance_status(orders(spark), NOW, "seed", rows=200)
-    assert moved.count() == 200
-    after_created = set()
-    for r in moved.collect():
-        old = before[r.order_id]
-        assert r.updated_at == ts(NOW)
-        if old == "created":
-            after_created.add(r.order_status)
-        else:
-            assert r.order_status == NEXT_STATUS[old]
-    assert len(after_created) == 1 and after_created < {"approved", "processing"}
-    again = advance_status(orders(spark).repartition(9), NOW, "seed", rows=200)
-    assert rows(again) == rows(moved)
+@pytest.mark.parametrize("groups", [1, 7, 1000])
+def test_groups_do_not_change_the_result(spark, groups):
+    df = spark.range(2000)
+    got = {r["id"] for r in shuffled_sample(df, ["id"], "x", rows=150, groups=groups).collect()}
+    assert got == set(expected_order("x", 2000)[:150])
+
+
+@pytest.mark.parametrize("share", [1, 0.5, 0.1, 0.07, 0.0005, 1e-7, Decimal("0.333333333333333333")])
+def test_share_is_exact(spark, share):
+    for n in (0, 1, 3, 999, 10_000):
+        expected = math.ceil(n * Decimal(str(share)))
+        assert spark.range(1).select(share_of(spark.range(n), share).alias("n")).first()["n"] == expected
+
+
+def test_share_out_of_range(spark):
+    for share in (0, -0.1, 1.01):
+        with pytest.raises(ValueError):
+            shuffled_sample(spark.range(5), ["id"], "x", share=share)
+
+
+def test_sample_filters_before_the_exchange(spark):
+    plan = shuffled_sample(spark.range(5000), ["id"], "x", rows=10)._jdf.queryExecution().optimizedPlan().toString()
+    below_window = plan[plan.index("row_number") :]
+    assert re.search(r"Filter .*< 10\)", below_window)
+
+
+def test_digest(spark):
+    row = spark.range(1).select(digest("d", F.lit(None).cast("string")).alias("h")).first()
+    assert row["h"] == hashlib.md5(b"d|").hexdigest()
+
+
+def test_open_orders(spark):
+    df = spark.createDataFrame([(1, "created"), (2, "delivered"), (3, None), (4, "shipped")], "order_id int, order_status string")
+    assert rows(orders_in(df), "order_id") == [(1,), (4,)]
+    assert rows(orders_in(df, ["delivered"]), "order_id") == [(2,)]
 
 
 def test_pairs_skip_unknown_sides(spark):
     data = [("p", "s"), ("p", "s"), ("p", None), (None, "s")]
     df = spark.createDataFrame(data, "product_id string, seller_id string")
     assert rows(product_seller_pairs(df)) == [("p", "s")]
-
-
-@pytest.mark.parametrize("key_type", ["string", "bigint"])
-def test_new_order_batch(spark, key_type):
-    customers = spark.range(100).select(
-        F.col("id").cast(key_type).alias("customer_id"),
-        F.col("id").cast(key_type).alias("customer_unique_id"),
-        F.col("id").cast("int").alias("customer_zip_code_prefix"),
-        F.concat(F.lit("city"), "id").alias("customer_city"),
-        F.lit("ST").alias("customer_state"),
-        F.lit("2020-01-01").cast("timestamp_ntz").alias("created_at"),
-        F.lit("2020-01-01").cast("timestamp_ntz").alias("updated_at"),
-    )
-    items = spark.range(500).select(
-        F.col("id").cast(key_type).alias("order_id"),
-        (F.col("id") % 37).cast(key_type).alias("product_id"),
-        (F.col("id") % 5).cast(key_type).alias("seller_id"),
-    )
-    batch = new_order_batch(spark, customers, items, NOW, "s", 30, 20)
-    assert batch.customers.count() == 20
-    assert batch.customers.schema == customers.schema or (
-        batch.customers.dtypes == customers.dtypes
-    )
-    places = set(rows(customers, "customer_zip_code_prefix", "customer_city"))
-    assert set(rows(batch.customers, "customer_zip_code_prefix", "customer_city")) <= places
-    new = batch.orders.collect()
-    assert len(new) == len({r.order_id for r in new}) == 50
-    assert {r.order_status for r in new} <= set(NEW_STATUSES)
-    known = {r[0] for r in rows(customers, "customer_id")}
-    fresh = {r[0] for r in rows(batch.customers, "customer_id")}
-    assert len([r for r in new if r.customer_id in known]) == 30
-    assert len([r for r in new if r.customer_id in fresh]) == 20
-    for r in new:
-        assert (r.order_approved_at is None) == (r.order_status == "created")
-        if r.order_approved_at:
-            assert 300 <= (r.order_approved_at - r.order_purchase_timestamp).total_seconds() <= 7200
-        days = (r.order_estimated_delivery_date - r.order_purchase_timestamp).days
-        assert 7 <= days <= 25
-        assert r.order_delivered_carrier_date is None
-    lines = batch.order_items.collect()
-    sold = set(rows(items, "product_id", "seller_id"))
-    totals, numbers = {}, {}
-    for r in lines:
-        assert (r.product_id, r.seller_id) in sold
-        assert 20 <= r.price <= 1000 and 5 <= r.freight_value <= 80
-        assert 1 <= (r.shipping_limit_date - ts(NOW)).days <= 5
-        totals[r.order_id] = totals.get(r.order_id, 0) + r.price + r.freight_value
-        numbers.setdefault(r.order_id, []).append(r.order_item_id)
-    assert all(sorted(n) == list(range(1, len(n) + 1)) and len(n) <= 3 for n in numbers.values())
-    paid = batch.order_payments.collect()
-    assert {r.order_id: r.payment_value for r in paid} == totals
-    for r in paid:
-        assert r.payment_type in PAYMENT_TYPES and r.payment_sequential == 1
-        assert r.payment_installments == 1 or r.payment_type == "credit_card"
-        assert 1 <= r.payment_installments <= 6

@@ -1,7 +1,7 @@
-"""Repeatable pseudo-random draws derived from row keys.
+"""Repeatable pseudo-random order derived from row keys.
 
 ``rand()`` gives other values when a lost task is recomputed or the data is
-partitioned differently. These draws depend on the key and a seed alone.
+partitioned differently. These digests depend on the key and a seed alone.
 """
 
 from __future__ import annotations
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_DRAW_DIGITS = 15  # 60 bits: fits a signed bigint
+_DRAW_DIGITS = 15
+DRAW_BITS = 4 * _DRAW_DIGITS  # 60: fits a signed bigint
 
 
 def digest(seed: str, *parts: Column) -> Column:
@@ -21,20 +22,3 @@ def digest(seed: str, *parts: Column) -> Column:
 def as_number(hex_digest: Column) -> Column:
     """First 60 bits of a digest as a non-negative bigint."""
     return F.conv(F.substring(hex_digest, 1, _DRAW_DIGITS), 16, 10).cast("bigint")
-
-
-def draw_between(low: int, high: int, seed: str, *parts: Column) -> Column:
-    """Uniform integer in [low, high]."""
-    return F.lit(low) + F.pmod(as_number(digest(seed, *parts)), F.lit(high - low + 1))
-
-
-def draw_choice(options: list[str], seed: str, *parts: Column) -> Column:
-    """One of the given strings."""
-    position = draw_between(1, len(options), seed, *parts).cast("int")
-    return F.element_at(F.array(*[F.lit(o) for o in options]), position)
-
-
-def draw_money(low: int, high: int, seed: str, *parts: Column) -> Column:
-    """Amount with two decimals in [low, high]."""
-    cents = draw_between(low * 100, high * 100, seed, *parts)
-    return (cents.cast("decimal(14,0)") / F.lit(100)).cast("decimal(12,2)")

@@ -1,27 +1,14 @@
-"""Change sets: incremental batches derived from the tables themselves.
-
-They reproduce what a shop does between two loads (orders move on, new orders
-with items and a payment arrive, some from new customers). All choices are
-seeded draws from keys, so a batch can be recomputed exactly.
-"""
+"""What incremental batches are drawn from: pairs sold before, orders still open."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import MONEY
-from tidemark.functions.draws import as_number, digest, draw_between, draw_choice, draw_money
-from tidemark.operators.ranking import POSITION, shuffled_positions, shuffled_sample
-
-# Fixed values of the order life cycle.
-OPEN_STATUSES = ["created", "approved", "processing", "shipped"]
-NEXT_STATUS = {"approved": "processing", "processing": "shipped", "shipped": "delivered"}
-AFTER_CREATED = ["approved", "processing"]
-NEW_STATUSES = ["created", "processing", "approved"]
-PAYMENT_TYPES = ["credit_card", "boleto", "voucher", "debit_card"]
+#: The states in which an order still moves.
+OPEN_STATUSES = ("created", "approved", "processing", "shipped")
 
 
 def product_seller_pairs(order_items: DataFrame) -> DataFrame:
@@ -30,169 +17,6 @@ def product_seller_pairs(order_items: DataFrame) -> DataFrame:
     return order_items.filter(known).select("product_id", "seller_id").distinct()
 
 
-def advance_status(
-    orders: DataFrame,
-    now: str,
-    seed: str,
-    rows: int | None = None,
-    share: float | None = None,
-) -> DataFrame:
-    """Move a random sample of open orders one step on and stamp ``updated_at``.
-
-    All sampled "created" orders move to the same status, drawn once per run.
-    Delivery dates are left as they are.
-    """
-    open_orders = orders.filter(F.col("order_status").isin(OPEN_STATUSES))
-    sample = shuffled_sample(open_orders, ["order_id"], seed, rows=rows, share=share)
-    status = F.when(
-        F.col("order_status") == "created", draw_choice(AFTER_CREATED, f"{seed}/created")
-    )
-    for before, after in NEXT_STATUS.items():
-        status = status.when(F.col("order_status") == before, F.lit(after))
-    return sample.withColumns(
-        {
-            "order_status": status,
-            "updated_at": F.lit(now).cast(orders.schema["updated_at"].dataType),
-        }
-    )
-
-
-@dataclass(frozen=True)
-class OrderBatch:
-    """New rows for four tables; keys are consistent across them."""
-
-    customers: DataFrame
-    orders: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-
-
-def _new_id(like: str, seed: str, *parts: Column) -> Column:
-    """A key for a new row in the type of the existing key."""
-    text = digest(seed, *parts)
-    return text if like == "string" else as_number(text).cast(like)
-
-
-def new_order_batch(
-    spark: SparkSession,
-    customers: DataFrame,
-    order_items: DataFrame,
-    now: str,
-    seed: str,
-    from_existing: int | float,
-    from_new: int | float,
-) -> OrderBatch:
-    """One new order per sampled existing customer and per new customer.
-
-    ``from_existing`` / ``from_new`` are row counts (int) or shares of the
-    customer table (float). A new customer copies the location of a random
-    existing one. Every order gets 1-3 items over pairs sold before and one
-    payment equal to its items' price plus freight.
-    """
-    id_type = customers.schema["customer_id"].dataType.simpleString()
-    known = customers.filter(F.col("customer_id").isNotNull())
-    stamp = F.lit(now).cast("timestamp_ntz")
-
-    def size(n: int | float) -> dict:
-        return {"rows": n} if isinstance(n, int) else {"share": n}
-
-    returning = shuffled_sample(known, ["customer_id"], f"{seed}/returning", **size(from_existing))
-    # Donors of a location are drawn with replacement: slot -> random position.
-    slots = shuffled_sample(known, ["customer_id"], f"{seed}/slots", **size(from_new)).select(
-        F.col("customer_id").alias("slot")
-    )
-    total = known.agg(F.count("*").alias("n")).scalar()
-    location = ["customer_zip_code_prefix", "customer_city", "customer_state"]
-    donors = shuffled_positions(known, ["customer_id"], f"{seed}/donors").select(
-        POSITION, *location
-    )
-    pick = F.pmod(as_number(digest(f"{seed}/donor", F.col("slot"))), total) + 1
-    added_at = F.lit(now).cast(customers.schema["updated_at"].dataType)
-    new_customers = (
-        slots.withColumn(POSITION, pick)
-        .join(donors, POSITION)
-        .select(
-            _new_id(id_type, f"{seed}/customer", F.col("slot")).alias("customer_id"),
-            _new_id(
-                customers.schema["customer_unique_id"].dataType.simpleString(),
-                f"{seed}/person",
-                F.col("slot"),
-            ).alias("customer_unique_id"),
-            *location,
-            added_at.alias("created_at"),
-            added_at.alias("updated_at"),
-        )
-    )
-
-    buyers = returning.select("customer_id").unionByName(new_customers.select("customer_id"))
-    order_id_type = order_items.schema["order_id"].dataType.simpleString()
-    order_ids = buyers.select(
-        _new_id(order_id_type, f"{seed}/order", F.col("customer_id")).alias("order_id"),
-        "customer_id",
-    )
-    oid = F.col("order_id")
-    status = draw_choice(NEW_STATUSES, f"{seed}/status", oid)
-    approved_at = stamp + F.make_dt_interval(mins=draw_between(5, 120, f"{seed}/approval", oid))
-    estimate = stamp + F.make_dt_interval(days=draw_between(7, 25, f"{seed}/estimate", oid))
-    no_time = F.lit(None).cast("timestamp_ntz")
-    orders = order_ids.select(
-        "order_id",
-        "customer_id",
-        status.alias("order_status"),
-        stamp.alias("order_purchase_timestamp"),
-        F.when(status.isin("approved", "processing"), approved_at).alias("order_approved_at"),
-        no_time.alias("order_delivered_carrier_date"),
-        no_time.alias("order_delivered_customer_date"),
-        estimate.alias("order_estimated_delivery_date"),
-        stamp.alias("created_at"),
-        stamp.alias("updated_at"),
-    )
-
-    pairs = product_seller_pairs(order_items)
-    pair_total = pairs.agg(F.count("*").alias("n")).scalar()
-    ranked_pairs = shuffled_positions(pairs, ["product_id", "seller_id"], f"{seed}/pairs")
-    lines = order_ids.select(
-        "order_id",
-        F.explode(F.sequence(F.lit(1), draw_between(1, 3, f"{seed}/lines", oid).cast("int"))).alias(
-            "order_item_id"
-        ),
-    )
-    line = (oid, F.col("order_item_id"))
-    shipping = stamp + F.make_dt_interval(days=draw_between(1, 5, f"{seed}/shipping", *line))
-    items = (
-        lines.withColumn(
-            POSITION, F.pmod(as_number(digest(f"{seed}/pair", *line)), pair_total) + 1
-        )
-        .join(ranked_pairs, POSITION)
-        .select(
-            "order_id",
-            "order_item_id",
-            "product_id",
-            "seller_id",
-            shipping.alias("shipping_limit_date"),
-            draw_money(20, 1000, f"{seed}/price", *line).alias("price"),
-            draw_money(5, 80, f"{seed}/freight", *line).alias("freight_value"),
-            stamp.alias("created_at"),
-            stamp.alias("updated_at"),
-        )
-    )
-
-    kind = draw_choice(PAYMENT_TYPES, f"{seed}/payment", oid)
-    payments = (
-        items.groupBy("order_id")
-        .agg(F.sum(F.col("price") + F.col("freight_value")).cast(MONEY).alias("payment_value"))
-        .select(
-            "order_id",
-            F.lit(1).alias("payment_sequential"),
-            kind.alias("payment_type"),
-            F.when(
-                kind == "credit_card", draw_between(1, 6, f"{seed}/installments", oid).cast("int")
-            )
-            .otherwise(1)
-            .alias("payment_installments"),
-            F.col("payment_value").cast("decimal(12,2)").alias("payment_value"),
-            stamp.alias("created_at"),
-            stamp.alias("updated_at"),
-        )
-    )
-    return OrderBatch(new_customers, orders, items, payments)
+def orders_in(orders: DataFrame, statuses: Sequence[str] = OPEN_STATUSES) -> DataFrame:
+    """Orders in one of the given states; the list is pushed down to the scan."""
+    return orders.filter(F.col("order_status").isin(list(statuses)))

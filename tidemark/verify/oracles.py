@@ -6,7 +6,7 @@ in a spec shows up as a difference.
 
 from __future__ import annotations
 
-from tidemark.verify.queries import FIRST_LOAD_END, GRAINS, NOW, SEED, SHARE
+from tidemark.verify.queries import FIRST_LOAD_END, GRAINS, SAMPLE_ROWS, SEED, SHARE, SMALL_SHARE
 from tidemark.verify.shapes import as_sql
 
 # table: (columns in order, columns to trim, key, newest-first column)
@@ -354,65 +354,13 @@ class Script:
             name, f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM {rows}"
         )
 
-    def sampled(self, name: str, rows: str, keys: list[str], seed: str) -> str:
+    def sampled(self, name: str, rows: str, keys: list[str], seed: str, wanted: str) -> str:
+        """The first rows of the shuffled order; ``wanted`` is SQL over the row count n."""
         ranked = self.shuffled(f"{name}_ranked", rows, keys, seed)
         return self.step(
             name,
             f"SELECT * EXCLUDE (position) FROM {ranked} "
-            f"WHERE position <= (SELECT ceil(count(*) * {SHARE}) FROM {rows})",
-        )
-
-    def batch_orders(self) -> str:
-        known = self.valid("customers")
-        back = self.sampled("returning_ones", known, ["customer_id"], f"{SEED}/returning")
-        new = self.batch_customers()
-        return self.step(
-            "batch_order_ids",
-            f"""SELECT {_number(f"{SEED}/order", "customer_id")} AS order_id, customer_id FROM
-            (SELECT customer_id FROM {back} UNION ALL SELECT customer_id FROM {new})""",
-        )
-
-    def batch_customers(self) -> str:
-        known = self.valid("customers")
-        slots = self.sampled("slots", known, ["customer_id"], f"{SEED}/slots")
-        donors = self.shuffled("donors", known, ["customer_id"], f"{SEED}/donors")
-        draw = _number(f"{SEED}/donor", "s.customer_id")
-        return self.step(
-            "batch_customers",
-            f"""SELECT {_number(f"{SEED}/customer", "s.customer_id")} AS customer_id,
-            {_number(f"{SEED}/person", "s.customer_id")} AS customer_unique_id,
-            d.customer_zip_code_prefix, d.customer_city, d.customer_state,
-            CAST(TIMESTAMP '{NOW}' AS DATE) AS created_at,
-            CAST(TIMESTAMP '{NOW}' AS DATE) AS updated_at
-            FROM {slots} s JOIN {donors} d
-            ON d.position = {draw} % (SELECT count(*) FROM {known}) + 1""",
-        )
-
-    def batch_items(self) -> str:
-        pairs = self.step(
-            "pairs",
-            f"""SELECT DISTINCT product_id, seller_id FROM {self.valid("order_items")}
-            WHERE product_id IS NOT NULL AND seller_id IS NOT NULL""",
-        )
-        ranked = self.shuffled("ranked_pairs", pairs, ["product_id", "seller_id"], f"{SEED}/pairs")
-        lines = self.step(
-            "lines",
-            f"""SELECT order_id,
-            CAST(unnest(range(1, {_between(1, 3, f"{SEED}/lines", "order_id")} + 1)) AS INT)
-            AS order_item_id FROM {self.batch_orders()}""",
-        )
-        line = ("order_id", "order_item_id")
-        draw = _number(f"{SEED}/pair", *line)
-        return self.step(
-            "batch_items",
-            f"""SELECT order_id, order_item_id, product_id, seller_id,
-            TIMESTAMP '{NOW}' + to_days(CAST({_between(1, 5, f"{SEED}/shipping", *line)} AS INT))
-            AS shipping_limit_date,
-            {_money(20, 1000, f"{SEED}/price", *line)} AS price,
-            {_money(5, 80, f"{SEED}/freight", *line)} AS freight_value,
-            TIMESTAMP '{NOW}' AS created_at, TIMESTAMP '{NOW}' AS updated_at
-            FROM {lines} JOIN {ranked}
-            ON position = {draw} % (SELECT count(*) FROM {pairs}) + 1""",
+            f"WHERE position <= (SELECT {wanted} FROM (SELECT count(*) AS n FROM {rows}))",
         )
 
 
@@ -421,24 +369,6 @@ def _digest(seed: str, *keys: str) -> str:
     return f"md5('{seed}|' || {texts})"
 
 
-def _number(seed: str, *keys: str) -> str:
-    return f"CAST('0x' || substr({_digest(seed, *keys)}, 1, 15) AS BIGINT)"
-
-
-def _between(low: int, high: int, seed: str, *keys: str) -> str:
-    return f"({low} + {_number(seed, *keys)} % {high - low + 1})"
-
-
-def _choice(options: list[str], seed: str, *keys: str) -> str:
-    listed = ", ".join(f"'{o}'" for o in options)
-    return f"([{listed}])[{_between(1, len(options), seed, *keys)}]"
-
-
-def _money(low: int, high: int, seed: str, *keys: str) -> str:
-    cents = _between(low * 100, high * 100, seed, *keys)
-    return f"CAST(CAST({cents} AS DECIMAL(14, 0)) * 0.01 AS DECIMAL(12, 2))"
-
-
 def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
@@ -900,59 +830,18 @@ def _changes() -> dict[str, str]:
         "WHERE product_id IS NOT NULL AND seller_id IS NOT NULL"
     )
     s = Script()
-    sample = s.sampled("picked", s.valid("orders"), ["order_id"], SEED)
-    found["shuffled_sample"] = s.select(f"SELECT * FROM {sample}")
-    s = Script()
-    open_ones = s.step(
-        "open_ones",
+    found["open_orders"] = s.select(
         f"SELECT * FROM {s.valid('orders')} "
-        "WHERE order_status IN ('created', 'approved', 'processing', 'shipped')",
-    )
-    picked = s.sampled("picked", open_ones, ["order_id"], SEED)
-    after_created = (
-        f"(['approved', 'processing'])[1 + CAST('0x' || substr(md5('{SEED}/created'), 1, 15) "
-        "AS BIGINT) % 2]"
-    )
-    found["status_advance"] = s.select(
-        f"""SELECT * REPLACE (
-        CASE order_status WHEN 'created' THEN {after_created}
-            WHEN 'approved' THEN 'processing' WHEN 'processing' THEN 'shipped'
-            WHEN 'shipped' THEN 'delivered' END AS order_status,
-        TIMESTAMP '{NOW}' AS updated_at) FROM {picked}"""
-    )
-    s = Script()
-    found["new_batch_customers"] = s.select(f"SELECT * FROM {s.batch_customers()}")
-    s = Script()
-    ids = s.batch_orders()
-    status = _choice(["created", "processing", "approved"], f"{SEED}/status", "order_id")
-    minutes = _between(5, 120, f"{SEED}/approval", "order_id")
-    days = _between(7, 25, f"{SEED}/estimate", "order_id")
-    found["new_batch_orders"] = s.select(
-        f"""SELECT order_id, customer_id, {status} AS order_status,
-        TIMESTAMP '{NOW}' AS order_purchase_timestamp,
-        CASE WHEN {status} <> 'created' THEN TIMESTAMP '{NOW}' + to_minutes({minutes}) END
-            AS order_approved_at,
-        CAST(NULL AS TIMESTAMP) AS order_delivered_carrier_date,
-        CAST(NULL AS TIMESTAMP) AS order_delivered_customer_date,
-        TIMESTAMP '{NOW}' + to_days(CAST({days} AS INT)) AS order_estimated_delivery_date,
-        TIMESTAMP '{NOW}' AS created_at, TIMESTAMP '{NOW}' AS updated_at FROM {ids}"""
-    )
-    s = Script()
-    found["new_batch_order_items"] = s.select(f"SELECT * FROM {s.batch_items()}")
-    s = Script()
-    items = s.batch_items()
-    kind = _choice(
-        ["credit_card", "boleto", "voucher", "debit_card"], f"{SEED}/payment", "order_id"
-    )
-    parts = _between(1, 6, f"{SEED}/installments", "order_id")
-    found["new_batch_order_payments"] = s.select(
-        f"""SELECT order_id, 1 AS payment_sequential, {kind} AS payment_type,
-        CAST(CASE WHEN {kind} = 'credit_card' THEN {parts} ELSE 1 END AS INT)
-            AS payment_installments,
-        CAST(sum(price + freight_value) AS DECIMAL(12, 2)) AS payment_value,
-        TIMESTAMP '{NOW}' AS created_at, TIMESTAMP '{NOW}' AS updated_at
-        FROM {items} GROUP BY order_id"""
+        "WHERE order_status IN ('created', 'approved', 'processing', 'shipped')"
     )
+    for query, wanted in (
+        ("shuffled_sample", f"CAST(ceil(n * CAST({SHARE} AS DECIMAL(9, 6))) AS BIGINT)"),
+        ("shuffled_sample_rows", str(SAMPLE_ROWS)),
+        ("shuffled_sample_small_share", f"CAST(ceil(n * CAST({SMALL_SHARE} AS DECIMAL(9, 6))) AS BIGINT)"),
+    ):
+        s = Script()
+        picked = s.sampled("picked", s.valid("orders"), ["order_id"], SEED, wanted)
+        found[query] = s.select(f"SELECT * FROM {picked}")
     return found
 
 

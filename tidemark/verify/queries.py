@@ -40,8 +40,9 @@ INCREMENTAL = [name for name, spec in TABLES.items() if spec.is_incremental]
 SHORT = {"product_category_name_translation": "translation"}
 
 SEED = "batch-1"
-NOW = "2030-01-01 12:00:00"
 SHARE = 0.02
+SMALL_SHARE = 0.0005
+SAMPLE_ROWS = 37
 
 
 class Shop:
@@ -518,26 +519,22 @@ def _profiles() -> dict[str, Query]:
 # -- change sets -------------------------------------------------------------------
 
 
-def _batch(s: Shop) -> changes.OrderBatch:
-    return changes.new_order_batch(
-        s.spark, s.silver("customers"), s.silver("order_items"), NOW, SEED, SHARE, SHARE
-    )
-
-
 def _changes() -> dict[str, Query]:
     found: dict[str, Query] = {
         "product_seller_pairs": over_shop(
             lambda s: changes.product_seller_pairs(s.source("order_items"))
         ),
+        "open_orders": over_shop(lambda s: changes.orders_in(s.silver("orders"))),
         "shuffled_sample": over_shop(
             lambda s: shuffled_sample(s.silver("orders"), ["order_id"], SEED, share=SHARE)
         ),
-        "status_advance": over_shop(
-            lambda s: changes.advance_status(s.silver("orders"), NOW, SEED, share=SHARE)
+        "shuffled_sample_rows": over_shop(
+            lambda s: shuffled_sample(s.silver("orders"), ["order_id"], SEED, rows=SAMPLE_ROWS)
+        ),
+        "shuffled_sample_small_share": over_shop(
+            lambda s: shuffled_sample(s.silver("orders"), ["order_id"], SEED, share=SMALL_SHARE)
         ),
     }
-    for table in ("customers", "orders", "order_items", "order_payments"):
-        found[f"new_batch_{table}"] = over_shop(lambda s, t=table: getattr(_batch(s), t))
     return found
 
 

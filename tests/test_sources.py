@@ -1,8 +1,8 @@
 """JDBC read options. No database is started: only what is asked of it is checked."""
 
 from tidemark.operators.watermark import Watermark
-from tidemark.sources import FrameSource, JdbcSource, JdbcSplit
-from tidemark.sources.jdbc import delta_query
+from tidemark.sources import FrameSource, JdbcHexSplit, JdbcSource, JdbcSplit
+from tidemark.sources.jdbc import delta_query, identifier
 from tidemark.specs import TABLES
 
 MARK = Watermark("updated_at", "timestamp_ntz", "2020-01-01 00:00:00.5")
@@ -23,6 +23,9 @@ class FakeReader:
     def load(self):
         return self.seen
 
+    def jdbc(self, url, table, predicates, properties):
+        return {"url": url, "table": table, "predicates": predicates, "properties": properties}
+
 
 class FakeSession:
     @property
@@ -38,7 +41,7 @@ def source(**settings):
 def test_whole_table():
     seen = source().read(TABLES["orders"])
     assert seen["format"] == "jdbc"
-    assert seen["dbtable"] == "public.orders"
+    assert seen["dbtable"] == '"public"."orders"'
     assert seen["driver"] == "org.postgresql.Driver"
     assert seen["fetchsize"] == "10000"
     assert seen["preferTimestampNTZ"] == "true"
@@ -61,17 +64,43 @@ def test_parallel_slice_starts_at_the_mark():
     assert source(splits={"orders": other}).read_since(TABLES["orders"], MARK)["lowerBound"] == "1"
 
 
+def test_slice_bounds_follow_the_mark():
+    for upper, expected in (("2020-06-01", "2020-06-01"), (MARK.text, MARK.text), ("2018-01-01", MARK.text)):
+        split = JdbcSplit("updated_at", "2016-01-01", upper, 64).above(MARK)
+        assert (split.lower, split.upper) == (MARK.text, expected)
+    number = JdbcSplit("id", "1", "900", 8).above(Watermark("id", "bigint", "1000"))
+    assert (number.lower, number.upper) == ("1000", "1000")
+    assert JdbcSplit("id", "1", "900", 8).above(Watermark("id", "bigint", "20")).upper == "900"
+
+
+def test_hex_keys_are_read_by_prefix(spark):
+    split = JdbcHexSplit("order_id", digits=1)
+    seen = source(splits={"orders": split}).read_since(TABLES["orders"], MARK)
+    assert len(seen["predicates"]) == 16
+    assert seen["predicates"][0] == """("order_id" < '1' OR "order_id" IS NULL)"""
+    assert "dbtable" not in seen["properties"] and seen["properties"]["fetchsize"] == "10000"
+    keys = [None, "", "0a", "1", "ff", "zz", *[f"{i * 37 % 256:02x}" for i in range(99)]]
+    df = spark.createDataFrame([(k,) for k in keys], "order_id string")
+    found = [df.filter(p).count() for p in JdbcHexSplit("order_id", 2).predicates("order_id")]
+    assert len(found) == 256 and sum(found) == len(keys)
+
+
+def test_identifiers_are_quoted():
+    assert identifier('a"b') == '"a""b"'
+    assert delta_query("s", "t", MARK, quote="`").startswith("(SELECT * FROM `s`.`t` WHERE `updated_at` >= ")
+
+
 def test_delta_is_selected_by_the_database():
     query = delta_query("public", "orders", MARK)
     assert query == (
-        "(SELECT * FROM public.orders WHERE updated_at >= "
+        '(SELECT * FROM "public"."orders" WHERE "updated_at" >= '
         "TIMESTAMP '2020-01-01 00:00:00.5') AS changed_rows"
     )
     assert source().read_since(TABLES["orders"], MARK)["dbtable"] == query
 
 
 def test_no_mark_reads_the_whole_table():
-    assert source().read_since(TABLES["orders"], None)["dbtable"] == "public.orders"
+    assert source().read_since(TABLES["orders"], None)["dbtable"] == '"public"."orders"'
 
 
 def test_frame_source(spark):

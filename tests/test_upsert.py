@@ -98,6 +98,28 @@ def test_has_effect(spark):
     assert not has_effect(target, null_key, ["k", "j"], null_safe=True)
 
 
+def test_has_effect_counts_every_row_of_a_key(spark):
+    target = frame(spark, [(1, 1, "a"), (1, 1, "b"), (2, 1, "c")])
+    assert has_effect(target, frame(spark, [(1, 1, "a")]), ["k", "j"])
+    assert not has_effect(target, frame(spark, [(2, 1, "c")]), ["k", "j"])
+    twice = frame(spark, [(2, 1, "c"), (2, 1, "c")])
+    assert has_effect(target, twice, ["k", "j"])  # the merge must raise
+    assert has_effect(target, frame(spark, [(9, 9, "x"), (9, 9, "x")]), ["k", "j"])  # inserts
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(
+    target=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 1), st.sampled_from("ab")), max_size=6),
+    source=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 1), st.sampled_from("ab")), max_size=4),
+)
+def test_has_effect_equals_the_model(spark, target, source):
+    merged = model(target, source, False)
+    expected = merged is None or sorted(merged) != sorted(target)
+    assert has_effect(frame(spark, target), frame(spark, source), ["k", "j"]) == expected
+
+
 def test_empty_sides(spark):
     some, none = frame(spark, [(1, 1, "a")]), frame(spark, [])
     assert rows(upsert(some, none, ["k", "j"])) == [(1, 1, "a")]

@@ -8,10 +8,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.specs import Rule
 
 MONEY = "decimal(18,2)"
+FINE = "decimal(28,10)"  # in which floats are summed
 
 
 def quoted(name: str) -> Column:
@@ -43,12 +45,21 @@ def all_not_null(columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a & b, [quoted(c).isNotNull() for c in columns])
 
 
-def money_sum(column: str) -> Column:
-    """Exact money total: cast to cents per row, so the order of rows is irrelevant.
+def money_sum(df: DataFrame, column: str) -> Column:
+    """Exact money total, whatever the order of rows: summed first, then rounded to cents.
 
-    Sums of bigint cents take 8 bytes in the aggregation buffer and the shuffle
-    where a decimal sum takes 24, and they reach beyond decimal(18,2).
+    Amounts of whole cents are summed as bigint cents, which take 8 bytes in the
+    aggregation buffer and the shuffle where a decimal sum takes 24, and reach
+    beyond decimal(18,2). Decimals of more places are summed as they are, floats
+    as decimals of ten places, since a float sum depends on the order.
     """
+    kind = df.schema[column].dataType
+    whole_cents = isinstance(kind, T.IntegralType) or (
+        isinstance(kind, T.DecimalType) and kind.scale <= 2
+    )
+    if not whole_cents:
+        exact = isinstance(kind, T.DecimalType)
+        return F.sum(quoted(column) if exact else quoted(column).cast(FINE)).cast(MONEY)
     cents = F.sum((quoted(column).cast(MONEY) * 100).cast("bigint"))
     return (cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(MONEY)
 

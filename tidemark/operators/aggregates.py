@@ -15,15 +15,15 @@ from tidemark.functions.columns import money_sum
 def item_summary(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("order_id").agg(
         F.count("*").alias("item_line_count"),
-        money_sum("price").alias("total_product_value"),
-        money_sum("freight_value").alias("total_freight_value"),
+        money_sum(order_items, "price").alias("total_product_value"),
+        money_sum(order_items, "freight_value").alias("total_freight_value"),
     )
 
 
 def payment_summary(order_payments: DataFrame) -> DataFrame:
     return order_payments.groupBy("order_id").agg(
         F.count("*").alias("payment_count"),
-        money_sum("payment_value").alias("total_payment_value"),
+        money_sum(order_payments, "payment_value").alias("total_payment_value"),
     )
 
 
@@ -38,7 +38,7 @@ def customer_order_summary(fact_orders: DataFrame) -> DataFrame:
     bought = "order_purchase_timestamp"
     return fact_orders.groupBy("customer_id").agg(
         F.count("*").alias("order_count"),
-        money_sum("total_product_value").alias("total_product_value"),
+        money_sum(fact_orders, "total_product_value").alias("total_product_value"),
         F.min(bought).alias("first_order_timestamp"),
         F.max(bought).alias("last_order_timestamp"),
     )
@@ -50,6 +50,6 @@ def product_sales_summary(order_items: DataFrame) -> DataFrame:
     return order_items.groupBy("product_id").agg(
         F.count("*").alias("order_line_count"),
         F.countDistinct("order_id").alias("order_count"),
-        money_sum("price").alias("total_product_value"),
-        money_sum("freight_value").alias("total_freight_value"),
+        money_sum(order_items, "price").alias("total_product_value"),
+        money_sum(order_items, "freight_value").alias("total_freight_value"),
     )

@@ -163,6 +163,9 @@ def childless_count(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
     return parent.join(referred, key, "left_anti").agg(F.count("*").alias("childless_rows"))
 
 
+ROWS, COUNT = "decimal(38,0)", "decimal(19,0)"
+
+
 def fan_out(parent: DataFrame, children: Sequence[DataFrame], key: str) -> DataFrame:
     """Rows a plain left join of all children would give, without making them.
 
@@ -170,14 +173,14 @@ def fan_out(parent: DataFrame, children: Sequence[DataFrame], key: str) -> DataF
     times.
     """
     wide = parent.select(quoted(key))
-    product = F.lit(1).cast("bigint")
+    product = F.lit(1).cast(ROWS)  # a bigint overflows with a few hot children
     for i, child in enumerate(children):
         counted = child.groupBy(quoted(key)).agg(F.count("*").alias(f"__n{i}"))
         wide = wide.join(counted, key, "left")
-        product = product * F.coalesce(F.col(f"__n{i}"), F.lit(1))
+        product = (product * F.coalesce(F.col(f"__n{i}"), F.lit(1)).cast(COUNT)).cast(ROWS)
     per_key = wide.groupBy(quoted(key).alias("__key")).agg(F.sum(product).alias("__rows"))
     return per_key.agg(
-        F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows_after_join"),
+        F.coalesce(F.sum("__rows"), F.lit(0)).cast(ROWS).alias("rows_after_join"),
         F.count("__key").alias("distinct_keys"),
     )
 

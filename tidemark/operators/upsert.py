@@ -62,19 +62,38 @@ def _matched(keys: Sequence[str]) -> Column:
 
 
 def has_effect(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    unique_keys: bool = False,
 ) -> bool:
-    """Whether an upsert would change the target at all.
+    """Whether an upsert would change the target, or fail, at all.
 
-    ``target`` may be limited to the rows that could equal a source row. Re-read
-    boundary rows are usually there already, and then nothing needs rewriting.
+    It does if a source row has a NULL key (plain equality inserts it again), a
+    key that the target lacks, or a key of which some target row differs from
+    the source row - or of which the source has several rows, which is an error
+    that the merge must raise. All target rows of a key count, so ``target`` is
+    the whole table; the side that is joined to it is the source's keys.
+
+    Where both sides are known to have one row for each key (``unique_keys``),
+    it is enough to look for source rows that the target lacks, and ``target``
+    may be limited to the rows that could equal one.
     """
     source = aligned(source, target)
     if not null_safe and not source.filter(~all_not_null(keys)).isEmpty():
-        return True  # rows with a NULL key are inserted again
-    if source.count() > target.count():
-        return True  # cheap, and true for almost every real change set
-    return not source.exceptAll(target.select(*source.columns)).isEmpty()
+        return True
+    if unique_keys:
+        return not source.exceptAll(target.select(*source.columns)).isEmpty()
+    if not null_safe:
+        source = source.filter(all_not_null(keys))
+    incoming = _one_per_key(source, keys, unique=False)
+    row = F.struct(*[quoted(c) for c in source.columns])
+    touched = target.join(incoming, _same_key(keys, null_safe), "inner")
+    if not touched.filter((F.col(_COUNT) > 1) | ~row.eqNullSafe(F.col(_NEW))).isEmpty():
+        return True
+    known = target.select(*_renamed_keys(target, keys)).distinct()
+    return not source.join(known, _same_key(keys, null_safe), "left_anti").isEmpty()
 
 
 def upsert(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from tidemark.operators.upsert import has_effect
-from tidemark.operators.watermark import since
 from tidemark.shared import staged
 from tidemark.specs import TABLES, TableSpec
 from tidemark.warehouse import Warehouse
@@ -31,8 +30,9 @@ def ingest(warehouse: Warehouse, source, spec: TableSpec, refresh: bool = False)
     # The merge reads its source more than once; a live database could answer
     # differently each time, so the slice is fetched once.
     changes = staged(source.read_since(spec, mark))
-    at_risk = since(warehouse.read(LAYER, spec.name), mark)
-    if not has_effect(at_risk, changes, spec.ingest_keys):
+    # The whole table, not only rows at the mark: an older row of the same key
+    # would be updated as well.
+    if not has_effect(warehouse.read(LAYER, spec.name), changes, spec.ingest_keys):
         return UNCHANGED
     warehouse.merge(LAYER, spec.name, changes, keys=spec.ingest_keys, mark=spec.watermark)
     return MERGED

@@ -58,7 +58,8 @@ def refine(warehouse: Warehouse, spec: TableSpec) -> None:
     rows = staged(judged(since(batch, mark), spec))
     write_quarantine(warehouse, spec, rejected(rows), mark)
     valid = accepted(rows)
-    if has_effect(since(warehouse.read("silver", name), mark), valid, spec.keys):
+    at_risk = since(warehouse.read("silver", name), mark)
+    if has_effect(at_risk, valid, spec.keys, unique_keys=True):
         warehouse.merge("silver", name, valid, spec.keys, mark_column, source_is_unique=True)
 
 
@@ -78,7 +79,7 @@ def write_quarantine(
         warehouse.overwrite("quarantine", name, bad)
         return
     listed = since(warehouse.read("quarantine", name), mark)
-    if has_effect(listed, bad, spec.keys, null_safe=True):
+    if has_effect(listed, bad, spec.keys, null_safe=True, unique_keys=True):
         warehouse.merge(
             "quarantine", name, bad, spec.keys, null_safe=True, source_is_unique=True
         )

@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder the cluster names in ``spark.checkpoint.dir``, or else the one
+    set with ``SparkContext.setCheckpointDir``.
 
-    Only a local session without the setting falls back to a new temporary
-    folder; on a cluster such a folder would exist on one machine only.
+    Only a local session without either falls back to a new temporary folder; on
+    a cluster such a folder would exist on one machine only.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if context.master.startswith("local"):
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         return context.getCheckpointDir().rstrip("/")
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 

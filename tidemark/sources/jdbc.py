@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,8 +26,14 @@ class JdbcSplit:
     partitions: int
 
     def above(self, mark: Watermark) -> JdbcSplit:
-        """Ranges of a slice: from the mark upwards where it is on the same column."""
-        return replace(self, lower=mark.text) if self.column == mark.column else self
+        """Ranges of a slice: from the mark upwards where it is on the same column.
+
+        Marks outgrow a configured upper bound; it moves along, since a lower
+        bound above the upper one is an error.
+        """
+        if self.column != mark.column:
+            return self
+        return replace(self, lower=mark.text, upper=max(self.upper, mark.text, key=_ordered))
 
     def options(self) -> dict[str, str]:
         return {
@@ -37,14 +44,53 @@ class JdbcSplit:
         }
 
 
-def delta_query(schema: str, table: str, mark: Watermark) -> str:
+def identifier(name: str, mark: str = '"') -> str:
+    """A name as the database reads it literally."""
+    return mark + name.replace(mark, mark * 2) + mark
+
+
+def delta_query(schema: str, table: str, mark: Watermark, quote: str = '"') -> str:
     """Subquery with the rows at or above the mark, as a typed literal."""
     return (
-        f"(SELECT * FROM {schema}.{table} "
-        f"WHERE {mark.column} >= {mark.sql_literal()}) AS changed_rows"
+        f"(SELECT * FROM {identifier(schema, quote)}.{identifier(table, quote)} "
+        f"WHERE {identifier(mark.column, quote)} >= {mark.sql_literal()}) AS changed_rows"
     )
 
 
+def _ordered(bound: str) -> tuple[int, Decimal, str]:
+    """Numbers in numeric order; dates and timestamps as ISO text."""
+    try:
+        return (0, Decimal(bound), "")
+    except InvalidOperation:
+        return (1, Decimal(0), bound)
+
+
+@dataclass(frozen=True)
+class JdbcHexSplit:
+    """Parallel read of a table whose key is lower-case hexadecimal text.
+
+    Such keys can't be range bounds; each task reads the keys that start with
+    one prefix range of ``digits`` digits. Other keys, NULL included, go to the
+    outer ranges, so every row is read once.
+    """
+
+    column: str
+    digits: int = 1
+
+    def predicates(self, column: str) -> list[str]:
+        cuts = [f"{n:0{self.digits}x}" for n in range(1, 16**self.digits)]
+        ranges = zip([None, *cuts], [*cuts, None])
+        made = [
+            " AND ".join(
+                part
+                for part in (low and f"{column} >= '{low}'", high and f"{column} < '{high}'")
+                if part
+            )
+            for low, high in ranges
+        ]
+        return [f"({made[0]} OR {column} IS NULL)", *made[1:]]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Tables of one database schema.
@@ -58,13 +104,16 @@ class JdbcSource:
     url: str
     options: Mapping[str, str]
     schema: str = "public"
-    splits: Mapping[str, JdbcSplit] = field(default_factory=dict)
+    splits: Mapping[str, JdbcSplit | JdbcHexSplit] = field(default_factory=dict)
     fetch_size: int = 10_000
+    quote: str = '"'  # the database's mark around identifiers
 
     def read_options(
         self, spec: TableSpec, dbtable: str, mark: Watermark | None = None
     ) -> dict[str, str]:
         split = self.splits.get(spec.name)
+        if isinstance(split, JdbcHexSplit):
+            split = None
         if split and mark:
             split = split.above(mark)
         return {
@@ -79,13 +128,18 @@ class JdbcSource:
         }
 
     def read(self, spec: TableSpec) -> DataFrame:
-        return self._load(spec, f"{self.schema}.{spec.name}")
+        return self._load(spec, f"{identifier(self.schema, self.quote)}.{identifier(spec.name, self.quote)}")
 
     def read_since(self, spec: TableSpec, mark: Watermark | None) -> DataFrame:
         if mark is None:
             return self.read(spec)
-        return self._load(spec, delta_query(self.schema, spec.name, mark), mark)
+        return self._load(spec, delta_query(self.schema, spec.name, mark, self.quote), mark)
 
     def _load(self, spec: TableSpec, dbtable: str, mark: Watermark | None = None) -> DataFrame:
-        reader = self.spark.read.format("jdbc")
-        return reader.options(**self.read_options(spec, dbtable, mark)).load()
+        options = self.read_options(spec, dbtable, mark)
+        split = self.splits.get(spec.name)
+        if isinstance(split, JdbcHexSplit):
+            url, table = options.pop("url"), options.pop("dbtable")
+            predicates = split.predicates(identifier(split.column, self.quote))
+            return self.spark.read.jdbc(url, table, predicates=predicates, properties=options)
+        return self.spark.read.format("jdbc").options(**options).load()

@@ -750,7 +750,8 @@ def _profiles() -> dict[str, str]:
         for t in ("order_items", "order_payments", "order_reviews")
     )
     found["profile_fanout"] = s.select(
-        "SELECT count(*) AS rows_after_join, count(DISTINCT o.order_id) AS distinct_keys "
+        "SELECT CAST(count(*) AS DECIMAL(38, 0)) AS rows_after_join, "
+        "count(DISTINCT o.order_id) AS distinct_keys "
         f"FROM {s.valid('orders')} o {joins}"
     )
     s = Script()

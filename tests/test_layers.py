@@ -218,6 +218,29 @@ def test_change_batch_reaches_gold(spark, house):
     assert moved.count() == 10
 
 
+def keyed(spark, *data):
+    return FrameSource({"orders": spark.createDataFrame(
+        [(k, status, ts(f"2020-01-0{day}")) for k, status, day in data],
+        "order_id string, order_status string, updated_at timestamp_ntz")})
+
+
+def test_every_row_of_a_key_is_updated(spark, house):
+    """An older row of the key, below the mark, takes the newest values too."""
+    source = keyed(spark, ("k", "old", 1), ("k", "new", 5), ("z", "new", 2))
+    assert ingest(house, source, TABLES["orders"]) == LOADED
+    assert ingest(house, source, TABLES["orders"]) == MERGED
+    assert rows(house.read("bronze", "orders"), "order_id", "order_status") == [
+        ("k", "new"), ("k", "new"), ("z", "new")]
+    assert ingest(house, source, TABLES["orders"]) == UNCHANGED
+
+
+def test_several_source_rows_for_a_known_key_are_an_error(spark, house):
+    source = keyed(spark, ("k", "a", 5), ("k", "b", 5))
+    assert ingest(house, source, TABLES["orders"]) == LOADED
+    with pytest.raises(Exception, match="several source rows"):
+        ingest(house, source, TABLES["orders"])
+
+
 def test_bronze_covers_all_tables(spark, house):
     from tidemark.verify.queries import Shop
 

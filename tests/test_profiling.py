@@ -86,6 +86,12 @@ def test_fan_out_equals_the_real_join(spark):
     assert rows(p.fan_out(parent, [a, b], "k")) == [expected]
 
 
+def test_fan_out_beyond_a_bigint(spark):
+    parent = spark.range(1).withColumnRenamed("id", "k")
+    child = spark.range(3_000_000).select(F.lit(0).cast("long").alias("k"))
+    assert rows(p.fan_out(parent, [child] * 3, "k")) == [(27 * 10**18, 1)]
+
+
 def test_entity_reports(spark):
     people = spark.createDataFrame([("u", 1), ("u", 2), ("w", 3), ("z", 4)], "u string, c int")
     orders = spark.createDataFrame([(1, 10), (1, 11), (2, 12), (3, 13), (8, 1)], "c int, o int")

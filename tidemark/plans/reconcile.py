@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.profiling import orphan_value
-
 _TOTAL = "decimal(28,2)"
 
 
@@ -14,6 +12,25 @@ def _total(df: DataFrame, column: str, dtype: str):
     return df.agg(F.coalesce(F.sum(column), F.lit(0)).cast(dtype).alias("total")).scalar()
 
 
+def item_totals(order_items: DataFrame, products: DataFrame) -> DataFrame:
+    """One struct: the value of all items, and of those whose product is unknown.
+
+    Items are summed per product before the join, so they are read once and a
+    best-seller is one row in it.
+    """
+    per_product = order_items.groupBy("product_id").agg(F.sum("price").alias("value"))
+    known = products.select("product_id").distinct().withColumn("known", F.lit(True))
+    judged = per_product.join(known, "product_id", "left")
+
+    def total(value):
+        return F.coalesce(F.sum(value), F.lit(0)).cast(_TOTAL)
+
+    orphan = F.when(F.col("known").isNull(), F.col("value"))
+    return judged.agg(
+        F.struct(total(F.col("value")).alias("all_items"), total(orphan).alias("orphans")).alias("t")
+    )
+
+
 def reconciliation(
     customer_summary: DataFrame,
     fact_orders: DataFrame,
@@ -33,13 +50,18 @@ def reconciliation(
         .cast(_TOTAL)
         .alias("customer_summary_total"),
     )
-    orphans = orphan_value(order_items, products, "product_id", "price")
+    items = item_totals(order_items, products).scalar()
     totals = totals.select(
         "*",
         _total(fact_orders, "total_product_value", _TOTAL).alias("fact_orders_total"),
         _total(product_summary, "total_product_value", _TOTAL).alias("product_summary_total"),
-        _total(order_items, "price", _TOTAL).alias("order_items_total"),
-        _total(orphans, "orphan_value", _TOTAL).alias("orphan_product_value"),
+        items.alias("__items"),
+    ).select(
+        *[c for c in totals.columns],
+        "fact_orders_total",
+        "product_summary_total",
+        F.col("__items.all_items").alias("order_items_total"),
+        F.col("__items.orphans").alias("orphan_product_value"),
     )
     return totals.select(
         "*",

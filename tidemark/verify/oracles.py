@@ -448,6 +448,14 @@ def _marts() -> dict[str, str]:
         s = Script()
         steps = s.per_order(*[s.valid(f"order_{t}") for t in ("items", "payments", "reviews")])
         found[name] = s.select(f"SELECT * FROM {steps[position]}")
+    s = Script()
+    found["item_summary_fine_amounts"] = s.select(
+        f"""SELECT order_id, count(*) AS item_line_count,
+        CAST(sum(CAST(price * 0.001 AS DECIMAL(12, 4))) AS DECIMAL(18, 2)) AS total_product_value,
+        CAST(sum(CAST(CAST(freight_value AS DOUBLE) * 0.125 AS DECIMAL(28, 10)))
+            AS DECIMAL(18, 2)) AS total_freight_value
+        FROM {s.valid("order_items")} GROUP BY order_id"""
+    )
     for name, build in (
         ("customer_order_summary", Script.per_customer),
         ("product_sales_summary", Script.per_product),
@@ -463,6 +471,22 @@ def _marts() -> dict[str, str]:
 def _runs() -> dict[str, str]:
     found = {}
     s = Script()
+    valid = s.valid("orders")
+    versions = s.step(
+        "two_versions",
+        f"""SELECT * FROM {valid} UNION ALL SELECT * REPLACE ('older' AS order_status,
+        updated_at - INTERVAL 900 DAY AS updated_at) FROM {valid}""",
+    )
+    newest = s.step(
+        "newest",
+        f"SELECT * FROM {versions} WHERE updated_at >= (SELECT max(updated_at) FROM {versions})",
+    )
+    found["bronze_repeated_keys"] = s.select(
+        f"""SELECT n.* FROM {versions} b JOIN {newest} n ON b.order_id = n.order_id
+        UNION ALL SELECT b.* FROM {versions} b
+        WHERE NOT EXISTS (SELECT 1 FROM {newest} n WHERE n.order_id = b.order_id)"""
+    )
+    s = Script()
     parts = [("bronze", t, s.run_bronze(t, 2)) for t in LAYOUT]
     parts += [("silver", t, s.run_silver(t)) for t in LAYOUT]
     parts += [("quarantine", t, s.run_bad(t)) for t in VERDICT]

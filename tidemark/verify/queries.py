@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from tidemark.operators.quality import reason_counts
 from tidemark.operators.ranking import shuffled_sample
 from tidemark.operators.upsert import upsert
 from tidemark.plans import gold
+from tidemark.plans.bronze import ingest
 from tidemark.plans.checks import RANGE_CHECKS, STATUS_CHECKS, TIME_ORDER_CHECKS
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.reconcile import reconciliation
@@ -162,6 +164,16 @@ def _incremental() -> dict[str, Query]:
 def _marts() -> dict[str, Query]:
     return {
         "order_item_summary": over_shop(lambda s: aggregates.item_summary(s.silver("order_items"))),
+        "item_summary_fine_amounts": over_shop(
+            lambda s: aggregates.item_summary(
+                s.silver("order_items").withColumns(
+                    {
+                        "price": (F.col("price") * F.lit(Decimal("0.001"))).cast("decimal(12,4)"),
+                        "freight_value": F.col("freight_value").cast("double") * 0.125,
+                    }
+                )
+            )
+        ),
         "order_payment_summary": over_shop(
             lambda s: aggregates.payment_summary(s.silver("order_payments"))
         ),
@@ -227,8 +239,22 @@ def _run_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.row_counts(tables)
 
 
+def _bronze_repeated_keys(s: Shop) -> DataFrame:
+    """Two equal loads of a table in which every key also has an older row."""
+    rows = s.silver("orders")
+    older = rows.withColumns(
+        {"order_status": F.lit("older"), "updated_at": F.expr("updated_at - INTERVAL '900' DAY")}
+    )
+    source = FrameSource({"orders": rows.unionByName(older)})
+    warehouse = new_warehouse(s.spark)
+    for _ in range(2):
+        ingest(warehouse, source, TABLES["orders"])
+    return warehouse.read("bronze", "orders")
+
+
 def _runs() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "bronze_repeated_keys": over_shop(_bronze_repeated_keys),
         "run_row_counts": _run_row_counts,
         "run_bronze_orders": _from_run("bronze", "orders"),
         "run_bronze_order_items": _from_run("bronze", "order_items"),

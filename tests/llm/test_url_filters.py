@@ -1,0 +1,78 @@
+import random
+from collections import Counter
+
+import duckdb
+import pytest
+
+from tidemark.llm.queries import OP1_SQL, op1_url_filters
+from tidemark.llm.url_filters import filter_urls, match_rules, rule_table
+
+DATA = "/root/testdata/sf0.001"
+
+
+def split(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    cut = min((rest.find(c) for c in "/?#" if c in rest), default=len(rest))
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in rest[:cut])
+    path = rest[cut:].split("?")[0].split("#")[0]
+    return host, path
+
+
+def judge(url, rules):
+    host, path = split(url)
+    fits = [
+        (len(h) + len(p), len(h), h + p, v)
+        for v, h, p in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    found = max(fits, default=(0, 0, None, "allow"))
+    return host, path, found[2], found[3]
+
+
+RULES = [
+    ("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.net", "/en/a"), ("allow", "a.example.net", "/e"),
+    ("block", "org", ""), ("allow", "x.org", "/p/"), ("block", "x.org", "/p/"), ("allow", "com", "/é"), ("block", "co", "/"),
+]
+URLS = [
+    None, "", "no scheme", "http://", "http://net", "http://net/", "HTTP://A.Example.NET/en/a?x=1#y", "http://b.example.net/en/b",
+    "http://a.example.net/en", "x://xexample.net/en/a", "http://.net/a", "http://net./a", "http://a..net/", "http://x.org?q=/p/",
+    "http://x.org/p/#/", "https://com/é/ü", "https://z.com/\U0010ffffé", "http://com/e", "http://a://b.net/en/", "http://É.net/\n/x",
+]
+
+
+@pytest.mark.parametrize("salts", [1, 7])
+def test_equals_brute_force(spark, salts, monkeypatch):
+    monkeypatch.setattr(match_rules, "__defaults__", (salts,))
+    rng = random.Random(4)
+    hosts = ["net", "example.net", "a.example.net", "b.a.example.net", "x.org", "org", "com", "q.co"]
+    paths = ["", "/", "/e", "/en/", "/en/a", "/en/ab", "/p/", "/p", "/é"]
+    urls = URLS + [f"http://{rng.choice(hosts)}{rng.choice(paths)}" for _ in range(300)]
+    df = spark.createDataFrame([(i, u, "old") for i, u in enumerate(urls)], "page_id long, url string, Verdict string")
+    out = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in filter_urls(df, rule_table(spark, RULES)).collect()}
+    assert len(out) == len(urls)
+    for i, url in enumerate(urls):
+        assert out[i] == judge(url, RULES), url
+
+
+def test_edge_frames(spark):
+    df = spark.createDataFrame([("http://net/a",), ("http://net/a",), (None,)], "url string")
+    assert Counter(r["rule"] for r in filter_urls(df, rule_table(spark)).collect()) == {"net/": 2, None: 1}
+    none = spark.createDataFrame([("block", None, "/"), (None, "net", "/")], "verdict string, host string, path string")
+    assert {r["verdict"] for r in filter_urls(df, none).collect()} == {"allow"}
+    assert {r["verdict"] for r in filter_urls(df, rule_table(spark).limit(0), default="block").collect()} == {"block"}
+    assert filter_urls(df.limit(0), rule_table(spark)).count() == 0
+
+
+def test_sql(spark):
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW pages AS SELECT * FROM '{DATA}/pages.parquet'")
+    found = op1_url_filters(spark, DATA)
+    wanted = connection.sql(OP1_SQL)
+    assert sorted(map(str, map(tuple, found.select(wanted.columns).collect()))) == sorted(map(str, wanted.fetchall()))
+
+
+def test_no_python_in_the_plan(spark):
+    plan = op1_url_filters(spark, DATA)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan

@@ -45,7 +45,7 @@ def passages(text: str) -> np.ndarray:
 
     def add(piece: bytes) -> None:
         count = seen[piece] = seen.get(piece, -1) + 1
-        digests.append(xxhash.xxh3_64_intdigest(piece, count))
+        digests.append(xxhash.xxh3_64_intdigest(b"%b\0%d" % (piece, count) if count else piece))
 
     for sentence in _SENTENCE.split(text.encode("utf-8", "surrogatepass")):
         words = sentence.split()
@@ -58,7 +58,7 @@ def passages(text: str) -> np.ndarray:
             if zlib.crc32(word) & 7 == 0 or at == len(words):
                 add(b" ".join(words[start:at]))
                 start = at
-    return np.array(digests, np.uint64)
+    return np.unique(np.array(digests, np.uint64))  # a digest that occurs twice could not be peeled
 
 
 def _mixed(keys: np.ndarray, salt: int, number: int) -> np.ndarray:

@@ -12,7 +12,6 @@ Sketches of a batch of documents are built and peeled together in arrays.
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import re
 import zlib
@@ -104,12 +103,12 @@ class _Sketches:
         stuck = np.bincount(self.owner[left], minlength=len(found)) > 0
         return found, ~stuck
 
-    def texts(self) -> list[str]:
-        """Each sketch as base64 text."""
+    def bytes(self) -> list[bytes]:
+        """Each sketch as bytes: counts modulo 2^16, digests, 32 bits of the check values."""
         made = []
         for a, b in zip(self.offsets[:-1], self.offsets[1:]):
-            parts = (self.counts[a:b].astype("<i4"), self.keys[a:b].astype("<u8"), self.checks[a:b].astype("<u8"))
-            made.append(base64.b64encode(b"".join(p.tobytes() for p in parts)).decode())
+            parts = (self.counts[a:b].astype("<i2"), self.keys[a:b].astype("<u8"), self.checks[a:b].astype("<u4"))
+            made.append(b"".join(p.tobytes() for p in parts))
         return made
 
 
@@ -118,10 +117,11 @@ def _flat(sets: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.concatenate([np.zeros(0, np.uint64), *sets])
 
 
-def sketch_texts(sets: Sequence[np.ndarray]) -> list[str]:
+def sketch_sets(sets: Sequence[np.ndarray]) -> list[bytes]:
+    """The fingerprint of each set of passages."""
     made = _Sketches(np.full(len(sets), CELLS))
     made.add(*_flat(sets), 1)
-    return made.texts()
+    return made.bytes()
 
 
 def likeness(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
@@ -151,8 +151,9 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+#: Digests stay bytes until the end: they are written once in between.
 FIELDS = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 #: While documents are walked in order: also the first and the last of each range, with their texts.
@@ -171,9 +172,9 @@ def _compared(ids: list, texts: list[str], following: list[str]) -> Iterator[dic
         yield {
             "doc_id": ids[at : at + GROUP],
             "n_chars": [len(t) for t in own],
-            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed],
-            "fingerprint": sketch_texts(own_sets),
-            "edited_fingerprint": sketch_texts(changed_sets),
+            "edited_sha256": [hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed],
+            "fingerprint": sketch_sets(own_sets),
+            "edited_fingerprint": sketch_sets(changed_sets),
             "near_edited": likeness(own_sets, changed_sets).tolist(),
             "near_next": likeness(own_sets, next_sets).tolist(),
         }
@@ -182,11 +183,11 @@ def _compared(ids: list, texts: list[str], following: list[str]) -> Iterator[dic
 def fingerprint_texts(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``fingerprint`` (an input column of that name is replaced); null counts as empty."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("binary")
     def sketch(texts: pd.Series) -> pd.Series:
-        return pd.Series(sketch_texts([passages(t or "") for t in texts]), dtype=object)
+        return pd.Series(sketch_sets([passages(t or "") for t in texts]), dtype=object)
 
-    return df.withColumn("fingerprint", sketch(F.col(f"`{text}`")))
+    return df.withColumn("fingerprint", F.base64(sketch(F.col(f"`{text}`"))))
 
 
 def fingerprint_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -255,4 +256,12 @@ def fingerprint_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text")
                 yield record_batch(FIELDS, columns)
 
     done = walked.where("role = 'done'").select(*names_of(FIELDS))
-    return done.unionByName(pairs.mapInArrow(finish, FIELDS))
+    return done.unionByName(pairs.mapInArrow(finish, FIELDS)).select(
+        "doc_id",
+        "n_chars",
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        F.base64("fingerprint").alias("fingerprint"),
+        F.base64("edited_fingerprint").alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )

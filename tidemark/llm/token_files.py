@@ -132,7 +132,7 @@ def _model(coder: _Writer | _Reader, lengths: np.ndarray, ids: np.ndarray | None
     """Runs all blocks through the model; ``lengths`` don't rise. Gives the ids (blocks x BLOCK)."""
     blocks = len(lengths)
     out = np.zeros((blocks, int(lengths[0])), np.int64) if ids is None else ids
-    guesses = [np.zeros(blocks * _SLOTS, np.int64) for _ in range(2)]  # order 1 and 2
+    guesses = [np.zeros(blocks * _SLOTS, np.int32) for _ in range(2)]  # order 1 and 2
     trusts = [np.zeros(blocks * _SLOTS, np.int8) for _ in range(2)]  # 0 (nothing yet) to 3
     counts = [np.full((blocks, n), _CERTAIN // 2, np.int32) for n in (32, 4, 1)]
     weights = np.full((3, blocks), 1 << 14, np.int64)
@@ -143,7 +143,7 @@ def _model(coder: _Writer | _Reader, lengths: np.ndarray, ids: np.ndarray | None
         lane = np.arange(active)
         one, two = before[0, :active], before[1, :active]
         slots = [lane * _SLOTS + ((one * 40503) >> 4) % _SLOTS, lane * _SLOTS + ((one * 40503 + two * 30011) >> 3) % _SLOTS]
-        g1, g2 = guesses[0][slots[0]], guesses[1][slots[1]]
+        g1, g2 = (g[slot].astype(np.int64) for g, slot in zip(guesses, slots))
         t1, t2 = trusts[0][slots[0]], trusts[1][slots[1]]
         guess = np.where(t2 > 0, g2, g1)
         known = np.flatnonzero((t1 > 0) | (t2 > 0))

@@ -86,6 +86,9 @@ def test_edge_rows(spark):
     )
     assert sorted(str(r["doc_id"]) for r in drop_near_duplicates(df).collect()) == ["1", "2", "3", "4", "6", "6", "7", "None"]
     assert near_duplicates(df.limit(0)).count() == 0
+    # Of two texts under one id only the copy goes.
+    twice = spark.createDataFrame([(1, "a b c d e f"), (8, "a b c d e f"), (8, "quite another text here now")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in drop_near_duplicates(twice).collect()) == [(1, "a b c d e f"), (8, "quite another text here now")]
 
 
 def test_components(spark):

@@ -13,9 +13,9 @@ the class with the largest regions, and its copies are rarely its neighbours.)
 Candidates whose signatures differ widely are left out, the others confirmed on
 full shingle sets, best ones first; pairs that are already connected need no
 confirmation. In the end, every region whose classes still lie in different
-components is worked through pair by pair, so what neighbours and centres miss
-is not lost: a pair at similarity 0.85 shares eight values in some order with a
-chance of 0.99996, and four with more.
+components is compared in full, block by block inside the tasks, so what
+neighbours and centres miss is not lost: a pair at similarity 0.85 shares eight
+values in some order with a chance of 0.99996.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ SHINGLE = 5  # words
 TREES, SHALLOW, DEEP = 32, 4, 8  # orders; values that a region and a dense region share
 VALUES = TREES * SHALLOW
 DENSE = 64  # classes from which a region is split
+BLOCK_ROWS, BLOCK_HASHES = 1024, 1_000_000  # of a block in which leftover classes are compared
 SIMILAR = 85  # percent
 LOOKALIKE = 0.68  # share of equal signature values: 0.85 less 5 standard deviations
 
@@ -76,17 +77,24 @@ def _node(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.tobytes())
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """Batches cut small, so that few texts are worked on at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _signed(documents: DataFrame) -> DataFrame:
     fields = "doc_id long, row long, n_shingles long, node binary, signature binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(text) for text in batch["text"].to_pylist()]
+        for part in _slices(batches):
+            sets = [shingles(text) for text in part["text"].to_pylist()]
             yield record_batch(
                 fields,
                 {
-                    "doc_id": batch["doc_id"].to_pylist(),
-                    "row": batch["row"].to_pylist(),
+                    "doc_id": part["doc_id"].to_pylist(),
+                    "row": part["row"].to_pylist(),
                     "n_shingles": [len(s) for s in sets],
                     "node": [_node(s) if len(s) else None for s in sets],
                     "signature": [signature(s) if len(s) else None for s in sets],
@@ -108,7 +116,7 @@ def _regions(classes: DataFrame) -> DataFrame:
     shared = keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     return (
         keyed.join(shared, "region")
-        .join(classes, "node")
+        .join(classes.select("node", "signature"), "node")
         .select("node", "tree", _path(F.col("tree"), DEEP).alias("path"), "region", "size")
     )
 
@@ -175,25 +183,30 @@ def _lookalikes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return signed.mapInArrow(compare, fields)
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, sample_rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough.
+def _sets(nodes: DataFrame, documents: DataFrame, sample_rows: DataFrame) -> DataFrame:
+    """(node, hashes): the full shingle sets of some classes.
 
-    Only texts of classes that occur in ``pairs`` are read: by the number of a
-    row of the class.
+    Only texts of these classes are read, by the number of a row of the class.
     """
     fields = "node binary, hashes binary"
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sample_rows, "node")
+    needed = nodes.distinct().join(sample_rows, "node")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(text) for text in batch["text"].to_pylist()]
-            same = [(node, s.tobytes()) for node, s in zip(batch["node"].to_pylist(), sets) if _node(s) == node]
+        for part in _slices(batches):
+            sets = [shingles(text) for text in part["text"].to_pylist()]
+            same = [(node, s.tobytes()) for node, s in zip(part["node"].to_pylist(), sets) if _node(s) == node]
             yield record_batch(fields, {"node": [n for n, _ in same], "hashes": [h for _, h in same]})
 
-    sets = staged(documents.select("row", "text").join(needed, "row").select("node", "text").mapInArrow(collect, fields).dropDuplicates(["node"]))
+    found = documents.select("row", "text").join(needed, "row").select("node", "text").mapInArrow(collect, fields)
+    return staged(found.dropDuplicates(["node"]))
+
+
+def _confirmed(pairs: DataFrame, documents: DataFrame, sample_rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets are similar enough."""
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), documents, sample_rows)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             found: dict[str, list] = {"a": [], "b": []}
             for a, b, one, two in zip(*(batch[c].to_pylist() for c in ("a", "b", "ha", "hb"))):
                 one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
@@ -223,28 +236,77 @@ def _with_roots(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     )
 
 
-def _left_over(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of different components that share a deep region.
+def _links_in_block(block: pa.Table, percent: int) -> pa.Table:
+    """Links of the block's ``outside`` rows with rows of other components.
 
-    In each region, the classes outside its largest component meet those of the
-    other components.
+    Sets are compared by look-up in a table over the block's hashes; pairs that
+    are no links are never written down.
     """
-    places = regions.join(roots, "node", "left").select(
-        F.xxhash64("tree", "path").alias("place"), "node", F.coalesce("root", "node").alias("root")
+    nodes, roots, outside = (block[c].to_pylist() for c in ("node", "root", "outside"))
+    sets = [np.frombuffer(h, np.uint64) for h in block["hashes"].to_pylist()]
+    sizes = np.array([len(s) for s in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1)
+    starts = np.cumsum(sizes) - sizes
+    component = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+    mine = np.zeros(int(ids.max()) + 1, bool)
+    members = np.flatnonzero(~np.array(outside))
+    at = np.concatenate([np.arange(starts[m], starts[m] + sizes[m]) for m in members]) if len(members) else np.zeros(0, int)
+    member_ids, member_starts = ids[at], np.cumsum(sizes[members]) - sizes[members]
+    found: dict[str, list] = {"a": [], "b": []}
+    for row in np.flatnonzero(np.array(outside)) if len(members) else ():
+        own = ids[starts[row] : starts[row] + sizes[row]]
+        mine[own] = True
+        both = np.add.reduceat(mine[member_ids], member_starts, dtype=np.int64)
+        mine[own] = False
+        near = (100 * both >= percent * (sizes[row] + sizes[members] - both)) & (component[members] != component[row])
+        for member in members[near]:
+            found["a"].append(min(nodes[row], nodes[member]))
+            found["b"].append(max(nodes[row], nodes[member]))
+    return pa.Table.from_batches([record_batch("a binary, b binary", found)])
+
+
+def _left_over_links(
+    regions: DataFrame, roots: DataFrame, classes: DataFrame, documents: DataFrame, sample_rows: DataFrame, percent: int
+) -> DataFrame:
+    """Links between different components that share a deep region.
+
+    In each region, the classes outside its largest component are compared with
+    the classes of all others. A large region is a grid of blocks, each of which
+    holds a bounded number of rows and bytes.
+    """
+    places = (
+        regions.join(roots, "node", "left")
+        .join(classes.select("node", "n_shingles"), "node")
+        .select(F.xxhash64("tree", "path").alias("place"), "node", F.coalesce("root", "node").alias("root"), "n_shingles")
+    )
+    parts = places.groupBy("place", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("hashes"))
+    mixed = (
+        parts.groupBy("place")
+        .agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum("hashes").alias("hashes"))
+        .where("parts > 1")
+        .select("place", F.col("top.root").alias("top"), F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("hashes") / BLOCK_HASHES)).cast("int").alias("width"))
+    )
+    rows = staged(places.join(mixed, "place").select("place", "node", "root", "top", "width"))
+    sets = _sets(rows.select("node"), documents, sample_rows)
+    line = F.pmod(F.xxhash64("node"), F.col("width")).cast("int")
+    across = F.sequence(F.lit(0), F.col("width") - 1)
+    cells = rows.select("place", "node", "root", line.alias("i"), F.explode(across).alias("j"), F.lit(False).alias("outside")).unionByName(
+        rows.where("root <> top").select("place", "node", "root", F.explode(across).alias("i"), line.alias("j"), F.lit(True).alias("outside"))
     )
-    largest = places.groupBy("place", "root").agg(F.count("*").alias("n")).groupBy("place").agg(
-        F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("parts")
-    ).where("parts > 1")
-    mixed = places.join(largest.select("place", F.col("top.root").alias("top")), "place")
-    outside = mixed.where("root != top").select("place", F.col("node").alias("one"), F.col("root").alias("root_one"))
     return (
-        outside.join(mixed.select("place", "node", "root"), "place")
-        .where("root_one != root")
-        .select(*_ordered(F.col("one"), F.col("node")))
+        cells.join(sets, "node")
+        .groupBy("place", "i", "j")
+        .applyInArrow(lambda block: _links_in_block(block, percent), "a binary, b binary")
         .distinct()
     )
 
 
+def _numbered(df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, text, row): equal rows share a number."""
+    documents = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every document.
 
@@ -257,45 +319,44 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     smallest; a component of nothing else has a null id and its rows are kept.
     Other columns are left out; an empty table gives an empty one.
     """
-    documents = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).select(
-        "doc_id", "text", F.xxhash64("doc_id", "text").alias("row")
-    )
+    return _judged(_numbered(df, doc_id, text), percent).drop("row")
+
+
+def _judged(documents: DataFrame, percent: int) -> DataFrame:
     signed = staged(_signed(documents))
     grouped = staged(
-        signed.where("node IS NOT NULL").groupBy("node").agg(F.min(F.struct("row", "signature")).alias("any"), F.min("doc_id").alias("least_id"))
+        signed.where("node IS NOT NULL")
+        .groupBy("node")
+        .agg(F.min(F.struct("row", "n_shingles", "signature")).alias("any"), F.min("doc_id").alias("least_id"))
     )
-    classes = grouped.select("node", "any.signature")
+    classes = grouped.select("node", "any.signature", "any.n_shingles")
     sample_rows = grouped.select("node", "any.row")
 
     regions = staged(_regions(classes))
     pairs = staged(_lookalikes(_neighbours(regions).unionByName(_centres(regions)), classes))
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("end"))
-    best = (
-        ends.join(pairs, ["a", "b"])
-        .groupBy("end")
-        .agg(F.max(F.struct("alike", "a", "b")).alias("best"))
-        .select("best.a", "best.b")
-        .distinct()
-    )
-    best = staged(best)
+    ends = pairs.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("end"))
+    best = staged(ends.groupBy("end").agg(F.max(F.struct("alike", "a", "b")).alias("best")).select("best.a", "best.b").distinct())
     links = staged(_confirmed(best, documents, sample_rows, percent))
     roots = connected(links)
     others = staged(_with_roots(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), roots))
-    links = staged(links.unionByName(_confirmed(others, documents, sample_rows, percent)))
-    roots = connected(links)
-    last = staged(_lookalikes(_left_over(regions, roots).join(pairs, ["a", "b"], "left_anti"), classes))
-    links = links.unionByName(_confirmed(last, documents, sample_rows, percent))
-    roots = connected(links)
+    more = staged(_confirmed(others, documents, sample_rows, percent))
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = connected(links)
+    last = staged(_left_over_links(regions, roots, classes, documents, sample_rows, percent))
+    if not last.isEmpty():
+        roots = connected(links.unionByName(last))
 
     # Back to documents: class -> component -> smallest id.
     members = grouped.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
     least = members.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_class = members.join(least, "root").select("node", "component_id")
     return (
-        signed.select("doc_id", "n_shingles", "node")
+        signed.select("doc_id", "row", "n_shingles", "node")
         .join(of_class, "node", "left")
         .select(
             "doc_id",
+            "row",
             "n_shingles",
             F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         )
@@ -305,5 +366,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the document of the smallest id of each group of near duplicates."""
-    dropped = near_duplicates(df, doc_id, text).where("NOT kept").select(F.col("doc_id").alias("__dropped")).distinct()
-    return df.join(dropped, F.col(f"`{doc_id}`").eqNullSafe(F.col("__dropped")), "left_anti")
+    judged = _judged(_numbered(df, doc_id, text), SIMILAR)
+    dropped = judged.where("NOT kept").select(F.col("row").alias("__dropped")).distinct()
+    row = F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
+    return df.join(dropped, row == F.col("__dropped"), "left_anti")

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .frames import with_fields
 
 MASK = 0x1FF  # a cut every 512 bytes on average
-UNITS_KEPT = 250_000
+UNITS_KEPT = 600_000  # about 150 MB in a worker
 CHUNK_BYTES_KEPT = 16_000_000
 
 _GEAR = np.random.default_rng(77).integers(0, 2**32, 256, np.uint32)

@@ -251,3 +251,15 @@ class Automaton:
             elif state == self.dead:
                 break
         return found
+
+    def last_end(self, data: bytes, start: int) -> int:
+        """For an automaton of one place: end of the longest match from ``start`` on, ``start`` if there is none."""
+        table, classes, state, least = self.table, self.classes, self.start, self.first_accept
+        found = start
+        for at in range(start, len(data)):
+            state = table[state + classes[data[at]]]
+            if state >= least:
+                found = at + 1
+            elif state == self.dead:
+                break
+        return found

@@ -3,7 +3,9 @@
 Matches are those that a regex search gives for each rule alone: leftmost, as
 long as possible, not overlapping within a rule, too short ones dropped. All
 rules are built so that the end of a match follows from the bytes after its
-start: a match ends where a maximal stretch of accepting positions ends.
+start: a match ends where a maximal stretch of accepting positions ends. What
+follows a match and belongs to it (the body of a private key) is read on from
+there by an automaton of its own.
 """
 
 from __future__ import annotations
@@ -26,7 +28,19 @@ class Rule(NamedTuple):
     pattern: str
     least: int  # characters of the match; for assignments, of the value
     any_case: bool = False
-
+    tail: str = ""  # what belongs to the match if it follows
+
+
+_DASHES, _KEY = "----(-|\\x20)", r"([A-Z0-9]+ )*PRIVATE KEY( BLOCK)?(-|\x20)----"
+_LINE_END = r"(\x0d?\x0a|\\r\\n|\\n)"
+_BASE64 = "[A-Za-z0-9+/]"
+_KEY_FIELDS = rf"([\x20\x09]*{_LINE_END}[\x20\x09>#*|]*[A-Za-z0-9-]+:[\x20-\x7e\x09]*)*"  # Proc-Type, DEK-Info, Comment
+_BETWEEN = r"""([\x20\x09\x0d\x0a"'+>#*|,;]|\\[nrt])"""  # quoted, commented and escaped keys, too
+#: A private key behind its first line: all up to the last line, or without one the long runs of base64.
+_KEY_BODY = (
+    rf"""{_KEY_FIELDS}[A-Za-z0-9+/=\x20\x09\x0d\x0a\\"'>#*|,;._]*{_DASHES}END {_KEY}"""
+    rf"|{_KEY_FIELDS}({_BETWEEN}*{_BASE64}{{24}}{_BASE64}*)+({_BETWEEN}*{_BASE64}*==?)?"
+)
 
 #: The rules, in the order in which spans at one place are listed.
 #: The run of hex digits has part of its least length in the pattern, since short
@@ -43,7 +57,7 @@ RULES = (
     Rule("github", "gh[oprsu]_[A-Za-z0-9]+", 40),
     Rule("google", "AIza[A-Za-z0-9_-]+", 39),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 60),
-    Rule("private_key", "-----BEGIN ([A-Z]+ )*PRIVATE KEY-----", 27),
+    Rule("private_key", f"{_DASHES}BEGIN {_KEY}", 27, tail=_KEY_BODY),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 20),
     Rule("stripe", "[rs]k_live_[A-Za-z0-9]+", 24),
 )
@@ -70,6 +84,7 @@ class Scanner:
         self.rules = tuple(rules)
         self.forwards = Automaton([(r.pattern, r.any_case) for r in rules])
         self.backwards = [Automaton([(r.pattern, r.any_case)], anywhere=False, backwards=True) for r in rules]
+        self.tails = [Automaton([(r.tail, False)], anywhere=False) if r.tail else None for r in rules]
 
     def find(self, text: str | None) -> list[tuple[int, int, str]]:
         """(start, end, kind) in code points, by start, then order of the rules."""
@@ -94,6 +109,8 @@ class Scanner:
                 start = self.backwards[number].first_start(data, end, bound)
                 if start is None:
                     continue
+                if (tail := self.tails[number]) is not None:
+                    end = tail.last_end(data, end)
                 bound = end
                 length = _value_length(data[start:end]) if rule.kind == "assign" else end - start
                 if length >= rule.least:

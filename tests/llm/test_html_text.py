@@ -1,3 +1,4 @@
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -36,6 +37,39 @@ def test_made_pages():
         assert main_text(page, TREE) == "\n".join(body)
 
 
+BEFORE, BEHIND = "<article><p>What stands before it.</p>", "<p>What stands behind it.</p><p>And the last words.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "hidden",
+    [
+        "<svg width='9' />", "<math/>", "<svg viewBox='0 0 9 9'><path d='M0'/>", "<math><mi>x</mi>", "<noscript>", "<object data='x'>", "<template>",
+        "<div><svg><path></div>", "<svg/><svg><text>hid</text></svg>", "<svg><svg><text>hid</text></svg><text>hid</text></svg>",
+        "<object><object>hid</object>hid</object>", "<template><div>hid<template>hid</template></div><p>hid</p></template>",
+        "<svg><title/><text>hid</text></svg>", "<svg><foreignObject><p>hid</p></foreignObject><text>hid</text></svg>",
+        "<noscript><iframe src='x'></noscript>", "<noscript><p>hid</p></noscript>", "<SVG><text>hid</text></SVG>",
+    ],
+)
+@pytest.mark.parametrize("later", ["", "<svg><text>hid</text></svg><object>hid</object><template>hid</template><noscript>hid</noscript><math><mi>hid</mi></math>"])
+def test_hidden_elements_take_nothing_else(hidden, later):
+    assert main_text(BEFORE + hidden + BEHIND + later, TREE) == "What stands before it.\nWhat stands behind it.\nAnd the last words."
+
+
+def test_raw_text_ends_with_the_page():
+    assert main_text(BEFORE + "<script>var a = '<p>';" + BEHIND, TREE) == "What stands before it."
+
+
+@pytest.mark.parametrize(
+    ("attributes", "place"),
+    [
+        ("class='content no-sidebar'", 1), ("class='post has-share'", 1), ("class='entry with_comments' id=x", 1), ("id=main class='layout-sidebar'", 1),
+        ("class='hentry no-sidebar'", 0), ("class='sidebar'", -1), ("class='ad-top'", -1), ("class='post-comments'", -1), ("class='content comments'", -1),
+    ],
+)
+def test_class_names(attributes, place):
+    assert [b.place for b in text_blocks(f"<div {attributes}>Some words.</div>")] == [place]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'", ">", "<", "a b", "&amp;", "<!--", "-->", "<script>", '"', "</article>", "<article>"]), max_size=30).map("".join))
 def test_never_fails(page):

@@ -9,6 +9,7 @@ keeps or drops it.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -28,11 +29,17 @@ BLOCK_TAGS = frozenset(
     "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search "
     "section select summary table tbody td tfoot th thead tr ul".split()
 )
-HIDDEN_TAGS = frozenset("script style title textarea noscript template iframe svg math object".split())
+RAW_TAGS = frozenset("script style title textarea iframe".split())  # no markup inside; they end at their end tag or with the page
+DRAWN_TAGS = frozenset(("svg", "math"))  # may be closed by "/>", and end where html goes on
+NESTED_TAGS = frozenset(("template", "object")) | DRAWN_TAGS  # hidden elements with markup inside
 SIDE_TAGS = frozenset("nav aside footer form menu dialog search button select fieldset".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTAINERS = frozenset("header section div ul ol dl table blockquote figure details address".split()) | SIDE_TAGS | MAIN_TAGS
+HTML_TAGS = BLOCK_TAGS | frozenset(  # tags that end a drawing, unless one of its elements that hold html is open
+    "b big br code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split()
+)
+HTML_HOLDERS = frozenset("foreignobject desc mi mo mn ms mtext annotation-xml".split())
 #: Words of class, id and role attributes that tell what a container is for.
 SIDE_WORDS = frozenset(
     "ad ads adbox advert advertisement alert banner breadcrumb breadcrumbs byline comment commentlist comments complementary "
@@ -41,6 +48,7 @@ SIDE_WORDS = frozenset(
     "search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar warning widget".split()
 )
 MAIN_WORDS = frozenset("article content main post story entry body text".split())
+STATE_WORDS = frozenset("no non not without with has have hide hides".split())  # what they precede is another part, if any
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
@@ -49,7 +57,9 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _WORD = re.compile(r"[a-z]+")
-_HIDDEN_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in HIDDEN_TAGS}
+_RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW_TAGS}
+_NOSCRIPT = re.compile(r"<(/?)noscript\b[^>]*>", re.I)
+_NESTED = re.compile(rf"<(?:{'|'.join(sorted(NESTED_TAGS))})\b", re.I)
 
 
 class Block(NamedTuple):
@@ -67,12 +77,76 @@ def _role(name: str, attributes: str) -> int:
         return -1
     if name in MAIN_TAGS:
         return 1
-    marks = [w for value in _ATTRIBUTE.findall(attributes) for w in _WORD.findall(value.lower())] if attributes else []
-    if any(w in SIDE_WORDS for w in marks):
+    names = [n for value in _ATTRIBUTE.findall(attributes) for n in value.lower().strip("\"'").split()] if attributes else []
+    if any(n in SIDE_WORDS for n in names):
+        return -1
+    main = any(n in MAIN_WORDS for n in names)
+    if not main and any(_side_name(n) for n in names):
         return -1
     if name == "header":
         return -2  # of the page, unless it stands in an article
-    return 1 if any(w in MAIN_WORDS for w in marks) else 0
+    return 1 if main or any(w in MAIN_WORDS for n in names for w in _WORD.findall(n)) else 0
+
+
+def _side_name(name: str) -> bool:
+    """Whether a class name of several words, as in ad-top, names a side part; no-sidebar and has-share do not."""
+    for word in _WORD.findall(name):
+        if word in STATE_WORDS:
+            return False
+        if word in SIDE_WORDS:
+            return True
+    return False
+
+
+def _behind_raw(page: str, name: str, at: int) -> int:
+    """Where the page goes on behind an element without markup whose start tag ends at ``at``."""
+    if name == "noscript":  # has no other inside; one that is not closed hides nothing
+        found = _NOSCRIPT.search(page, at)
+        return found.end() if found and found[1] else at
+    ended = _RAW_END[name].search(page, at)
+    return ended.end() if ended else len(page)
+
+
+def _nested_ends(page: str) -> dict[int, int]:
+    """Where hidden elements with markup inside end, by the end of their start tags.
+
+    An end tag belongs to the innermost open element of its name. A drawing also
+    ends at a tag of html and with the container around it. Elements that end
+    nowhere are not listed.
+    """
+    ends: dict[int, int] = {}
+    if not _NESTED.search(page):
+        return ends
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+
+    def leave() -> tuple[str, int]:
+        top = stack.pop()
+        opened[top[0]] -= 1
+        return top
+
+    at = 0
+    while tag := _TAG.search(page, at):
+        at = tag.end()
+        name, closing = (tag[2] or tag[5] or "").lower(), bool(tag[1] or tag[4])
+        empty = (tag[3] or tag[6] or "").endswith("/")
+        if (name in HTML_TAGS and not closing) or (closing and name in ("p", "br")):
+            while stack and stack[-1][0] in DRAWN_TAGS:
+                ends[leave()[1]] = tag.start()
+        if name in RAW_TAGS or name == "noscript":
+            if not closing and not (empty and opened["svg"] + opened["math"]):
+                at = _behind_raw(page, name, at)
+        elif name in NESTED_TAGS or name in CONTAINERS or name in HTML_HOLDERS:
+            if closing and opened[name]:
+                while (top := leave())[0] != name:
+                    if top[0] in DRAWN_TAGS:
+                        ends[top[1]] = tag.start()
+                if name in NESTED_TAGS:
+                    ends[top[1]] = at
+            elif not closing and not (empty and name in DRAWN_TAGS | HTML_HOLDERS):
+                stack.append((name, at))
+                opened[name] += 1
+    return ends
 
 
 def text_blocks(page: str) -> list[Block]:
@@ -82,6 +156,7 @@ def text_blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked = in_link = heading = 0
     first = -1
+    ends = _nested_ends(page)
 
     def close() -> None:
         nonlocal linked, first
@@ -116,10 +191,13 @@ def text_blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(tag[1] or tag[4])
-        if name in HIDDEN_TAGS:
+        if name in RAW_TAGS or name == "noscript":
+            if not closing:
+                at = _behind_raw(page, name, at)
+            continue
+        if name in NESTED_TAGS:
             if not closing:
-                ended = _HIDDEN_END[name].search(page, at)
-                at = ended.end() if ended else len(page)
+                at = ends.get(at, at)
             continue
         if name == "a":
             in_link = 0 if closing else 1
@@ -264,8 +342,9 @@ def extract_text(df: DataFrame, html: str = "html") -> DataFrame:
 
     A null or empty page and one without main text give an empty text. Pages are
     read one by one, whole and alike; broken markup is read as far as it goes:
-    unclosed elements end with the page. Input columns named text or n_chars are
-    replaced.
+    unclosed elements end with the page, but an unclosed noscript, object or
+    template hides nothing, and an unclosed drawing (svg, math) ends where html
+    goes on. Input columns named text or n_chars are replaced.
     """
     schema = T._parse_datatype_string(FIELDS)
     tree = trained_tree()

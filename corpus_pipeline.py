@@ -16,6 +16,9 @@ from tidemark.llm.quality_rules import keep_good
 from tidemark.llm.secret_scan import redact_secrets
 from tidemark.shared import staged
 
+#: Percent of shared word shingles from which documents are near duplicates.
+SIMILAR = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -24,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=SIMILAR)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

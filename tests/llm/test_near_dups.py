@@ -4,7 +4,8 @@ from collections import defaultdict
 import pytest
 
 from tidemark.llm.components import connected
-from tidemark.llm.near_dups import drop_near_duplicates, near_duplicates, shingles
+import corpus_pipeline
+from tidemark.llm.near_dups import drop_near_duplicates, forest, missed, near_duplicates, shingles
 
 
 def word_sets(text):
@@ -16,7 +17,7 @@ def word_sets(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def brute_force(rows):
+def brute_force(rows, percent=85):
     sets = {i: word_sets(t) for i, t in rows}
     parent = {i: i for i in sets}
 
@@ -32,7 +33,7 @@ def brute_force(rows):
     for i, s in sets.items():
         for j in {j for x in s for j in where[x] if j > i}:
             both = len(s & sets[j])
-            if 100 * both >= 85 * (len(s) + len(sets[j]) - both):
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
                 a, b = sorted((find(i), find(j)))
                 parent[b] = a
     return sorted((i, len(s), find(i), find(i) == i) for i, s in sets.items())
@@ -76,6 +77,48 @@ def test_equals_brute_force(spark, seed):
     assert sorted(tuple(r) for r in out.collect()) == brute_force(rows)
 
 
+def edited_pairs(seed, percents, words=300):
+    """Pairs of texts, each pair with words of its own, whose sets have these similarities or a little more."""
+    rng = random.Random(seed)
+    rows = []
+    for n, percent in enumerate(percents):
+        base = [f"p{n}w{i}" for i in range(words)]
+        size = words - 4
+        both = -(-2 * size * percent // (100 + percent))  # shingles of each that the other has
+        at = rng.randint(0, both - 4)
+        copy = base[: at + 4] + [f"p{n}x{i}" for i in range(size - both - 4)] + base[at + size - both :] if size - both > 4 else base
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(copy))]
+    return rows
+
+
+@pytest.mark.parametrize("percent", [60, 80])
+def test_links_at_other_similarities(spark, percent):
+    rows = edited_pairs(percent, [percent + n % 6 for n in range(400)] + [percent - 5] * 20)
+    wanted = brute_force(rows, percent)
+    out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent)
+    found = sorted(tuple(r) for r in out.collect())
+    assert sum(not r[3] for r in wanted) >= 390
+    assert sum(a != b for a, b in zip(found, wanted)) <= 1  # of 400 links, 0.4 may be missed
+    if percent == corpus_pipeline.SIMILAR:
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        kept = corpus_pipeline.near_dedup_stage(spark, docs, "").count()
+        assert kept <= len(rows) - 390
+
+
+def test_forests():
+    assert forest(85)[:2] == (32, 4) and forest(85).lookalike == 88  # op4's
+    rng = random.Random(5)
+    for percent in range(10, 101):
+        shape = forest(percent)
+        assert missed(percent / 100, shape.trees, shape.shallow) <= 0.001
+    ring = lambda: [all(rng.random() < 0.8 for _ in range(4)) for _ in range(32)]
+    tries = [ring() for _ in range(20_000)]
+    rate = sum(not any(a and b for a, b in zip(r, [*r[1:], r[0]])) for r in tries) / len(tries)
+    assert abs(rate - missed(0.8, 32, 4)) < 0.003
+    with pytest.raises(ValueError):
+        forest(5)
+
+
 def test_edge_rows(spark):
     rows = [(1, None, "n"), (2, "", None), (3, " \n", "n"), (5, "A b", "n"), (4, "a  B", "n"), (6, "a b c", "n"), (6, "a b c", "n"), (None, "x y", "n"), (7, "long " * 30_000, "n")]
     df = spark.createDataFrame(rows, "doc_id long, text string, node string")

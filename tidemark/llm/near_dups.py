@@ -1,10 +1,12 @@
 """Near duplicates by word shingles: MinHash signatures in an LSH forest.
 
 Documents with equal shingle sets form one class; the rest works on classes.
-A class has a signature of 128 MinHash values. The forest sorts the classes by
-32 orders of these values, each starting at another place; classes that share
-the first values of an order form a region of that tree. Regions get deeper
-where they are dense: large ones are split by four more values.
+A class has a signature of 128 or more MinHash values. The forest sorts the
+classes by orders of these values, each starting at another place; classes that
+share the first values of an order form a region of that tree. Regions get
+deeper where they are dense: large ones are split by as many values more. The
+number of orders and the depth follow from the similarity that makes a link:
+for 0.85 there are 32 orders and regions of four and eight values.
 
 Candidates are the neighbours with the longest common prefix in each order, and
 for each region its most central class with every other one. (Copies that were
@@ -13,14 +15,17 @@ the class with the largest regions, and its copies are rarely its neighbours.)
 Candidates whose signatures differ widely are left out, the others confirmed on
 full shingle sets, best ones first; pairs that are already connected need no
 confirmation. In the end, every region whose classes still lie in different
-components is compared in full, block by block inside the tasks, so what
-neighbours and centres miss is not lost: a pair at similarity 0.85 shares eight
-values in some order with a chance of 0.99996.
+components is compared in full at the greater depth, block by block inside the
+tasks, so what neighbours and centres miss is not lost: a pair at the similarity
+of a link shares no such region with a chance of 1 in 1,000 at most (``missed``;
+6 in 10,000 at 0.85).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,20 +39,64 @@ from .components import connected
 from .frames import record_batch, shuffle_width
 
 SHINGLE = 5  # words
-TREES, SHALLOW, DEEP = 32, 4, 8  # orders; values that a region and a dense region share
-VALUES = TREES * SHALLOW
+LEAST_VALUES = 128  # of a signature
+MOST_MISSED = 0.001  # chance that a pair just similar enough shares no deep region
 DENSE = 64  # classes from which a region is split
 BLOCK_ROWS, BLOCK_HASHES = 1024, 1_000_000  # of a block in which leftover classes are compared
 SIMILAR = 85  # percent
-LOOKALIKE = 0.68  # share of equal signature values: 0.85 less 5 standard deviations
 
-_rng = np.random.default_rng(20240229)
-_MULTIPLY = _rng.integers(1, 2**63, VALUES, np.uint64) * np.uint64(2) + np.uint64(1)
-_ADD = _rng.integers(0, 2**63, VALUES, np.uint64)
-_PLACES = _rng.integers(1, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
+_PLACES = np.random.default_rng(20240301).integers(1, 2**63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+class Forest(NamedTuple):
+    trees: int  # orders, each of which starts ``shallow`` values behind the one before
+    shallow: int  # values that a region shares
+    lookalike: int  # equal signature values of a candidate: 5 standard deviations less than expected
+
+    @property
+    def values(self) -> int:
+        return self.trees * self.shallow
+
+    @property
+    def deep(self) -> int:  # values that a dense region shares
+        return 2 * self.shallow
+
+
+def missed(similarity: float, trees: int, shallow: int) -> float:
+    """The chance that a pair shares no deep region, exactly.
+
+    Orders overlap: the values are a ring of ``trees`` groups, and a deep region
+    is shared where two successive groups are equal throughout.
+    """
+    equal = similarity**shallow
+    step = np.array([[1 - equal, equal], [1 - equal, 0.0]])
+    return float(np.trace(np.linalg.matrix_power(step, trees)))
+
+
+@cache
+def forest(percent: int) -> Forest:
+    """The deepest forest of about 128 values that misses few links, or a larger one where none does."""
+    if not 10 <= percent <= 100:
+        raise ValueError(f"links of {percent} percent are out of range: 10 to 100")
+    similarity = percent / 100
+    for shallow in (4, 3, 2, 1):
+        trees = -(-LEAST_VALUES // shallow)
+        if missed(similarity, trees, shallow) <= MOST_MISSED:
+            break
+    while missed(similarity, trees, shallow) > MOST_MISSED:
+        trees += 1
+    values = trees * shallow
+    spread = (values * similarity * (1 - similarity)) ** 0.5
+    return Forest(trees, shallow, max(1, int(values * similarity - 5 * spread)))
+
+
+@cache
+def _hashing(values: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20240229)
+    return rng.integers(1, 2**63, values, np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, values, np.uint64)
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's five-word shingles."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # A-Z, ASCII white space
@@ -63,13 +112,14 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(sums ^ (sums >> np.uint64(29)))
 
 
-def signature(hashes: np.ndarray) -> bytes:
-    """128 MinHash values of 32 bits, big-endian."""
-    least = np.full(VALUES, 0xFFFFFFFF, np.uint64)
+def signature(hashes: np.ndarray, values: int = LEAST_VALUES) -> bytes:
+    """MinHash values of 32 bits, big-endian."""
+    multiply, add = _hashing(values)
+    least = np.full(values, 0xFFFFFFFF, np.uint64)
     for at in range(0, len(hashes), 2048):
         part = hashes[at : at + 2048]
-        values = (part[None, :] * _MULTIPLY[:, None] + _ADD[:, None]) >> np.uint64(32)
-        np.minimum(least, values.min(axis=1), out=least)
+        hashed = (part[None, :] * multiply[:, None] + add[:, None]) >> np.uint64(32)
+        np.minimum(least, hashed.min(axis=1), out=least)
     return least.astype(">u4").tobytes()
 
 
@@ -84,7 +134,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def _signed(documents: DataFrame) -> DataFrame:
+def _signed(documents: DataFrame, values: int) -> DataFrame:
     fields = "doc_id long, row long, n_shingles long, node binary, signature binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,27 +147,27 @@ def _signed(documents: DataFrame) -> DataFrame:
                     "row": part["row"].to_pylist(),
                     "n_shingles": [len(s) for s in sets],
                     "node": [_node(s) if len(s) else None for s in sets],
-                    "signature": [signature(s) if len(s) else None for s in sets],
+                    "signature": [signature(s, values) if len(s) else None for s in sets],
                 },
             )
 
     return documents.mapInArrow(sign, fields)
 
 
-def _path(tree: Column, values: int) -> Column:
+def _path(shape: Forest, values: int) -> Column:
     """The first ``values`` signature values in the order of ``tree``."""
-    return F.expr(f"substring(concat(signature, signature), {4 * SHALLOW} * tree + 1, {4 * values})")
+    return F.expr(f"substring(concat(signature, signature), {4 * shape.shallow} * tree + 1, {4 * values})")
 
 
-def _regions(classes: DataFrame) -> DataFrame:
+def _regions(classes: DataFrame, shape: Forest) -> DataFrame:
     """(node, tree, path, region, size): the places of classes in regions of two or more."""
-    trees = classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    keyed = trees.select("node", "tree", F.xxhash64("tree", _path(F.col("tree"), SHALLOW)).alias("region"))
+    trees = classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(shape.trees - 1))).alias("tree"))
+    keyed = trees.select("node", "tree", F.xxhash64("tree", _path(shape, shape.shallow)).alias("region"))
     shared = keyed.groupBy("region").agg(F.count("*").alias("size")).where("size > 1")
     return (
         keyed.join(shared, "region")
         .join(classes.select("node", "signature"), "node")
-        .select("node", "tree", _path(F.col("tree"), DEEP).alias("path"), "region", "size")
+        .select("node", "tree", _path(shape, shape.deep).alias("path"), "region", "size")
     )
 
 
@@ -125,10 +175,11 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _neighbours(regions: DataFrame) -> DataFrame:
+def _neighbours(regions: DataFrame, shape: Forest) -> DataFrame:
     """Pairs next to each other in a sorted order that share its first values."""
     fields = "a binary, b binary"
     keys = ("tree", "path", "node")
+    shared = 4 * shape.shallow
     rows = regions.select(*keys).repartitionByRange(shuffle_width(regions), *keys).sortWithinPartitions(*keys)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +187,7 @@ def _neighbours(regions: DataFrame) -> DataFrame:
         for batch in batches:
             found: dict[str, list] = {"a": [], "b": []}
             for tree, path, node in zip(*(batch[k].to_pylist() for k in keys)):
-                if tree == last[0] and path[: 4 * SHALLOW] == last[1][: 4 * SHALLOW]:
+                if tree == last[0] and path[:shared] == last[1][:shared]:
                     found["a"].append(last[2])
                     found["b"].append(node)
                 last = (tree, path, node)
@@ -156,7 +207,7 @@ def _centres(regions: DataFrame) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
-def _lookalikes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _lookalikes(pairs: DataFrame, classes: DataFrame, shape: Forest) -> DataFrame:
     """(a, b, alike): distinct pairs whose signatures agree in enough values."""
     fields = "a binary, b binary, alike int"
     signed = (
@@ -171,13 +222,13 @@ def _lookalikes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             one, two = (
-                np.frombuffer(b"".join(batch[c].to_pylist()), ">u4").reshape(-1, VALUES) for c in ("sa", "sb")
+                np.frombuffer(b"".join(batch[c].to_pylist()), ">u4").reshape(-1, shape.values) for c in ("sa", "sb")
             )
             alike = (one == two).sum(axis=1)
-            keep = pa.array(alike >= LOOKALIKE * VALUES)
+            keep = pa.array(alike >= shape.lookalike)
             kept = batch.filter(keep)
             yield record_batch(
-                fields, {"a": kept["a"].to_pylist(), "b": kept["b"].to_pylist(), "alike": alike[alike >= LOOKALIKE * VALUES].tolist()}
+                fields, {"a": kept["a"].to_pylist(), "b": kept["b"].to_pylist(), "alike": alike[alike >= shape.lookalike].tolist()}
             )
 
     return signed.mapInArrow(compare, fields)
@@ -323,7 +374,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
 
 
 def _judged(documents: DataFrame, percent: int) -> DataFrame:
-    signed = staged(_signed(documents))
+    shape = forest(percent)
+    signed = staged(_signed(documents, shape.values))
     grouped = staged(
         signed.where("node IS NOT NULL")
         .groupBy("node")
@@ -332,8 +384,8 @@ def _judged(documents: DataFrame, percent: int) -> DataFrame:
     classes = grouped.select("node", "any.signature", "any.n_shingles")
     sample_rows = grouped.select("node", "any.row")
 
-    regions = staged(_regions(classes))
-    pairs = staged(_lookalikes(_neighbours(regions).unionByName(_centres(regions)), classes))
+    regions = staged(_regions(classes, shape))
+    pairs = staged(_lookalikes(_neighbours(regions, shape).unionByName(_centres(regions)), classes, shape))
     ends = pairs.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("end"))
     best = staged(ends.groupBy("end").agg(F.max(F.struct("alike", "a", "b")).alias("best")).select("best.a", "best.b").distinct())
     links = staged(_confirmed(best, documents, sample_rows, percent))
@@ -364,9 +416,9 @@ def _judged(documents: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with the document of the smallest id of each group of near duplicates."""
-    judged = _judged(_numbered(df, doc_id, text), SIMILAR)
+def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR) -> DataFrame:
+    """``df`` with the document of the smallest id of each group of near duplicates at ``percent``."""
+    judged = _judged(_numbered(df, doc_id, text), percent)
     dropped = judged.where("NOT kept").select(F.col("row").alias("__dropped")).distinct()
     row = F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
     return df.join(dropped, row == F.col("__dropped"), "left_anti")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm.near_dups import drop_near_duplicates
+from tidemark.llm.near_dups import keep_one_of_each
 from tidemark.llm.packing import pack_documents
 from tidemark.llm.quality_rules import keep_good
 from tidemark.llm.secret_scan import redact_secrets
@@ -27,7 +27,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
-    return drop_near_duplicates(docs, percent=SIMILAR)
+    return keep_one_of_each(docs, percent=SIMILAR)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

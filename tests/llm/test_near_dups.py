@@ -134,6 +134,31 @@ def test_edge_rows(spark):
     assert sorted(tuple(r) for r in drop_near_duplicates(twice).collect()) == [(1, "a b c d e f"), (8, "quite another text here now")]
 
 
+def test_stage_keeps_one_row_of_each_group(spark):
+    words = " ".join(f"v{i}" for i in range(100))
+    rows = [
+        (6, "a b c", "n", 3), (6, "a b c", "n", 2), (6, "a b c", "m", 2), (7, "A  b c", "n", 3),  # a repeated row and a copy
+        (8, words, "n", 9), (8, words + " more", "n", 9), (9, words + " less", "n", 9), (8, "quite another text here now", "n", 9),  # near-equal texts under one id
+        (None, "x y", "n", 1), (None, "x y", "n", 1), (None, "X Y", "n", 1),  # without ids
+        (None, "p q r", "n", 1), (11, "p q r", "n", 1),
+        (12, None, "n", 1), (13, None, "n", 1), (14, " ", None, 1), (14, " ", None, 1),  # without words
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    out = corpus_pipeline.near_dedup_stage(spark, df, "")
+    assert out.columns == df.columns
+    found = [tuple(r) for r in out.collect()]
+    assert len(found) == 8
+    assert [r for r in found if r[0] == 6] == [(6, "a b c", "m", 2)]
+    assert sorted(r[1] for r in found if r[0] == 8) in (["quite another text here now", words], ["quite another text here now", words + " more"])
+    assert [r[1].lower() for r in found if r[0] is None] == ["x y"]
+    assert {r[0] for r in found} == {6, 8, None, 11, 12, 13, 14}
+    assert sorted(map(str, out.collect())) == sorted(map(str, corpus_pipeline.near_dedup_stage(spark, df.repartition(7), "").collect()))
+    # Without repeated rows, ids are enough.
+    plain = spark.createDataFrame([(1, "a b c d e f"), (8, "a b c d e f")], "doc_id long, text string")
+    assert [tuple(r) for r in corpus_pipeline.near_dedup_stage(spark, plain, "").collect()] == [(1, "a b c d e f")]
+    assert corpus_pipeline.near_dedup_stage(spark, df.limit(0), "").count() == 0
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, j) for j in range(101, 130)] + [(7, 7), (200, 201), (201, 200)]
     found = {r["node"]: r["root"] for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -370,16 +370,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", p
     smallest; a component of nothing else has a null id and its rows are kept.
     Other columns are left out; an empty table gives an empty one.
     """
-    return _judged(_numbered(df, doc_id, text), percent).drop("row")
+    return _judged(_numbered(df, doc_id, text), percent).drop("row", "first_row")
 
 
 def _judged(documents: DataFrame, percent: int) -> DataFrame:
+    """The rows of near_duplicates with their numbers and that of their component's first row.
+
+    The first row is that of the smallest id, nulls last, then of the smallest number.
+    """
     shape = forest(percent)
     signed = staged(_signed(documents, shape.values))
     grouped = staged(
         signed.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min(F.struct("row", "n_shingles", "signature")).alias("any"), F.min("doc_id").alias("least_id"))
+        .agg(F.min(F.struct("row", "n_shingles", "signature")).alias("any"), F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "row")).alias("first"))
     )
     classes = grouped.select("node", "any.signature", "any.n_shingles")
     sample_rows = grouped.select("node", "any.row")
@@ -400,9 +404,9 @@ def _judged(documents: DataFrame, percent: int) -> DataFrame:
         roots = connected(links.unionByName(last))
 
     # Back to documents: class -> component -> smallest id.
-    members = grouped.select("node", "least_id").join(roots, "node", "left").select("node", "least_id", F.coalesce("root", "node").alias("root"))
-    least = members.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_class = members.join(least, "root").select("node", "component_id")
+    members = grouped.select("node", "first").join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    least = members.groupBy("root").agg(F.min("first").alias("first"))
+    of_class = members.select("node", "root").join(least, "root").select("node", "first")
     return (
         signed.select("doc_id", "row", "n_shingles", "node")
         .join(of_class, "node", "left")
@@ -410,7 +414,8 @@ def _judged(documents: DataFrame, percent: int) -> DataFrame:
             "doc_id",
             "row",
             "n_shingles",
-            F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+            F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+            F.when(F.col("node").isNull(), F.col("row")).otherwise(F.col("first.row")).alias("first_row"),
         )
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
@@ -422,3 +427,27 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     dropped = judged.where("NOT kept").select(F.col("row").alias("__dropped")).distinct()
     row = F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
     return df.join(dropped, row == F.col("__dropped"), "left_anti")
+
+
+def keep_one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = SIMILAR) -> DataFrame:
+    """``df`` with exactly one row of each group of near duplicates at ``percent``.
+
+    It is the row of the smallest id, nulls last; of several texts under that id
+    the one with the smallest hash. Rows equal in id and text count as one
+    document, also without any words; the smallest by the other columns stays.
+    Texts without words are otherwise linked with nothing and stay.
+    """
+    # Not near_duplicates' ``kept``: that holds for every row whose id is its component's.
+    judged = _judged(_numbered(df, doc_id, text), percent)
+    rows = judged.groupBy("row").agg(F.count("*").alias("n"), F.min(F.col("row") == F.col("first_row")).alias("stays"))
+    marks = staged(rows.where("NOT stays OR n > 1").select(F.col("row").alias("__row"), "stays"))
+    keyed = df.withColumn("__row", F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")))
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    single = keyed.join(marks.select("__row"), "__row", "left_anti").select(*columns)
+    repeated = marks.where("stays").select("__row")
+    if repeated.isEmpty():
+        return single
+    # Minima are taken before the exchange, so that a row repeated very often is no hot spot.
+    others = F.to_json(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in df.columns if c not in (doc_id, text)]))
+    one = keyed.join(repeated, "__row", "left_semi").groupBy("__row").agg(F.min_by(F.struct(*columns), others).alias("first"))
+    return single.unionByName(one.select(*[F.col(f"first.`{c}`") for c in df.columns]))

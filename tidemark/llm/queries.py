@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, secret_scan, token_files, url_filters
+from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, rank_queue, secret_scan, token_files, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -90,6 +90,12 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lattice_lm.score_documents(documents, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return rank_queue.token_digests(documents, ranks, public_tokenizers.PATTERN).drop("text")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -102,6 +108,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_extraction": op8_html_extraction,
         "op9_secret_scans": op9_secret_scans,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_byte_bpe": op11_byte_bpe,
     }
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_tokens, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, rank_queue, secret_scan, token_files, url_filters
+from . import byte_tokens, conversation_repair, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, rank_queue, secret_scan, token_files, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -96,6 +96,20 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return rank_queue.token_digests(documents, ranks, public_tokenizers.PATTERN).drop("text")
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.repair_conversations(conversation_repair.damage_turns(conversations))
+    named = found.withColumnRenamed("conv_id", "named")
+    every = conversations.select("conv_id").distinct()
+    faults = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(named, F.col("conv_id").eqNullSafe(F.col("named")), "left").select(
+        "conv_id",
+        *[F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c) for c in faults],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -109,6 +123,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secret_scans": op9_secret_scans,
         "op10_lm_scoring": op10_lm_scoring,
         "op11_byte_bpe": op11_byte_bpe,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 

@@ -1,0 +1,108 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import hard_negatives as hn
+from tidemark.llm.queries import llm_queries
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+COLUMNS = ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+
+
+def brute(rows, is_anchor):
+    """All pairs with Python's whole numbers, one row for each id."""
+    kept = {}
+    for vec_id, vector, label in rows:
+        if vec_id is None or vector is None or label is None or any(x is None or not math.isfinite(x) for x in vector):
+            continue
+        row = (label, tuple(vector))
+        kept[vec_id] = min(kept.get(vec_id, row), row)
+    whole = {i: (label, [math.floor(256 * x) for x in vector]) for i, (label, vector) in kept.items()}
+    made = []
+    for anchor, (own, a) in whole.items():
+        if not is_anchor(anchor):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i, label) for i, (label, b) in whole.items() if i != anchor)
+        for score, positive, _ in [s for s in scored if s[2] == own][:5]:
+            under = [s for s in scored if s[2] != own and -50 * score <= -100 * s[0] <= -95 * score][:3]
+            made += [(anchor, positive, rank, i, -score, -s) for rank, (s, i, _) in enumerate(under, 1)]
+    return sorted(made)
+
+
+def found(df, every):
+    rows = hn.mine_hard_negatives(df, F.col("vec_id") % every == 0)
+    assert rows.columns == COLUMNS
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def made_up(seed, size, width=8, values=None):
+    rng = random.Random(seed)
+    value = (lambda: rng.choice(values)) if values else (lambda: float(np.float32(rng.gauss(0.1, 0.2))))
+    rows = [(i, [value() for _ in range(width)], rng.randint(0, 4)) for i in range(size)]
+    return rows
+
+
+@pytest.mark.parametrize("sizes", [(1_000_000, 4096, 32_768, 256, 4_000_000), (40, 40, 7, 3, 50)])
+def test_against_all_pairs(spark, monkeypatch, sizes):
+    for name, size in zip(("CELL_ROWS", "LEAST_ROWS", "BLOCK_ROWS", "GROUP", "CELLS"), sizes):
+        monkeypatch.setattr(hn, name, size)
+    rows = made_up(1, 300)
+    assert found(spark.createDataFrame(rows, SCHEMA), 5) == brute(rows, lambda i: i % 5 == 0)
+
+
+def test_ties_zero_and_negative_scores(spark, monkeypatch):
+    monkeypatch.setattr(hn, "BLOCK_ROWS", 20)
+    rows = made_up(2, 150, width=3, values=[0.0, 0.0, 0.5, -0.5, 1.0])
+    expected = brute(rows, lambda i: i % 3 == 0)
+    assert any(r[4] == 0 for r in expected)
+    assert found(spark.createDataFrame(rows, SCHEMA), 3) == expected
+
+
+def test_nulls_not_finite_repeated_and_ragged_rows(spark):
+    rows = made_up(3, 60, width=4)
+    rows += [
+        (None, [1.0] * 4, 1), (100, None, 1), (105, [1.0, None, 1.0, 1.0], 1), (110, [1.0, float("nan"), 1.0, 1.0], 1),
+        (115, [float("inf")] * 4, 1), (120, [1.0] * 4, None), (5, rows[5][1], rows[5][2]), (10, [0.5] * 4, 0), (125, [], 2),
+        (130, [0.5, 0.25], 3), (135, [0.5] * 6, 3),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    expected = brute(rows, lambda i: i % 5 == 0)
+    assert found(df, 5) == expected
+    clash = df.selectExpr("*", "1 AS cell", "2 AS anchor", "3 AS vector", "4 AS scores")
+    assert found(clash, 5) == expected
+    assert found(df.limit(0), 5) == []
+    assert found(df.where("vec_id = 5"), 5) == []
+
+
+def test_a_hot_label_and_copies(spark, monkeypatch):
+    monkeypatch.setattr(hn, "LEAST_ROWS", 100)
+    rows = made_up(4, 200)
+    rows = [(i, v if i % 3 else [0.25] * 8, label if i % 2 else 1) for i, v, label in rows]
+    assert found(spark.createDataFrame(rows, SCHEMA), 4) == brute(rows, lambda i: i % 4 == 0)
+
+
+@pytest.mark.parametrize("scale", [1e6, 3e7, 1e12, 1e300])
+def test_large_numbers(spark, scale):
+    rng = random.Random(7)
+    rows = [(i, [float(rng.randint(-9, 99)) * scale for _ in range(3)], rng.randint(0, 2)) for i in range(60)]
+    made = found(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), 6)
+    limit = 2**63 - 1
+    exact = brute(rows, lambda i: i % 6 == 0)
+    if max(r[4] for r in exact) <= limit:
+        assert made == exact
+    else:
+        assert all(abs(r[4]) <= limit and abs(r[5]) <= limit for r in made)
+
+
+def test_query_on_given_vectors(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    rows = [(r[0], r[1], (r[2] + 1) % 10 if r[0] is not None and r[0] % 7 == 0 and r[2] is not None else r[2]) for r in rows]
+    expected = brute(rows, lambda i: i % 50 == 0)
+    df = llm_queries()["op13_hard_negatives"](spark, folder)
+    assert df.columns == COLUMNS
+    assert sorted(tuple(r) for r in df.collect()) == expected
+    assert expected

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_tokens, conversation_repair, fingerprints, html_text, lattice_lm, near_dups, packing, quality_rules, rank_queue, secret_scan, token_files, url_filters
+from . import byte_tokens, conversation_repair, fingerprints, hard_negatives, html_text, lattice_lm, near_dups, packing, quality_rules, rank_queue, secret_scan, token_files, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -110,6 +110,12 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, folder, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine_hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filters": op1_url_filters,
@@ -124,6 +130,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_lm_scoring": op10_lm_scoring,
         "op11_byte_bpe": op11_byte_bpe,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 

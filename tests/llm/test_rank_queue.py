@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import time
+from heapq import heappop, heappush
 
 import numpy as np
 import public_tokenizers
@@ -33,7 +34,7 @@ def test_equals_the_library(text, block):
     text = text.encode("utf-8", "replace").decode()
     before, rank_queue.BLOCK = rank_queue.BLOCK, block
     try:
-        raw = ENCODER.encode(text)
+        (raw,) = ENCODER.encode([text])
     finally:
         rank_queue.BLOCK = before
     assert ids(raw) == LIBRARY.encode_ordinary(text)
@@ -44,15 +45,26 @@ def test_equals_the_library(text, block):
 @given(st.lists(st.tuples(st.booleans(), st.integers(0, 9000), st.integers(0, 50)), max_size=60))
 def test_queue_gives_lowest_rank_then_leftmost(steps):
     queue, held = RankQueue(9001), []
+
+    def take():
+        rank = queue.lowest()
+        position = heappop(queue.buckets[rank])
+        if not queue.buckets[rank]:
+            queue.drop(rank)
+        return rank, position
+
     for add, rank, position in steps:
         if add or not held:
-            queue.add(rank, position)
+            if queue.buckets[rank] is None:
+                queue.fill(rank, [position])
+            else:
+                heappush(queue.buckets[rank], position)
             held.append((rank, position))
         else:
-            assert queue.take() == min(held)
+            assert take() == min(held)
             held.remove(min(held))
     while held:
-        assert queue.take() == min(held)
+        assert take() == min(held)
         held.remove(min(held))
     assert queue.root == 0 and not any(queue.leaf) and not any(queue.middle)
 
@@ -73,22 +85,22 @@ def test_any_ranks(tmp_path_factory, words, data):
             if rank == 10**9:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        assert encoder.merge(text) == [ranks[p] for p in parts]
+        assert encoder.merge([text])[0] == [ranks[p] for p in parts]
 
 
 @pytest.mark.parametrize("unit", ["a", "ab", "é", "0", "=", "中", "abcdefghijklmnopqrstuvwxyz"])
 def test_very_long_pre_tokens(unit):
     text = unit * (100_000 // len(unit))
-    assert ids(ENCODER.encode(text)) == LIBRARY.encode_ordinary(text)
+    assert ids(next(ENCODER.encode([text]))) == LIBRARY.encode_ordinary(text)
 
 
 def test_long_pre_tokens_take_time_in_proportion():
     rng = np.random.default_rng(5)
     text = "".join(rng.choice(list("abcdefgh"), 400_000))
     start = time.perf_counter()
-    ENCODER.merge(text[:50_000].encode())
+    ENCODER.merge([text[:50_000].encode()])
     short = time.perf_counter() - start
-    ENCODER.merge(text.encode())
+    ENCODER.merge([text.encode()])
     assert time.perf_counter() - start - short < 40 * short
 
 
@@ -96,8 +108,10 @@ def test_small_store(monkeypatch):
     monkeypatch.setattr(rank_queue, "KEPT", 3)
     monkeypatch.setattr(rank_queue, "LONG", 4)
     encoder = RankEncoder(PATH, PATTERN)
-    for text in ("a b c d e f g. longest " * 300, "h i j", "a b"):
-        assert ids(encoder.encode(text)) == LIBRARY.encode_ordinary(text)
+    texts = ["a b c d e f g. longest " * 300, "h i j", None, "", "a b"]
+    for block in (1_000_000, 8):
+        monkeypatch.setattr(rank_queue, "BLOCK", block)
+        assert [ids(raw) for raw in encoder.encode(texts)] == [LIBRARY.encode_ordinary(t or "") for t in texts]
     assert all(len(key) <= 4 for key in encoder.kept)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import rows, ts
 from tidemark.plans.bronze import LOADED, MERGED, SKIPPED, UNCHANGED, ingest, run_bronze
-from tidemark.plans.gold import run_gold
+from tidemark.plans.marts import run_gold
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.silver import refine
 from tidemark.sources import FrameSource

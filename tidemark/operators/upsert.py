@@ -12,6 +12,8 @@ from tidemark.functions.columns import all_not_null, quoted
 
 _NEW = "__new"
 _COUNT = "__count"
+#: Whether the target has a source row's key, where that has been found out before.
+KNOWN = "__known"
 
 
 class SchemaMismatch(ValueError):
@@ -61,39 +63,83 @@ def _matched(keys: Sequence[str]) -> Column:
     return F.when(F.col(_COUNT) > 1, F.raise_error(message)).otherwise(F.col(_COUNT).isNotNull())
 
 
-def has_effect(
+def _found(target: DataFrame, incoming: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
+    """The incoming keys that the target has, and whether one of its rows differs from the source's.
+
+    The target is joined to the incoming keys before anything of it is grouped,
+    so a source under Spark's broadcast threshold moves no target row.
+    """
+    row = F.struct(*[quoted(c) for c in target.columns])
+    names = [f"__key{i}" for i in range(len(keys))]
+    return (
+        target.join(incoming, _same_key(keys, null_safe), "inner")
+        .groupBy(*names)
+        .agg(F.max(~row.eqNullSafe(F.col(_NEW))).alias("__differs"))
+        .select(*[F.col(n).alias(f"{n}_found") for n in names], "__differs")
+    )
+
+
+def effective(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
-    unique_keys: bool = False,
-) -> bool:
-    """Whether an upsert would change the target, or fail, at all.
+    source_is_unique: bool = False,
+) -> DataFrame:
+    """The source rows whose merge would change the target, or fail.
 
-    It does if a source row has a NULL key (plain equality inserts it again), a
-    key that the target lacks, or a key of which some target row differs from
-    the source row - or of which the source has several rows, which is an error
-    that the merge must raise. All target rows of a key count, so ``target`` is
-    the whole table; the side that is joined to it is the source's keys.
+    Those are rows with a NULL key (plain equality inserts them again), with a
+    key that the target lacks, with a key of which some target row differs, and
+    rows that share their key (an error that the merge must raise, or several
+    inserts). Merging them alone gives the same table as merging all. The column
+    `KNOWN` says whether the target has the key; `upsert` needs not look again.
 
-    Where both sides are known to have one row for each key (``unique_keys``),
-    it is enough to look for source rows that the target lacks, and ``target``
-    may be limited to the rows that could equal one.
+    All target rows of a key count; ``target`` may be limited to parts that hold
+    every row of the incoming keys.
     """
     source = aligned(source, target)
-    if not null_safe and not source.filter(~all_not_null(keys)).isEmpty():
-        return True
-    if unique_keys:
-        return not source.exceptAll(target.select(*source.columns)).isEmpty()
+    keyed = source if null_safe else source.filter(all_not_null(keys))
+    incoming = _one_per_key(keyed, keys, source_is_unique)
+    names = [f"__key{i}" for i in range(len(keys))]
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"{n}_found")) for n in names])
+    known = F.col("__differs").isNotNull().alias(KNOWN)
+
+    single = incoming.filter(F.col(_COUNT) == 1)
+    acting = [
+        single.join(_found(target, single, keys, null_safe), same, "left")
+        .filter(F.coalesce(F.col("__differs"), F.lit(True)))
+        .select(*[F.col(_NEW).getField(c).alias(c) for c in source.columns], known)
+    ]
+    if not source_is_unique:
+        several = incoming.filter(F.col(_COUNT) > 1)
+        listed = several.join(_found(target, several, keys, null_safe), same, "left").select(*names, known)
+        acting.append(
+            keyed.join(listed, _same_key(keys, null_safe=True), "inner").select(*[quoted(c) for c in source.columns], KNOWN)
+        )
     if not null_safe:
-        source = source.filter(all_not_null(keys))
-    incoming = _one_per_key(source, keys, unique=False)
-    row = F.struct(*[quoted(c) for c in source.columns])
-    touched = target.join(incoming, _same_key(keys, null_safe), "inner")
-    if not touched.filter((F.col(_COUNT) > 1) | ~row.eqNullSafe(F.col(_NEW))).isEmpty():
-        return True
-    known = target.select(*_renamed_keys(target, keys)).distinct()
-    return not source.join(known, _same_key(keys, null_safe), "left_anti").isEmpty()
+        acting.append(source.filter(~all_not_null(keys)).withColumn(KNOWN, F.lit(False)))
+    return reduce(DataFrame.unionByName, acting)
+
+
+def has_effect(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> bool:
+    """Whether an upsert would change the target, or fail, at all."""
+    return not effective(target, source, keys, null_safe).isEmpty()
+
+
+def without_keys(target: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target rows whose key is not among ``gone``, NULLs compared as equal."""
+    listed = gone.select(*_renamed_keys(gone, keys)).distinct()
+    return target.join(listed, _same_key(keys, null_safe=True), "left_anti")
+
+
+def keys_among(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of the target that the source has too, NULLs compared as equal."""
+    listed = source.select(*_renamed_keys(source, keys)).distinct()
+    return target.select(*[quoted(k) for k in keys]).join(
+        listed, _same_key(keys, null_safe=True), "left_semi"
+    ).distinct()
 
 
 def upsert(
@@ -111,7 +157,8 @@ def upsert(
       (plain equality) or repeated;
     * a target row matched by several source rows is an error, raised when the
       result is evaluated. ``source_is_unique`` skips that check for a source
-      just deduplicated on the same keys.
+      just deduplicated on the same keys. A source that `effective` gave says of
+    each row whether it is an update or an insert; then the target is read once.
 
     Shape of the plan: the target is on the streamed side of a left join, so a
     source under Spark's broadcast threshold leaves the target unshuffled, and
@@ -121,7 +168,9 @@ def upsert(
     instead of meeting in one partition.
     """
     columns = target.columns
-    source = aligned(source, target)
+    told = KNOWN in source.columns
+    inserts = aligned(source.filter(f"NOT {KNOWN}").drop(KNOWN), target) if told else None
+    source = aligned(source.filter(KNOWN).drop(KNOWN) if told else source, target)
     bypass = []
     if not null_safe:
         bypass = [side.filter(~all_not_null(keys)) for side in (target, source)]
@@ -139,6 +188,8 @@ def upsert(
         ]
     )
 
+    if told:
+        return reduce(DataFrame.unionByName, [kept, inserts, *bypass])
     source_keys = source.select(*_renamed_keys(source, keys)).distinct()
     matched = (
         target.select(*[quoted(k) for k in keys])

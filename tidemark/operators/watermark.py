@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import quoted
@@ -24,6 +25,15 @@ class Watermark:
         """Inclusive filter; a foldable literal, so sources can push it down."""
         return quoted(self.column) >= F.lit(self.text).cast(self.dtype)
 
+    def earlier(self, spark: SparkSession, lookback: str | None) -> Watermark:
+        """The mark moved back by an SQL interval or number, e.g. ``INTERVAL '3' DAY``."""
+        if lookback is None:
+            return self
+        moved = spark.range(1).select(
+            (F.lit(self.text).cast(self.dtype) - F.expr(lookback)).cast(self.dtype).alias(self.column)
+        )
+        return Watermark(self.column, self.dtype, moved.agg(mark_text(moved, self.column)).first()[0])
+
     def sql_literal(self) -> str:
         """The mark as an SQL literal for a source-side query."""
         text = self.text.replace("'", "''")
@@ -47,6 +57,18 @@ def mark_text(df: DataFrame, column: str, where: Column | None = None) -> Column
     return highest.cast("string")
 
 
+def latest_mark(spark: SparkSession, texts: Iterable[str], dtype: str) -> str | None:
+    """The highest of several rendered marks of one type."""
+    found = sorted(set(texts))
+    if len(found) < 2:
+        return found[0] if found else None
+    # Dates and times of four-digit years are ordered like their text, and so is text.
+    if dtype == "string" or (dtype.startswith(("timestamp", "date")) and found[0][0] not in "+-"):
+        return found[-1]
+    values = spark.createDataFrame([(text,) for text in found], "text string")
+    return values.orderBy(F.col("text").cast(dtype).desc()).first()[0]
+
+
 def high_water_mark(df: DataFrame, column: str = "updated_at") -> DataFrame:
     """One row with the highest value (NULL for an empty table)."""
     return df.agg(F.max(quoted(column)).alias("watermark"))

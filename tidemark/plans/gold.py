@@ -1,4 +1,4 @@
-"""Gold marts as pure DataFrame functions, and the run that publishes them."""
+"""Gold marts as pure DataFrame functions."""
 
 from __future__ import annotations
 
@@ -12,8 +12,8 @@ from tidemark.operators.aggregates import (
     product_sales_summary,
     review_summary,
 )
-from tidemark.warehouse import Warehouse
 
+# The columns of the marts.
 ORDER_COLUMNS = (
     "order_id",
     "customer_id",
@@ -98,22 +98,3 @@ def product_summary(products: DataFrame, order_items: DataFrame) -> DataFrame:
         money_or_zero("total_product_value").alias("total_product_value"),
         money_or_zero("total_freight_value").alias("total_freight_value"),
     )
-
-
-def run_gold(warehouse: Warehouse) -> dict[str, int]:
-    """Rebuild the three marts from Silver; returns their row counts."""
-
-    def silver(table: str) -> DataFrame:
-        return warehouse.read("silver", table)
-
-    def publish(table: str, df: DataFrame) -> int:
-        return warehouse.overwrite("gold", table, df, schema_may_change=True).rows
-
-    items = silver("order_items")
-    fact = fact_orders(silver("orders"), items, silver("order_payments"), silver("order_reviews"))
-    counts = {"fact_orders": publish("fact_orders", fact)}
-    customers = customer_summary(silver("customers"), warehouse.read("gold", "fact_orders"))
-    counts["customer_summary"] = publish("customer_summary", customers)
-    products = product_summary(silver("products"), items)
-    counts["product_summary"] = publish("product_summary", products)
-    return counts

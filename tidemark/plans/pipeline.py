@@ -1,15 +1,39 @@
-"""The three layers in order."""
+"""The three layers, each table as soon as what it needs is there."""
 
 from __future__ import annotations
 
-from tidemark.plans.bronze import run_bronze
-from tidemark.plans.gold import run_gold
-from tidemark.plans.silver import run_silver
+from tidemark.plans.bronze import ingest
+from tidemark.plans.marts import FACT_INPUTS, mart_rows, publish_customers, publish_fact, publish_products
+from tidemark.plans.silver import refine
+from tidemark.plans.together import Step, run_together
+from tidemark.specs import TABLES, TableSpec
 from tidemark.warehouse import Warehouse
 
 
-def run_pipeline(warehouse: Warehouse, source, refresh: bool = False) -> dict[str, int]:
-    """Ingest, refine and rebuild the marts; returns the marts' row counts."""
-    run_bronze(warehouse, source, refresh=refresh)
-    run_silver(warehouse)
-    return run_gold(warehouse)
+def run_pipeline(
+    warehouse: Warehouse,
+    source,
+    refresh: bool = False,
+    lookback: str | None = None,
+    clear_repaired: bool = False,
+    workers: int = 4,
+) -> dict[str, int]:
+    """Ingest, refine and bring the marts up to date; returns the marts' row counts.
+
+    Up to ``workers`` tables are worked on at once. If some fail, the others are
+    published nevertheless, marts without them included, and `StepsFailed` names
+    the failed ones; a repeated run picks up from there.
+    """
+
+    def table(spec: TableSpec) -> None:
+        ingest(warehouse, source, spec, refresh, lookback)
+        refine(warehouse, spec, lookback, clear_repaired)
+
+    steps = [Step(spec.name, lambda spec=spec: table(spec)) for spec in TABLES.values()]
+    steps += [
+        Step("fact_orders", lambda: publish_fact(warehouse), after=FACT_INPUTS),
+        Step("product_summary", lambda: publish_products(warehouse), after=("products", "order_items")),
+        Step("customer_summary", lambda: publish_customers(warehouse), after=("customers", "fact_orders")),
+    ]
+    run_together(warehouse.spark, steps, workers)
+    return mart_rows(warehouse)

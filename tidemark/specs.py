@@ -32,6 +32,9 @@ class TableSpec:
     # Where a table can be keyed on NULL-able columns without a rule that
     # rejects the NULLs, merges still use plain equality (SQL MERGE semantics).
     bronze_keys: tuple[str, ...] | None = None
+    # Key columns by which published tables are split into parts. Tables that
+    # share them (an order and its children) are split alike.
+    part_by: tuple[str, ...] = ()
 
     @property
     def ingest_keys(self) -> tuple[str, ...]:
@@ -53,6 +56,7 @@ CUSTOMERS = TableSpec(
     load=INCREMENTAL,
     keys=("customer_id",),
     watermark="updated_at",
+    part_by=("customer_id",),
     trimmed=("customer_city", "customer_state"),
     rules=(
         _null("customer_id", "missing_customer_id"),
@@ -66,6 +70,7 @@ ORDERS = TableSpec(
     load=INCREMENTAL,
     keys=("order_id",),
     watermark="updated_at",
+    part_by=("order_id",),
     trimmed=("order_status",),
     # Timestamp anomalies are profiled, not rejected.
     rules=(_null("order_id", "missing_order_id"),),
@@ -76,6 +81,7 @@ ORDER_ITEMS = TableSpec(
     load=INCREMENTAL,
     keys=("order_id", "order_item_id"),
     watermark="updated_at",
+    part_by=("order_id",),
     rules=(
         _null("order_id", "missing_order_id"),
         _null("order_item_id", "missing_order_item_id"),
@@ -94,6 +100,7 @@ ORDER_PAYMENTS = TableSpec(
     load=INCREMENTAL,
     keys=("order_id", "payment_sequential"),
     watermark="updated_at",
+    part_by=("order_id",),
     trimmed=("payment_type",),
     rules=(Rule("invalid_payment_installments", "payment_installments <= 0"),),
 )
@@ -105,6 +112,7 @@ ORDER_REVIEWS = TableSpec(
     # layer; keying the ingest on review_id alone would lose sibling rows.
     keys=("review_id", "order_id"),
     watermark="updated_at",
+    part_by=("order_id",),
     trimmed=("review_comment_title", "review_comment_message"),
     rules=(
         Rule("invalid_review_score", "review_score NOT BETWEEN 1 AND 5"),

@@ -1,48 +1,60 @@
 """Published tables of the four layers.
 
 Plain Spark tables cannot be overwritten while they are read and reject MERGE,
-so a table here is a view over an immutable snapshot table: a run writes a new
-snapshot, then repoints the view. A failed write leaves the old state
-published. Catalogs with row-level operations use ``MergeWarehouse`` instead,
-which changes tables in place.
+so a table here is a view over immutable tables, each written by one run: a run
+writes a new one, then repoints the view. A failed write leaves the old state
+published.
+
+A keyed table is split into parts by a hash of its key. The view's properties
+hold its layout: which run wrote each part. A merge writes only the parts that
+its changes fall into; all others stay as they are, in the files of earlier
+runs. Catalogs with row-level operations use ``MergeWarehouse`` instead, which
+changes tables in place.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.layout import PART, Layout, Part, parts_touched
 from tidemark.operators.quality import REASON, accepted, rejected
-from tidemark.operators.upsert import SchemaMismatch, aligned, upsert
-from tidemark.operators.watermark import Watermark, mark_text, read_watermark
+from tidemark.operators.upsert import KNOWN, SchemaMismatch, aligned, effective, upsert, without_keys
+from tidemark.operators.watermark import Watermark, latest_mark, mark_text, read_watermark
 from tidemark.shared import staged
 
 LAYERS = ("bronze", "silver", "quarantine", "gold")
+#: Runs that a table may consist of; a merge beyond that also rewrites the parts of the smallest ones.
+RUNS_KEPT = 16
 _ROWS = "tidemark.rows"
 _MARK = "tidemark.mark."
 _SNAPSHOT = "tidemark.snapshot"
+_BUILT = "tidemark.built."
 
 
 @dataclass(frozen=True)
 class Published:
-    """What one write put in place, measured during the write itself."""
+    """What one write put in place, measured on what was written."""
 
     name: str
     rows: int
 
 
 class Warehouse:
-    """Snapshot tables behind views in the session catalog.
+    """Views in the session catalog over the tables that runs have written.
 
     ``root``      folder for the schemas (the catalog's default if not given).
     ``namespace`` prefix of the schema names, e.g. ``"shop_"``, or ``"shop."``
                   for a catalog with nested names.
+    ``parts``     into how many parts keyed tables are split when they are first
+                  written (default: the session's number of shuffle partitions).
     """
 
     def __init__(
@@ -50,10 +62,12 @@ class Warehouse:
         spark: SparkSession,
         root: str | None = None,
         namespace: str = "",
+        parts: int | None = None,
     ) -> None:
         self.spark = spark
         self.root = root
         self.namespace = namespace
+        self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         for layer in LAYERS:
             where = f" LOCATION '{root}/{layer}'" if root else ""
             spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema(layer)}{where}")
@@ -70,6 +84,10 @@ class Warehouse:
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(self.name(layer, table))
 
+    def rows(self, layer: str, table: str) -> int:
+        """Rows of a published table, as counted when they were written."""
+        return int(self._properties(layer, table)[_ROWS])
+
     def watermark(self, layer: str, table: str, column: str) -> Watermark | None:
         """Mark recorded when the table was published; scans only if there is none."""
         df = self.read(layer, table)
@@ -78,6 +96,8 @@ class Warehouse:
             return read_watermark(df, column)
         return Watermark(column, df.schema[column].dataType.simpleString(), text)
 
+    # -- writing ------------------------------------------------------------------
+
     def overwrite(
         self,
         layer: str,
@@ -85,11 +105,21 @@ class Warehouse:
         df: DataFrame,
         mark: str | None = None,
         schema_may_change: bool = False,
+        part_by: Sequence[str] = (),
+        count: int | None = None,
     ) -> Published:
-        """Replace the content. Without ``schema_may_change`` other columns or types fail."""
+        """Replace the content. Without ``schema_may_change`` other columns or types fail.
+
+        With ``part_by`` the table is split into ``count`` parts by a hash of these
+        columns, which must be key columns of every merge into it.
+        """
         if not schema_may_change and self.exists(layer, table):
             check_same_schema(df, self.read(layer, table))
-        return self._publish(layer, table, df, mark)
+        if not part_by:
+            return self._publish(layer, table, df, mark)
+        layout = Layout(count or self.parts, tuple(part_by))
+        run, written = self._write_run(layer, table, df, layout, mark)
+        return self._point_to_parts(layer, table, layout.replaced((), written), run, df, mark)
 
     def overwrite_judged(
         self,
@@ -98,21 +128,49 @@ class Warehouse:
         rows: DataFrame,
         mark: str | None,
         keep_rejected: Callable[[DataFrame], None],
+        part_by: Sequence[str] = (),
     ) -> Published:
         """Replace the content with the accepted rows, after keeping the rejected ones.
 
-        One evaluation and one write: the snapshot holds all judged rows and
+        One evaluation and one write: the run's table holds all judged rows and
         the published view leaves the rejected out. The filter on the verdict
         column is pushed to the scan. ``keep_rejected`` is given the rejected
         rows before the view appears, so a run that dies in between is repeated
         in full and loses none of them.
         """
+        shown = accepted(rows)
         if self.exists(layer, table):
-            check_same_schema(accepted(rows), self.read(layer, table))
-        snapshot, facts = self._write_snapshot(layer, table, rows, mark, judged=True)
-        keep_rejected(rejected(self.spark.table(self.name(layer, snapshot))))
-        shown = [c for c in rows.columns if c != REASON]
-        return self._point(layer, table, snapshot, facts, shown, where=f"{REASON} IS NULL")
+            check_same_schema(shown, self.read(layer, table))
+        if not part_by:
+            snapshot, facts = self._write_snapshot(layer, table, rows, mark, judged=True)
+            keep_rejected(rejected(self.spark.table(self.name(layer, snapshot))))
+            return self._point(layer, table, snapshot, facts, shown.columns, where=f"{REASON} IS NULL")
+        layout = Layout(self.parts, tuple(part_by))
+        run, written = self._write_run(layer, table, rows, layout, mark, judged=True)
+        keep_rejected(rejected(self.spark.table(self.name(layer, run)).drop(PART)))
+        layout = layout.replaced((), written, judged=True)
+        return self._point_to_parts(layer, table, layout, run, shown, mark, judged=True)
+
+    def changes(
+        self,
+        layer: str,
+        table: str,
+        source: DataFrame,
+        keys: Sequence[str],
+        null_safe: bool = False,
+        source_is_unique: bool = False,
+    ) -> DataFrame:
+        """The source rows whose merge would have an effect, for `merge` (see `effective`).
+
+        Only the parts that they fall into are read. ``source`` is read more than
+        once and should be staged.
+        """
+        target = self.read(layer, table)
+        source = aligned(source, target)
+        layout = self.layout(layer, table)
+        if layout is not None:
+            target = self.read_parts(layer, table, parts_touched(source, layout))
+        return effective(target, source, keys, null_safe, source_is_unique)
 
     def merge(
         self,
@@ -123,15 +181,99 @@ class Warehouse:
         mark: str | None = None,
         null_safe: bool = False,
         source_is_unique: bool = False,
+        gone: DataFrame | None = None,
     ) -> Published:
-        """Upsert by key into an existing table.
+        """Upsert by key into an existing table; rows whose key is in ``gone`` are deleted first.
 
-        The whole snapshot is written anew, but a change set under Spark's
-        broadcast threshold moves no target row between executors.
+        Only the parts that hold a key of the source or of ``gone`` are written;
+        a change set under Spark's broadcast threshold moves no target row before
+        that. A table without parts is written as a whole. ``source`` and
+        ``gone`` are read more than once and should be staged.
         """
         target = self.read(layer, table)
+        layout = self.layout(layer, table)
+        touched: list[int] = []
+        if layout is not None:
+            touched = parts_touched(aligned(source.drop(KNOWN), target), layout)
+            if gone is not None:
+                touched = sorted({*touched, *parts_touched(gone, layout)})
+            touched = self._with_small_runs(layout, touched)
+            target = self.read_parts(layer, table, touched)
+        if gone is not None:
+            target = without_keys(target, gone, keys)
         merged = upsert(target, source, keys, null_safe, source_is_unique)
-        return self._publish(layer, table, merged, mark)
+        if layout is None:
+            return self._publish(layer, table, merged, mark)
+        return self._replace(layer, table, merged, layout, touched, mark)
+
+    def replace_parts(
+        self, layer: str, table: str, df: DataFrame, parts: Iterable[int], mark: str | None = None
+    ) -> Published:
+        """Put ``df`` in the place of the given parts. All its rows must fall into them."""
+        check_same_schema(df, self.read(layer, table))
+        layout = self.layout(layer, table)
+        return self._replace(layer, table, df, layout, sorted(parts), mark)
+
+    def _with_small_runs(self, layout: Layout, touched: list[int]) -> list[int]:
+        """More parts to rewrite, so that the table doesn't consist of ever more runs."""
+        left = layout.replaced(touched, {}).runs()
+        for _, parts in sorted(left.items(), key=lambda run: len(run[1]))[: max(0, len(left) + 1 - RUNS_KEPT)]:
+            touched = touched + parts
+        return sorted(touched)
+
+    def _replace(
+        self, layer: str, table: str, df: DataFrame, layout: Layout, touched: list[int], mark: str | None
+    ) -> Published:
+        run, written = self._write_run(layer, table, df, layout, mark)
+        return self._point_to_parts(layer, table, layout.replaced(touched, written), run, df, mark)
+
+    def _write_run(
+        self, layer: str, table: str, df: DataFrame, layout: Layout, mark: str | None, judged: bool = False
+    ) -> tuple[str, dict[int, Part]]:
+        """Write rows by part as a new table; returns its name and what is in it.
+
+        Parts of usual size are one file each; AQE splits a part with a hot key
+        over several tasks and files.
+        """
+        run = f"{table}__{uuid.uuid4().hex[:12]}"
+        placed = df.withColumn(PART, layout.place()).hint("rebalance", F.col(PART))
+        placed.write.format("parquet").partitionBy(PART).saveAsTable(self.name(layer, run))
+        written = self.spark.table(self.name(layer, run))
+        shown = F.col(REASON).isNull() if judged else F.lit(True)
+        highest = mark_text(df, mark, where=shown) if mark else F.lit(None).cast("string")
+        facts = written.groupBy(PART).agg(F.count_if(shown), highest).collect()
+        return run, {part: Part(run, rows, text) for part, rows, text in facts}
+
+    def _point_to_parts(
+        self,
+        layer: str,
+        table: str,
+        layout: Layout,
+        run: str,
+        df: DataFrame,
+        mark: str | None,
+        judged: bool = False,
+    ) -> Published:
+        """Make the published view show the parts of a layout; ``run`` is the one just written."""
+        facts = {_ROWS: str(sum(part.rows for part in layout.parts.values()))}
+        if mark:
+            texts = [part.mark for part in layout.parts.values() if part.mark is not None]
+            highest = latest_mark(self.spark, texts, df.schema[mark].dataType.simpleString())
+            if highest is not None:
+                facts[_MARK + mark] = highest
+        facts |= layout.to_properties()
+        shown = ", ".join(f"`{c}`" for c in df.columns)
+        pieces = []
+        for held, parts in (layout.runs() or {run: []}).items():
+            tests = []
+            if len(parts) < layout.count:
+                tests.append(f"{PART} IN ({', '.join(map(str, parts))})" if parts else "false")
+            if held in layout.judged or (judged and held == run):
+                tests.append(f"{REASON} IS NULL")
+            where = f" WHERE {' AND '.join(tests)}" if tests else ""
+            pieces.append(f"SELECT {shown} FROM {self.name(layer, held)}{where}")
+        self._show(layer, table, facts | {_SNAPSHOT: run}, " UNION ALL ".join(pieces))
+        return Published(self.name(layer, table), int(facts[_ROWS]))
 
     def _publish(self, layer: str, table: str, df: DataFrame, mark: str | None) -> Published:
         snapshot, facts = self._write_snapshot(layer, table, df, mark)
@@ -140,7 +282,7 @@ class Warehouse:
     def _write_snapshot(
         self, layer: str, table: str, df: DataFrame, mark: str | None, judged: bool = False
     ) -> tuple[str, dict[str, str]]:
-        """Write a new snapshot table; returns its name and what was observed."""
+        """Write a new table without parts; returns its name and what was observed."""
         snapshot = f"{table}__{uuid.uuid4().hex[:12]}"
         counts = F.col(REASON).isNull() if judged else F.lit(True)
         metrics = [F.count_if(counts).alias(_ROWS)]
@@ -162,37 +304,88 @@ class Warehouse:
         columns: Sequence[str],
         where: str | None = None,
     ) -> Published:
-        """Make the published view show a snapshot."""
-        properties = {**facts, _SNAPSHOT: snapshot}
-        listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+        """Make the published view show a table without parts."""
         shown = ", ".join(f"`{c}`" for c in columns)
+        body = f"SELECT {shown} FROM {self.name(layer, snapshot)}" + (f" WHERE {where}" if where else "")
+        self._show(layer, table, facts | {_SNAPSHOT: snapshot}, body)
+        return Published(self.name(layer, table), int(facts[_ROWS]))
+
+    def _show(self, layer: str, table: str, properties: Mapping[str, str], body: str) -> None:
+        listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
         self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({listed}) "
-            f"AS SELECT {shown} FROM {self.name(layer, snapshot)}"
-            + (f" WHERE {where}" if where else "")
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({listed}) AS {body}"
         )
-        return Published(self.name(layer, table), int(facts[_ROWS]))
+
+    # -- what is published ----------------------------------------------------------
+
+    def layout(self, layer: str, table: str) -> Layout | None:
+        """The layout of a table with parts."""
+        return Layout.from_properties(self._properties(layer, table))
+
+    def read_parts(
+        self, layer: str, table: str, parts: Iterable[int], layout: Layout | None = None
+    ) -> DataFrame:
+        """Some parts of a table, as published or as in an earlier layout.
+
+        Raises if a run that the layout names has been dropped.
+        """
+        columns = self.read(layer, table).columns
+        layout = layout or self.layout(layer, table)
+        frames = []
+        for run, held in layout.runs(parts).items():
+            rows = self.spark.table(self.name(layer, run)).filter(F.col(PART).isin(held))
+            if run in layout.judged:
+                rows = rows.filter(f"{REASON} IS NULL")
+            frames.append(rows.select(*[f"`{c}`" for c in columns]))
+        if not frames:
+            return self.read(layer, table).filter("false")
+        return reduce(DataFrame.unionByName, frames)
+
+    def holds(self, layer: str, layout: Layout, parts: Iterable[int]) -> bool:
+        """Whether the rows of some parts of an earlier layout are still there."""
+        return all(self.spark.catalog.tableExists(self.name(layer, run)) for run in layout.runs(parts))
+
+    def state(self, layer: str, table: str) -> str | None:
+        """Changes whenever the published content does; None if that can't be told."""
+        return self._properties(layer, table).get(_SNAPSHOT)
+
+    def built_from(self, layer: str, table: str) -> dict | None:
+        """What `stamp` has noted since the table was last published."""
+        properties = self._properties(layer, table)
+        chunks = sorted(k for k in properties if k.startswith(_BUILT))
+        return json.loads("".join(properties[k] for k in chunks)) if chunks else None
+
+    def stamp(self, layer: str, table: str, built_from: dict) -> None:
+        """Note what the published content was built from. The next write takes the note away."""
+        text = json.dumps(built_from, sort_keys=True, separators=(",", ":"))
+        old = [k for k in self._properties(layer, table) if k.startswith(_BUILT)]
+        name = self.name(layer, table)
+        if old:
+            self.spark.sql(f"ALTER VIEW {name} UNSET TBLPROPERTIES ({', '.join(map(_literal, old))})")
+        chunks = [text[at : at + 3500] for at in range(0, len(text), 3500)]
+        listed = ", ".join(f"{_literal(f'{_BUILT}{n:04d}')} = {_literal(c)}" for n, c in enumerate(chunks))
+        self.spark.sql(f"ALTER VIEW {name} SET TBLPROPERTIES ({listed})")
 
     def snapshot(self, layer: str, table: str) -> str:
-        """Name of the snapshot table behind a published view."""
+        """Name of the table that the last run wrote for a published view."""
         return self._properties(layer, table)[_SNAPSHOT]
 
     def drop_old_snapshots(self, layer: str, table: str) -> list[str]:
-        """Remove every snapshot but the published one. Run it when no reader is left."""
-        current = self.snapshot(layer, table)
+        """Remove every run's table that is not published. Run it when no reader is left."""
+        layout = self.layout(layer, table)
+        live = {name.lower() for name in (layout.runs() if layout else {})} | {self.snapshot(layer, table).lower()}
         found = self.spark.sql(f"SHOW TABLES IN {self.schema(layer)} LIKE '{table}__*'").collect()
         ours = re.compile(re.escape(table.lower()) + "__[0-9a-f]{12}")
         names = [row.tableName for row in found if ours.fullmatch(row.tableName)]
-        stale = [name for name in names if name != current.lower()]
+        stale = [name for name in names if name not in live]
         for snapshot in stale:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, snapshot)}")
         return stale
 
     def _properties(self, layer: str, table: str) -> dict[str, str]:
-        try:
-            rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
-        except AnalysisException:
+        if not self.exists(layer, table):
             return {}
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
         return {row.key: row.value for row in rows}
 
 
@@ -210,6 +403,21 @@ class MergeWarehouse(Warehouse):
     def watermark(self, layer: str, table: str, column: str) -> Watermark | None:
         return read_watermark(self.read(layer, table), column)
 
+    def rows(self, layer: str, table: str) -> int:
+        return self.read(layer, table).count()
+
+    def layout(self, layer: str, table: str) -> Layout | None:
+        return None
+
+    def state(self, layer: str, table: str) -> str | None:
+        return None  # the format's own history would tell
+
+    def built_from(self, layer: str, table: str) -> dict | None:
+        return None
+
+    def stamp(self, layer: str, table: str, built_from: dict) -> None:
+        pass
+
     def overwrite(
         self,
         layer: str,
@@ -217,6 +425,8 @@ class MergeWarehouse(Warehouse):
         df: DataFrame,
         mark: str | None = None,
         schema_may_change: bool = False,
+        part_by: Sequence[str] = (),
+        count: int | None = None,
     ) -> Published:
         name = self.name(layer, table)
         if not schema_may_change and self.exists(layer, table):
@@ -235,6 +445,7 @@ class MergeWarehouse(Warehouse):
         rows: DataFrame,
         mark: str | None,
         keep_rejected: Callable[[DataFrame], None],
+        part_by: Sequence[str] = (),
     ) -> Published:
         rows = staged(rows)
         keep_rejected(rejected(rows))
@@ -249,12 +460,17 @@ class MergeWarehouse(Warehouse):
         mark: str | None = None,
         null_safe: bool = False,
         source_is_unique: bool = False,
+        gone: DataFrame | None = None,
     ) -> Published:
         name = self.name(layer, table)
+        if gone is not None:
+            same = " AND ".join(f"{name}.`{k}` <=> gone.`{k}`" for k in keys)
+            listed = gone.select(*[f"`{k}`" for k in keys]).distinct().alias("gone")
+            listed.mergeInto(name, F.expr(same)).whenMatched().delete().merge()
         equal = "<=>" if null_safe else "="
         condition = " AND ".join(f"{name}.`{k}` {equal} changes.`{k}`" for k in keys)
         seen = Observation()
-        changes = aligned(source, self.read(layer, table))
+        changes = aligned(source.drop(KNOWN), self.read(layer, table))
         (
             changes.observe(seen, F.count("*").alias(_ROWS))
             .alias("changes")

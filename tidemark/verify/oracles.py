@@ -6,6 +6,7 @@ in a spec shows up as a difference.
 
 from __future__ import annotations
 
+from tidemark.verify import change_sets
 from tidemark.verify.queries import FIRST_LOAD_END, GRAINS, SAMPLE_ROWS, SEED, SHARE, SMALL_SHARE
 from tidemark.verify.shapes import as_sql
 
@@ -259,6 +260,19 @@ class Script:
             f"bad_run_{table}", first, second, LAYOUT[table][2], "IS NOT DISTINCT FROM"
         )
 
+    # -- change sets -------------------------------------------------------------------
+
+    def now(self, table: str) -> str:
+        """One current row for each key."""
+        return self.one_per_key(f"now_{table}", self.raw(table), table) if LAYOUT[table][2] else self.raw(table)
+
+    def after_changes(self, table: str) -> str:
+        """Silver after all change sets: none of them turns a row bad."""
+        rows = self.now(table)
+        for k in change_sets.STEPS if table in change_sets.HITS else ():
+            rows = self.step(f"after{k}_{table}", change_sets.changed_sql(table, rows, k))
+        return self.valid(table, rows, "_after")
+
     # -- marts -----------------------------------------------------------------------
 
     def per_order(self, items: str, payments: str, reviews: str) -> tuple[str, str, str]:
@@ -514,6 +528,29 @@ def _runs() -> dict[str, str]:
     ):
         s = Script()
         found[f"run_gold_{mart}"] = s.select(f"SELECT * FROM {build(s, s.run_silver)}")
+        s = Script()
+        found[f"refreshed_{mart}"] = s.select(f"SELECT * FROM {build(s, s.after_changes)}")
+
+    s = Script()
+    bad = s.bad("order_payments", s.now("order_payments"), "_now")
+    fate, again = change_sets.FATE, f"{change_sets.FATE} = 4"
+    found["quarantine_cleared"] = s.select(
+        f"""SELECT * REPLACE (CASE WHEN {again} THEN 0 ELSE payment_installments END AS payment_installments,
+        CASE WHEN {again} THEN TIMESTAMP '2031-01-03 00:00:00' ELSE updated_at END AS updated_at)
+        FROM {bad} WHERE {fate} % 2 = 1 OR {again}"""
+    )
+
+    s = Script()
+    now = s.now("orders")
+    punctual = s.step("punctual", f"SELECT * FROM {now} WHERE NOT coalesce({change_sets.LATE}, false)")
+    first = s.valid("orders", punctual, "_first")
+    every = s.valid("orders", now, "_every")
+    window = f"INTERVAL {change_sets.LOOKBACK_DAYS} DAY"
+    found["lookback_orders"] = s.select(
+        f"""SELECT * FROM {every} WHERE NOT {change_sets.LATE} OR (
+        updated_at >= (SELECT max(updated_at) FROM {punctual}) - {window}
+        AND updated_at >= (SELECT max(updated_at) FROM {first}) - {window})"""
+    )
     return found
 
 

@@ -20,10 +20,11 @@ from tidemark.plans.bronze import ingest
 from tidemark.plans.checks import RANGE_CHECKS, STATUS_CHECKS, TIME_ORDER_CHECKS
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.reconcile import reconciliation
-from tidemark.plans.silver import invalid_rows, judged, valid_rows
-from tidemark.shared import new_folder
+from tidemark.plans.silver import invalid_rows, judged, refine, valid_rows
+from tidemark.shared import new_folder, staged
 from tidemark.sources import FrameSource
 from tidemark.specs import TABLES
+from tidemark.verify import change_sets
 from tidemark.verify.shapes import SourceTables
 from tidemark.warehouse import Warehouse
 
@@ -252,8 +253,51 @@ def _bronze_repeated_keys(s: Shop) -> DataFrame:
     return warehouse.read("bronze", "orders")
 
 
+@lru_cache(maxsize=2)
+def refreshed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A full run, then three change sets whose marts are brought up to date by part."""
+    _, state = two_states(spark, sf_dir)
+    warehouse = new_warehouse(spark)
+    run_pipeline(warehouse, FrameSource(state))
+    for k in change_sets.STEPS:
+        state = state | {t: change_sets.changed(t, state[t], k) for t in change_sets.HITS}
+        run_pipeline(warehouse, FrameSource(state))
+    return warehouse
+
+
+def _after_changes(mart: str) -> Query:
+    return lambda spark, sf_dir: refreshed(spark, sf_dir).read("gold", mart)
+
+
+def _current(s: Shop, name: str) -> DataFrame:
+    return staged(latest_per_key(s.source(name), TABLES[name].keys, TABLES[name].watermark))
+
+
+def _quarantine_cleared(s: Shop) -> DataFrame:
+    """Payments that are bad, good, bad and good again; repaired ones leave quarantine."""
+    payments, spec, warehouse = _current(s, "order_payments"), TABLES["order_payments"], new_warehouse(s.spark)
+    for number in range(1, 5):
+        source = FrameSource({spec.name: change_sets.payments_at(payments, number)})
+        ingest(warehouse, source, spec)
+        refine(warehouse, spec, clear_repaired=True)
+    return warehouse.read("quarantine", spec.name)
+
+
+def _lookback(s: Shop) -> DataFrame:
+    """Orders of which every fifth arrives late; those of the last days are read again."""
+    orders, spec, warehouse = _current(s, "orders"), TABLES["orders"], new_warehouse(s.spark)
+    lookback = f"INTERVAL '{change_sets.LOOKBACK_DAYS}' DAY"
+    late = F.coalesce(F.expr(change_sets.LATE), F.lit(False))
+    for rows in (orders.filter(~late), orders):
+        ingest(warehouse, FrameSource({spec.name: rows}), spec, lookback=lookback)
+        refine(warehouse, spec, lookback=lookback)
+    return warehouse.read("silver", spec.name)
+
+
 def _runs() -> dict[str, Query]:
     found: dict[str, Query] = {
+        "quarantine_cleared": over_shop(_quarantine_cleared),
+        "lookback_orders": over_shop(_lookback),
         "bronze_repeated_keys": over_shop(_bronze_repeated_keys),
         "run_row_counts": _run_row_counts,
         "run_bronze_orders": _from_run("bronze", "orders"),
@@ -265,6 +309,7 @@ def _runs() -> dict[str, Query]:
         found[f"run_silver_{short(name)}"] = _from_run("silver", name)
     for mart in ("fact_orders", "customer_summary", "product_summary"):
         found[f"run_gold_{mart}"] = _from_run("gold", mart)
+        found[f"refreshed_{mart}"] = _after_changes(mart)
     return found
 
 

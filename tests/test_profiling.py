@@ -52,6 +52,16 @@ def test_heaviest_keys_break_ties_by_key(spark):
     assert "TakeOrderedAndProject" in plan_of(top)
 
 
+def test_attribute_drift_of_a_hot_entity(spark):
+    df = spark.range(20_000).selectExpr(
+        "IF(id % 3 = 0, id, NULL) AS e", "CAST(id % 7 AS INT) AS a", "IF(id % 2 = 0, NULL, CAST(id % 5 AS STRING)) AS `b.c`",
+        "IF(id % 2 = 0, 0.0D, -0.0D) AS z")
+    drift = p.attribute_drift(df, "e", ["a", "b.c", "z"])
+    assert "Expand" not in plan_of(drift) and "partial_count" in plan_of(drift)
+    got = {r[0]: tuple(r[1:]) for r in drift.filter("e IS NULL OR e < 5").collect()}
+    assert got == {None: (7, 5, 1), 0: (1, 0, 1), 3: (1, 1, 1)}
+
+
 def test_attribute_drift(spark):
     data = [("u", 1, "x"), ("u", 2, "x"), ("u", 2, None), ("w", 1, "y")]
     df = spark.createDataFrame(data, "e string, a int, b string")

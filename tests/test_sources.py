@@ -1,7 +1,10 @@
 """JDBC read options. No database is started: only what is asked of it is checked."""
 
+import duckdb
+import pytest
+
 from tidemark.operators.watermark import Watermark
-from tidemark.sources import FrameSource, JdbcHexSplit, JdbcSource, JdbcSplit
+from tidemark.sources import FrameSource, JdbcHexSplit, JdbcQuantileSplit, JdbcSource, JdbcSplit
 from tidemark.sources.jdbc import delta_query, identifier
 from tidemark.specs import TABLES
 
@@ -108,3 +111,42 @@ def test_frame_source(spark):
     frames = FrameSource({"orders": df})
     assert frames.read(TABLES["orders"]).count() == 5
     assert frames.read_since(TABLES["orders"], Watermark("updated_at", "bigint", "3")).count() == 2
+
+
+TEXTS = ["", "a", "A", "b", "B", "it's", "é", "z", "Z", "10", "9", None]
+KEYS = {
+    "VARCHAR": TEXTS,
+    "VARCHAR COLLATE NOCASE": TEXTS,
+    "BIGINT": [*range(-5, 40), 7, 7, 7, None],
+    "DECIMAL(10,2)": ["1.10", "-2.00", "3.33", None, "0.00"],
+    "TIMESTAMP": [f"2020-01-{d:02d} 00:00:00.{d:03d}" for d in range(1, 20)] + [None],
+    "DATE": [f"2020-01-{d:02d}" for d in range(1, 9)],
+    "INTEGER": [None, None],
+    "SMALLINT": [],
+}
+
+
+@pytest.mark.parametrize("kind", KEYS)
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_quantile_ranges_hold_every_row_once(spark, kind, partitions):
+    """The query and the ranges as a database answers them: an engine within this process."""
+    values = KEYS[kind]
+    database = duckdb.connect()
+    database.execute(f'CREATE TABLE "a table" ("the key" {kind})')
+    for value in values:
+        database.execute('INSERT INTO "a table" VALUES (?)', [value])
+    split = JdbcQuantileSplit("the key", partitions)
+    column = identifier("the key")
+    answer = database.execute(f"SELECT stretch, cut FROM {split.cuts_query(identifier('a table'), column)}").fetchall()
+    dtype = {"VARCHAR": "string", "VARCHAR COLLATE NOCASE": "string", "TIMESTAMP": "timestamp_ntz", "INTEGER": "int",
+             "SMALLINT": "smallint"}.get(kind, kind.lower())
+    cuts = split.cuts(spark.createDataFrame(answer, f"stretch long, cut {dtype}"))
+    assert len(cuts) <= partitions
+    predicates = split.predicates(column, cuts)
+    assert len(predicates) <= max(1, partitions)
+    counts = [database.execute(f'SELECT count(*) FROM "a table" WHERE {p}').fetchone()[0] for p in predicates]
+    matched = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in predicates)
+    assert database.execute(f'SELECT count(*) FROM "a table" WHERE {matched} <> 1').fetchone()[0] == 0
+    assert sum(counts) == len(values)
+    if kind == "TIMESTAMP" and partitions == 3:
+        assert max(counts) <= 8  # 19 values and a NULL in three ranges

@@ -72,11 +72,23 @@ def attribute_drift(
 ) -> DataFrame:
     """Distinct values of each attribute per entity; with ``k``, the most drifting ones.
 
-    Repeated (entity, attributes) rows are collapsed before the distinct counts
-    expand them.
+    Each (entity, attribute, value) is made distinct once, combined on the map
+    side, and then counted; a count distinct per attribute would send every row
+    once per attribute. NULLs don't count as values.
     """
-    seen = df.select(quoted(entity), *[quoted(a) for a in attributes]).distinct()
-    counts = [F.countDistinct(quoted(a)).alias(f"distinct_{a}") for a in attributes]
+    kinds = [df.schema[a].dataType for a in attributes]
+
+    def slot(place: int):
+        """The value in a field of its own type, all other fields NULL."""
+        fields = [
+            (quoted(a) if n == place else F.lit(None).cast(kind)).alias(f"v{n}")
+            for n, (a, kind) in enumerate(zip(attributes, kinds))
+        ]
+        return F.struct(F.lit(place).alias("place"), *fields)
+
+    values = F.explode(F.array(*[slot(n) for n in range(len(attributes))])).alias("__value")
+    seen = df.select(quoted(entity).alias(entity), values).distinct()
+    counts = [F.count(F.col(f"__value.v{n}")).alias(f"distinct_{a}") for n, a in enumerate(attributes)]
     drift = seen.groupBy(quoted(entity)).agg(*counts)
     if k is None:
         return drift

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from decimal import Decimal, InvalidOperation
 
@@ -91,6 +91,45 @@ class JdbcHexSplit:
         return [f"({made[0]} OR {column} IS NULL)", *made[1:]]
 
 
+@dataclass(frozen=True)
+class JdbcQuantileSplit:
+    """Parallel read of a table by any ordered column, with bounds that the database finds.
+
+    One query asks the database for the least value of each of ``partitions``
+    equally long stretches of the ordered column (it reads an index, or sorts
+    the column). The ranges between them are read by one task each; whatever
+    the order - a collation, say - the database compares with it in both steps,
+    so every row falls into one range. NULLs go to the first. A value that holds
+    more rows than a stretch can't be divided.
+    """
+
+    column: str
+    partitions: int
+
+    def cuts_query(self, dbtable: str, column: str) -> str:
+        return (
+            f"(SELECT stretch, MIN(cut) AS cut FROM (SELECT {column} AS cut, "
+            f"NTILE({self.partitions}) OVER (ORDER BY {column}) AS stretch "
+            f"FROM {dbtable} WHERE {column} IS NOT NULL) AS placed GROUP BY stretch) AS cuts"
+        )
+
+    @staticmethod
+    def predicates(column: str, cuts: Sequence[str]) -> list[str]:
+        """Ranges from SQL literals in the database's order, the first of which is the least value."""
+        inner = [cut for n, cut in enumerate(cuts) if n and cut != cuts[n - 1]]
+        if not inner:
+            return ["1 = 1"]
+        made = [f"({column} < {inner[0]} OR {column} IS NULL)"]
+        made += [f"{column} >= {low} AND {column} < {high}" for low, high in zip(inner, inner[1:])]
+        return [*made, f"{column} >= {inner[-1]}"]
+
+    def cuts(self, found: DataFrame) -> list[str]:
+        """The answer to `cuts_query` as literals: one row for each partition at most."""
+        dtype = found.schema["cut"].dataType.simpleString()
+        rows = found.select("stretch", found["cut"].cast("string").alias("cut")).collect()
+        return [Watermark("cut", dtype, row["cut"]).sql_literal() for row in sorted(rows)]
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Tables of one database schema.
@@ -104,7 +143,7 @@ class JdbcSource:
     url: str
     options: Mapping[str, str]
     schema: str = "public"
-    splits: Mapping[str, JdbcSplit | JdbcHexSplit] = field(default_factory=dict)
+    splits: Mapping[str, JdbcSplit | JdbcHexSplit | JdbcQuantileSplit] = field(default_factory=dict)
     fetch_size: int = 10_000
     quote: str = '"'  # the database's mark around identifiers
 
@@ -112,7 +151,7 @@ class JdbcSource:
         self, spec: TableSpec, dbtable: str, mark: Watermark | None = None
     ) -> dict[str, str]:
         split = self.splits.get(spec.name)
-        if isinstance(split, JdbcHexSplit):
+        if isinstance(split, (JdbcHexSplit, JdbcQuantileSplit)):
             split = None
         if split and mark:
             split = split.above(mark)
@@ -142,4 +181,10 @@ class JdbcSource:
             url, table = options.pop("url"), options.pop("dbtable")
             predicates = split.predicates(identifier(split.column, self.quote))
             return self.spark.read.jdbc(url, table, predicates=predicates, properties=options)
+        if isinstance(split, JdbcQuantileSplit):
+            column = identifier(split.column, self.quote)
+            asked = {**options, "dbtable": split.cuts_query(dbtable, column)}
+            cuts = split.cuts(self.spark.read.format("jdbc").options(**asked).load())
+            url, table = options.pop("url"), options.pop("dbtable")
+            return self.spark.read.jdbc(url, table, predicates=split.predicates(column, cuts), properties=options)
         return self.spark.read.format("jdbc").options(**options).load()

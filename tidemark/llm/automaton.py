@@ -240,6 +240,24 @@ class Automaton:
                 hits.append((at, state))
         return hits
 
+    def stretches(self, data: bytes, rules: int) -> list[list[int]]:
+        """For each rule, where the maximal stretches of ends of its matches end.
+
+        Memory goes with the number of stretches, however long they are.
+        """
+        table, state, least, accepts = self.table, self.start, self.first_accept, self.accepts
+        stretches: list[list[int]] = [[] for _ in range(rules)]
+        for at, c in enumerate(data.translate(self.classes), 1):
+            state = table[state + c]
+            if state >= least:
+                for rule in accepts[state]:
+                    own = stretches[rule]
+                    if own and own[-1] == at - 1:
+                        own[-1] = at
+                    else:
+                        own.append(at)
+        return stretches
+
     def first_start(self, data: bytes, end: int, bound: int) -> int | None:
         """For a backwards automaton: smallest start from ``bound`` on of a match that ends at ``end``."""
         table, classes, state, least = self.table, self.classes, self.start, self.first_accept

@@ -36,10 +36,13 @@ _LINE_END = r"(\x0d?\x0a|\\r\\n|\\n)"
 _BASE64 = "[A-Za-z0-9+/]"
 _KEY_FIELDS = rf"([\x20\x09]*{_LINE_END}[\x20\x09>#*|]*[A-Za-z0-9-]+:[\x20-\x7e\x09]*)*"  # Proc-Type, DEK-Info, Comment
 _BETWEEN = r"""([\x20\x09\x0d\x0a"'+>#*|,;]|\\[nrt])"""  # quoted, commented and escaped keys, too
-#: A private key behind its first line: all up to the last line, or without one the long runs of base64.
+_PAD = r"""[\x20\x09"'+>#*|,;]"""
+_LINE = rf"{_PAD}*{_LINE_END}{_PAD}*(=?[A-Za-z0-9+/._]+=?=?)?"  # a line has no blank between its letters, unlike prose
+_LONG_RUN = rf"{_BASE64}{{24}}{_BASE64}*"
+#: A private key behind its first line: lines or long runs of base64 up to the last line, or without one the long runs.
 _KEY_BODY = (
-    rf"""{_KEY_FIELDS}[A-Za-z0-9+/=\x20\x09\x0d\x0a\\"'>#*|,;._]*{_DASHES}END {_KEY}"""
-    rf"|{_KEY_FIELDS}({_BETWEEN}*{_BASE64}{{24}}{_BASE64}*)+({_BETWEEN}*{_BASE64}*==?)?"
+    rf"{_KEY_FIELDS}({_LINE}|{_PAD}*{_LONG_RUN})*({_PAD}*{_BASE64}*==?)?({_LINE})*{_PAD}*{_DASHES}END {_KEY}"
+    rf"|{_KEY_FIELDS}({_BETWEEN}*{_LONG_RUN})+({_BETWEEN}*{_BASE64}*==?)?"
 )
 
 #: The rules, in the order in which spans at one place are listed.
@@ -91,17 +94,9 @@ class Scanner:
         if not text:
             return []
         data = text.encode("utf-8", "surrogatepass")
-        hits = self.forwards.ends(data)
-        if not hits:
+        stretches = self.forwards.stretches(data, len(self.rules))
+        if not any(stretches):
             return []
-        stretches: list[list[int]] = [[] for _ in self.rules]  # ends of maximal accepting stretches
-        for at, state in hits:
-            for rule in self.forwards.accepts[state]:
-                own = stretches[rule]
-                if own and own[-1] == at - 1:
-                    own[-1] = at
-                else:
-                    own.append(at)
         spans = []
         for number, (rule, own) in enumerate(zip(self.rules, stretches)):
             bound = 0
@@ -117,11 +112,11 @@ class Scanner:
                     spans.append((start, number, end))
         spans.sort()
         if len(data) != len(text):
-
-            def points(at: int) -> int:
-                return len(data[:at].decode("utf-8", "surrogatepass"))
-
-            spans = [(points(start), number, points(end)) for start, number, end in spans]
+            points, last, count = {}, 0, 0
+            for at in sorted({at for start, _, end in spans for at in (start, end)}):
+                count += len(data[last:at].decode("utf-8", "surrogatepass"))
+                points[at], last = count, at
+            spans = [(points[start], number, points[end]) for start, number, end in spans]
         return [(start, end, self.rules[number].kind) for start, number, end in spans]
 
     def mask(self, text: str | None) -> str | None:

@@ -73,3 +73,11 @@ def test_frame(spark):
     assert token_digests(df.limit(0), PATH).count() == 0
     back = decode_documents(encode_documents(df, PATH), PATH).collect()
     assert all(r["decoded"] == (r["text"] or "") for r in back)
+
+
+def test_long_units_are_not_kept():
+    encoder = ChunkEncoder(PATH)
+    texts = [f"{n} " + "".join(chr(97 + (n * i * i + i) % 26) for i in range(3000)) + " end." for n in range(20)]
+    for text in texts:
+        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert all(len(unit) <= byte_tokens.LONG for unit in encoder.units)

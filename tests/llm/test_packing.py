@@ -78,3 +78,19 @@ def test_items_that_never_fit_together(spark):
     out = pack_documents(df, PATH, size=128, items=10)
     assert out.select("sequence_id").distinct().count() == 90
     assert pack_documents(df.limit(0), PATH).count() == 0
+
+
+def test_long_words_are_not_kept():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tidemark.llm import word_tokens
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), word_tokens.WordEncoder(path)
+    texts = [f"{n} " + "".join(chr(97 + (n * i * i + i) % 26) for i in range(3000)) + ", end. é" + "ü" * 99 for n in range(20)]
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert encoder.words and all(len(word) <= word_tokens.LONG for word in encoder.words)
+    assert all(len(part) <= word_tokens.LONG for part in encoder.parts)

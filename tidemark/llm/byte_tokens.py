@@ -28,6 +28,7 @@ from .frames import with_fields
 
 MASK = 0x1FF  # a cut every 512 bytes on average
 UNITS_KEPT = 600_000  # about 150 MB in a worker
+LONG = 64  # bytes; longer units are not kept
 CHUNK_BYTES_KEPT = 16_000_000
 
 _GEAR = np.random.default_rng(77).integers(0, 2**32, 256, np.uint32)
@@ -86,7 +87,11 @@ class ChunkEncoder:
             texts = [u.decode("utf-8", "replace") for u in new]
             for unit, encoded in zip(new, self.library.encode_batch_fast(texts, add_special_tokens=False)):
                 self.units[unit] = np.array(encoded.ids, "<u4").tobytes()
-        return b"".join(map(self.units.__getitem__, units))
+        ids = b"".join(map(self.units.__getitem__, units))
+        for unit in new:
+            if len(unit) > LONG:
+                del self.units[unit]
+        return ids
 
     def _chunk(self, data: bytes) -> tuple[bytes, bytes, bytes | None]:
         """(text before the first firm boundary, ids from there to the last, text behind it).

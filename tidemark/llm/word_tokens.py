@@ -16,7 +16,8 @@ from functools import lru_cache
 
 import numpy as np
 
-WORDS_KEPT = 450_000  # about 90 MB in a worker
+WORDS_KEPT = 450_000  # about 90 MB in a worker, 150 MB if all are of the greatest length
+LONG = 64  # bytes; longer words and parts of words are not kept
 #: What the fast way takes: lower-case ASCII and Latin-1 letters, digits and
 #: ASCII marks; the cuts are those of the tokenizer's own pattern.
 _COMMON = re.compile(r"[a-z0-9ß-öø-ÿ!-/:-@\[-`{-~]+")
@@ -70,6 +71,9 @@ class WordEncoder:
         find = self.parts.__getitem__
         for word, parts in cut.items():
             self.words[word] = b"".join(map(find, parts))
+        for part in {p for word, parts in cut.items() if len(word) > LONG for p in parts}:
+            if len(part) > LONG:
+                del self.parts[part]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null has none."""
@@ -84,6 +88,9 @@ class WordEncoder:
                 self._learn(new)
             find = self.words.__getitem__
             out += [b"".join(map(find, words)) for words in group]
+            for word in new:
+                if len(word) > LONG:
+                    del self.words[word]
         return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +19,13 @@ _PREFIX = "tidemark.layout."
 
 @dataclass(frozen=True)
 class Part:
-    """Where a part's rows are, how many there are, and their highest mark."""
+    """Where a part's rows are, how many there are, their highest mark, and further counts."""
 
     run: str
     rows: int
     mark: str | None = None
+    #: What the layout's ``counted`` names, in its order; None if that was not counted.
+    counts: tuple[int, ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,8 @@ class Layout:
     parts: Mapping[int, Part] = field(default_factory=dict)
     #: Runs whose rows carry a verdict; only those without one are shown.
     judged: frozenset[str] = frozenset()
+    #: Digest of the measures that ``Part.counts`` holds.
+    counted: str = ""
 
     def place(self) -> Column:
         """The part of a row. Equal keys of equal types are in the same part of every table."""
@@ -47,13 +51,22 @@ class Layout:
             found.setdefault(self.parts[part].run, []).append(part)
         return found
 
-    def replaced(self, touched: Iterable[int], written: Mapping[int, Part], judged: bool = False) -> Layout:
-        """The layout after a run has written the touched parts anew."""
-        kept = {part: held for part, held in self.parts.items() if part not in set(touched)}
+    def replaced(
+        self, touched: Iterable[int], written: Mapping[int, Part], judged: bool = False, counted: str = ""
+    ) -> Layout:
+        """The layout after a run has written the touched parts anew.
+
+        ``counted`` is the digest of what the run counted. Counts of other
+        measures can't be added to these, so parts that have such lose them.
+        """
+        gone = set(touched)
+        kept = {part: held for part, held in self.parts.items() if part not in gone}
+        if counted != self.counted:
+            kept = {part: replace(held, counts=None) for part, held in kept.items()}
         parts = {**kept, **written}
         live = {held.run for held in parts.values()}
         marked = self.judged | ({held.run for held in written.values()} if judged else set())
-        return Layout(self.count, self.part_by, parts, frozenset(marked & live))
+        return Layout(self.count, self.part_by, parts, frozenset(marked & live), counted)
 
     def differing(self, other: Layout) -> set[int]:
         """Parts that not both layouts have from the same run. Both must be split alike."""
@@ -74,28 +87,39 @@ class Layout:
 
     def to_json(self) -> str:
         runs = {
-            run: {str(p): [self.parts[p].rows, self.parts[p].mark] for p in parts}
+            run: {str(p): [self.parts[p].rows, self.parts[p].mark, self.parts[p].counts] for p in parts}
             for run, parts in self.runs().items()
         }
         made = {"count": self.count, "by": list(self.part_by), "runs": runs, "judged": sorted(self.judged)}
-        return json.dumps(made, separators=(",", ":"))
+        return json.dumps(made | {"counted": self.counted}, separators=(",", ":"))
 
     @classmethod
     def from_json(cls, text: str) -> Layout:
         made = json.loads(text)
         parts = {
-            int(p): Part(run, rows, mark) for run, held in made["runs"].items() for p, (rows, mark) in held.items()
+            int(p): Part(run, rows, mark, None if counts is None else tuple(counts))
+            for run, held in made["runs"].items()
+            for p, (rows, mark, counts) in held.items()
         }
-        return cls(made["count"], tuple(made["by"]), parts, frozenset(made["judged"]))
+        return cls(made["count"], tuple(made["by"]), parts, frozenset(made["judged"]), made["counted"])
 
     def to_properties(self) -> dict[str, str]:
-        text = self.to_json()
-        return {f"{_PREFIX}{n:04d}": text[at : at + _CHUNK] for n, at in enumerate(range(0, len(text), _CHUNK))}
+        return in_chunks(_PREFIX, self.to_json())
 
     @classmethod
     def from_properties(cls, properties: Mapping[str, str]) -> Layout | None:
-        chunks = sorted(k for k in properties if k.startswith(_PREFIX))
-        return cls.from_json("".join(properties[k] for k in chunks)) if chunks else None
+        text = from_chunks(_PREFIX, properties)
+        return None if text is None else cls.from_json(text)
+
+
+def in_chunks(prefix: str, text: str) -> dict[str, str]:
+    """A text as properties, none of them too long."""
+    return {f"{prefix}{n:06d}": text[at : at + _CHUNK] for n, at in enumerate(range(0, len(text), _CHUNK))}
+
+
+def from_chunks(prefix: str, properties: Mapping[str, str]) -> str | None:
+    chunks = sorted(k for k in properties if k.startswith(prefix))
+    return "".join(properties[k] for k in chunks) if chunks else None
 
 
 def part_of(columns: Iterable[str], count: int) -> Column:

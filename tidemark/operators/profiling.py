@@ -120,11 +120,16 @@ def flag_counts(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
     return _long_form(one_row, "check_name", "violations")
 
 
+def faults(columns: Sequence[str], checks: Mapping[str, str] | None = None) -> dict[str, Column]:
+    """The predicates whose rows `one_pass` counts, by measure: NULLs per column, then the checks."""
+    found = {f"nulls:{c}": quoted(c).isNull() for c in columns}
+    return found | {f"check:{n}": F.expr(p) for n, p in (checks or {}).items()}
+
+
 def one_pass(df: DataFrame, checks: Mapping[str, str] | None = None) -> DataFrame:
     """Row count, NULLs per column and violations per check from a single scan."""
     measures = [F.count("*").alias("rows")]
-    measures += [_true_count(quoted(c).isNull()).alias(f"nulls:{c}") for c in df.columns]
-    measures += [_true_count(F.expr(p)).alias(f"check:{n}") for n, p in (checks or {}).items()]
+    measures += [_true_count(p).alias(name) for name, p in faults(df.columns, checks).items()]
     return _long_form(df.agg(*measures), "measure", "row_count")
 
 

@@ -56,3 +56,9 @@ STATUS_CHECKS: dict[str, dict[str, str]] = {
         ),
     }
 }
+
+#: All checks of a table, for `Warehouse(checks=...)` and `one_pass`.
+ALL_CHECKS: dict[str, dict[str, str]] = {
+    table: RANGE_CHECKS.get(table, {}) | TIME_ORDER_CHECKS.get(table, {}) | STATUS_CHECKS.get(table, {})
+    for table in RANGE_CHECKS | TIME_ORDER_CHECKS | STATUS_CHECKS
+}

@@ -580,6 +580,16 @@ def _top(table: str, key: str, measures: str = "") -> str:
     )
 
 
+def _profile_of(label: str, table: str, rows: str, checks: list[tuple[str, str, str]]) -> list[str]:
+    """Row count, NULLs per column and flagged rows of one table, as statements to unite."""
+    parts = [f"SELECT '{label}' AS table_name, 'rows' AS measure, count(*) AS row_count FROM {rows}"]
+    parts += [f"SELECT '{label}', 'nulls:{c}', count(*) - count({c}) FROM {rows}" for c in LAYOUT[table][0]]
+    parts += [
+        f"SELECT '{label}', 'check:{n}', count(*) FROM {rows} WHERE {p}" for t, n, p in checks if t == table
+    ]
+    return parts
+
+
 def _profiles() -> dict[str, str]:
     found = {}
     s = Script()
@@ -722,6 +732,13 @@ def _profiles() -> dict[str, str]:
         )
         for who in ("customer", "carrier")
     ]
+    checks = ranges + times + status
+    profiled = Script()
+    parts = []
+    for t in LAYOUT:
+        parts += _profile_of(f"bronze.{t}", t, profiled.run_bronze(t, 2), checks)
+        parts += _profile_of(f"silver.{t}", t, profiled.run_silver(t), checks)
+    found["run_profiles"] = profiled.select(_union(parts))
     one_pass = [
         f"SELECT '{t}' AS table_name, 'rows' AS measure, count(*) AS row_count FROM {s.raw(t)}"
         for t in LAYOUT

@@ -17,7 +17,7 @@ from tidemark.operators.ranking import shuffled_sample
 from tidemark.operators.upsert import upsert
 from tidemark.plans import gold
 from tidemark.plans.bronze import ingest
-from tidemark.plans.checks import RANGE_CHECKS, STATUS_CHECKS, TIME_ORDER_CHECKS
+from tidemark.plans.checks import ALL_CHECKS, RANGE_CHECKS, STATUS_CHECKS, TIME_ORDER_CHECKS
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.plans.reconcile import reconciliation
 from tidemark.plans.silver import invalid_rows, judged, refine, valid_rows
@@ -213,16 +213,16 @@ def two_states(
     return {**after, **before}, after
 
 
-def new_warehouse(spark: SparkSession) -> Warehouse:
+def new_warehouse(spark: SparkSession, checks: dict[str, dict[str, str]] | None = None) -> Warehouse:
     """An empty warehouse in the shared folder."""
     root = new_folder(spark, "warehouse")
-    return Warehouse(spark, root=root, namespace=f"t{root[-12:]}_")
+    return Warehouse(spark, root=root, namespace=f"t{root[-12:]}_", checks=checks)
 
 
 @lru_cache(maxsize=4)
 def _published(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Two full runs of all layers, over the earlier and the later state."""
-    warehouse = new_warehouse(spark)
+    warehouse = new_warehouse(spark, ALL_CHECKS)
     for state in two_states(spark, sf_dir):
         run_pipeline(warehouse, FrameSource(state))
     return warehouse
@@ -240,6 +240,14 @@ def _run_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.row_counts(tables)
 
 
+def _run_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and Silver as profiled by the writes of two runs; the tables are not read."""
+    house = _published(spark, sf_dir)
+    return profiling.stacked(
+        {f"{layer}.{t}": house.profile(layer, t) for layer in ("bronze", "silver") for t in TABLES}
+    )
+
+
 def _bronze_repeated_keys(s: Shop) -> DataFrame:
     """Two equal loads of a table in which every key also has an older row."""
     rows = s.silver("orders")
@@ -300,6 +308,7 @@ def _runs() -> dict[str, Query]:
         "lookback_orders": over_shop(_lookback),
         "bronze_repeated_keys": over_shop(_bronze_repeated_keys),
         "run_row_counts": _run_row_counts,
+        "run_profiles": _run_profiles,
         "run_bronze_orders": _from_run("bronze", "orders"),
         "run_bronze_order_items": _from_run("bronze", "order_items"),
         "run_quarantine_order_items": _from_run("quarantine", "order_items"),

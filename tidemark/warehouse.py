@@ -8,12 +8,14 @@ published.
 A keyed table is split into parts by a hash of its key. The view's properties
 hold its layout: which run wrote each part. A merge writes only the parts that
 its changes fall into; all others stay as they are, in the files of earlier
-runs. Catalogs with row-level operations use ``MergeWarehouse`` instead, which
+runs. On request a run also counts NULLs and failed checks in what it writes, by
+part, so that a table's profile is known without reading it. Catalogs with row-level operations use ``MergeWarehouse`` instead, which
 changes tables in place.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -21,10 +23,11 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.layout import PART, Layout, Part, parts_touched
+from tidemark.layout import PART, Layout, Part, from_chunks, in_chunks, parts_touched
+from tidemark.operators.profiling import faults, one_pass
 from tidemark.operators.quality import REASON, accepted, rejected
 from tidemark.operators.upsert import KNOWN, SchemaMismatch, aligned, effective, upsert, without_keys
 from tidemark.operators.watermark import Watermark, latest_mark, mark_text, read_watermark
@@ -37,6 +40,8 @@ _ROWS = "tidemark.rows"
 _MARK = "tidemark.mark."
 _SNAPSHOT = "tidemark.snapshot"
 _BUILT = "tidemark.built."
+_PROFILE = "tidemark.profile."
+_COUNT = "tidemark.count."
 
 
 @dataclass(frozen=True)
@@ -55,6 +60,9 @@ class Warehouse:
                   for a catalog with nested names.
     ``parts``     into how many parts keyed tables are split when they are first
                   written (default: the session's number of shuffle partitions).
+    ``checks``    named predicates (Spark SQL) by table. If given, even if empty,
+                  each write counts the NULLs of all columns and the rows that a
+                  check of the table flags, for `profile`.
     """
 
     def __init__(
@@ -63,8 +71,10 @@ class Warehouse:
         root: str | None = None,
         namespace: str = "",
         parts: int | None = None,
+        checks: Mapping[str, Mapping[str, str]] | None = None,
     ) -> None:
         self.spark = spark
+        self.checks = checks
         self.root = root
         self.namespace = namespace
         self.parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -119,7 +129,8 @@ class Warehouse:
             return self._publish(layer, table, df, mark)
         layout = Layout(count or self.parts, tuple(part_by))
         run, written = self._write_run(layer, table, df, layout, mark)
-        return self._point_to_parts(layer, table, layout.replaced((), written), run, df, mark)
+        layout = layout.replaced((), written, counted=self._counted(table, df.columns)[0])
+        return self._point_to_parts(layer, table, layout, run, df, mark)
 
     def overwrite_judged(
         self,
@@ -148,7 +159,7 @@ class Warehouse:
         layout = Layout(self.parts, tuple(part_by))
         run, written = self._write_run(layer, table, rows, layout, mark, judged=True)
         keep_rejected(rejected(self.spark.table(self.name(layer, run)).drop(PART)))
-        layout = layout.replaced((), written, judged=True)
+        layout = layout.replaced((), written, judged=True, counted=self._counted(table, shown.columns)[0])
         return self._point_to_parts(layer, table, layout, run, shown, mark, judged=True)
 
     def changes(
@@ -225,7 +236,8 @@ class Warehouse:
         self, layer: str, table: str, df: DataFrame, layout: Layout, touched: list[int], mark: str | None
     ) -> Published:
         run, written = self._write_run(layer, table, df, layout, mark)
-        return self._point_to_parts(layer, table, layout.replaced(touched, written), run, df, mark)
+        layout = layout.replaced(touched, written, counted=self._counted(table, df.columns)[0])
+        return self._point_to_parts(layer, table, layout, run, df, mark)
 
     def _write_run(
         self, layer: str, table: str, df: DataFrame, layout: Layout, mark: str | None, judged: bool = False
@@ -241,8 +253,11 @@ class Warehouse:
         written = self.spark.table(self.name(layer, run))
         shown = F.col(REASON).isNull() if judged else F.lit(True)
         highest = mark_text(df, mark, where=shown) if mark else F.lit(None).cast("string")
-        facts = written.groupBy(PART).agg(F.count_if(shown), highest).collect()
-        return run, {part: Part(run, rows, text) for part, rows, text in facts}
+        measures = [F.count_if(shown & flaw) for flaw in self._counted(table, _shown(df, judged))[1].values()]
+        # One row for each part, from what a retried task has left in the files.
+        facts = written.groupBy(PART).agg(F.count_if(shown), highest, *measures).collect()
+        counts = {row[0]: tuple(row[3:]) if measures else None for row in facts}
+        return run, {row[0]: Part(run, row[1], row[2], counts[row[0]]) for row in facts}
 
     def _point_to_parts(
         self,
@@ -288,12 +303,27 @@ class Warehouse:
         metrics = [F.count_if(counts).alias(_ROWS)]
         if mark:
             metrics.append(mark_text(df, mark, where=counts).alias(_MARK + mark))
+        version, flaws = self._counted(table, _shown(df, judged))
+        metrics += [F.count_if(counts & flaw).alias(f"{_COUNT}{n}") for n, flaw in enumerate(flaws.values())]
         # Shuffle stages may run again after an executor loss; the observed
         # node is the last one before the write, so its counts are final.
         seen = Observation()
         writer = df.observe(seen, *metrics).write.format("parquet")
         writer.saveAsTable(self.name(layer, snapshot))
-        return snapshot, {k: str(v) for k, v in seen.get.items() if v is not None}
+        found = dict(seen.get)
+        counted = [found.pop(f"{_COUNT}{n}") for n in range(len(flaws))]
+        facts = {k: str(v) for k, v in found.items() if v is not None}
+        if version:
+            facts |= in_chunks(_PROFILE, json.dumps([version, counted], separators=(",", ":")))
+        return snapshot, facts
+
+    def _counted(self, table: str, columns: Sequence[str]) -> tuple[str, dict[str, Column]]:
+        """What writes of a table count, and its digest; nothing without ``checks``."""
+        if self.checks is None:
+            return "", {}
+        checks = dict(self.checks.get(table, {}))
+        named = json.dumps([list(columns), checks])
+        return hashlib.sha256(named.encode()).hexdigest()[:16], faults(columns, checks)
 
     def _point(
         self,
@@ -345,6 +375,39 @@ class Warehouse:
         """Whether the rows of some parts of an earlier layout are still there."""
         return all(self.spark.catalog.tableExists(self.name(layer, run)) for run in layout.runs(parts))
 
+    def profile(self, layer: str, table: str) -> DataFrame:
+        """Rows, NULLs per column and violations per check: what `one_pass` finds in the table.
+
+        The counts are those of the writes. Only parts that were written without
+        counts, or with other checks or columns, are read; without any counts
+        (``checks`` not given) this is `one_pass` over the whole table. A view of
+        an empty table counts 0 everywhere.
+        """
+        df = self.read(layer, table)
+        version, flaws = self._counted(table, df.columns)
+        checks = (self.checks or {}).get(table)
+        if not version:
+            return one_pass(df)
+        layout = self.layout(layer, table)
+        if layout is None:
+            noted = json.loads(from_chunks(_PROFILE, self._properties(layer, table)) or "[null, []]")
+            if noted[0] != version:
+                return one_pass(df, checks)
+            return self._as_report(["rows", *flaws], [self.rows(layer, table), *noted[1]])
+        same = layout.counted == version
+        known = {p: held for p, held in layout.parts.items() if same and held.counts is not None}
+        columns = [[held.rows, *held.counts] for held in known.values()] or [[0] * (len(flaws) + 1)]
+        report = self._as_report(["rows", *flaws], [sum(column) for column in zip(*columns)])
+        unknown = set(layout.parts) - set(known)
+        if not unknown:
+            return report
+        every = report.unionByName(one_pass(self.read_parts(layer, table, unknown), checks))
+        return every.groupBy("measure").agg(F.sum("row_count").alias("row_count"))
+
+    def _as_report(self, measures: Sequence[str], counts: Sequence[int]) -> DataFrame:
+        listed = ", ".join(f"({_literal(m)}, {n}L)" for m, n in zip(measures, counts))
+        return self.spark.sql(f"SELECT * FROM VALUES {listed} AS counted(measure, row_count)")
+
     def state(self, layer: str, table: str) -> str | None:
         """Changes whenever the published content does; None if that can't be told."""
         return self._properties(layer, table).get(_SNAPSHOT)
@@ -484,6 +547,11 @@ class MergeWarehouse(Warehouse):
         return Published(name, int(seen.get[_ROWS]))
 
 
+def _shown(df: DataFrame, judged: bool) -> list[str]:
+    """The columns that the published view of written rows has."""
+    return [c for c in df.columns if not (judged and c == REASON)]
+
+
 def _literal(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

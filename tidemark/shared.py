@@ -1,8 +1,9 @@
-"""Shared scratch storage for intermediate tables."""
+"""Shared scratch storage: folders, and what all drivers can see of them."""
 
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,26 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
+def now() -> int:
+    """Seconds since 1970 by the driver's clock."""
+    return int(time.time())
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A folder that nobody else uses; its name tells when it was begun."""
+    return f"{shared_folder(spark)}/{label}-{now():08x}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as one of its own."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    folders, path = file_system(spark, folder)
+    return [found.getPath().getName() for found in folders.listStatus(path)] if folders.exists(path) else []
 
 
 def staged(df: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import shared
 from tidemark.layout import PART, Layout, Part, from_chunks, in_chunks, parts_touched
 from tidemark.operators.profiling import faults, one_pass
 from tidemark.operators.quality import REASON, accepted, rejected
@@ -36,12 +37,15 @@ from tidemark.shared import staged
 LAYERS = ("bronze", "silver", "quarantine", "gold")
 #: Runs that a table may consist of; a merge beyond that also rewrites the parts of the smallest ones.
 RUNS_KEPT = 16
+#: A run's table: the published table, when the run began (seconds, in hex), a random number.
+RUN_NAME = re.compile(r"(.+)__([0-9a-f]{8})[0-9a-f]{8}")
 _ROWS = "tidemark.rows"
 _MARK = "tidemark.mark."
 _SNAPSHOT = "tidemark.snapshot"
 _BUILT = "tidemark.built."
 _PROFILE = "tidemark.profile."
 _COUNT = "tidemark.count."
+_RETIRED = "tidemark.retired."
 
 
 @dataclass(frozen=True)
@@ -247,7 +251,7 @@ class Warehouse:
         Parts of usual size are one file each; AQE splits a part with a hot key
         over several tasks and files.
         """
-        run = f"{table}__{uuid.uuid4().hex[:12]}"
+        run = _run_name(table)
         placed = df.withColumn(PART, layout.place()).hint("rebalance", F.col(PART))
         placed.write.format("parquet").partitionBy(PART).saveAsTable(self.name(layer, run))
         written = self.spark.table(self.name(layer, run))
@@ -298,7 +302,7 @@ class Warehouse:
         self, layer: str, table: str, df: DataFrame, mark: str | None, judged: bool = False
     ) -> tuple[str, dict[str, str]]:
         """Write a new table without parts; returns its name and what was observed."""
-        snapshot = f"{table}__{uuid.uuid4().hex[:12]}"
+        snapshot = _run_name(table)
         counts = F.col(REASON).isNull() if judged else F.lit(True)
         metrics = [F.count_if(counts).alias(_ROWS)]
         if mark:
@@ -341,6 +345,14 @@ class Warehouse:
         return Published(self.name(layer, table), int(facts[_ROWS]))
 
     def _show(self, layer: str, table: str, properties: Mapping[str, str], body: str) -> None:
+        """Swap the view, and note with it since when the runs it no longer shows are out of use."""
+        retired = self.retired(layer, table)
+        if retired:
+            there = self.run_tables(layer, table)
+            retired = {run: since for run, since in retired.items() if run in there}
+        left = self.runs_shown(layer, table) - _runs_in(properties)
+        retired |= dict.fromkeys(sorted(left), shared.now())
+        properties = {**properties, **in_chunks(_RETIRED, json.dumps(retired, separators=(",", ":")))}
         listed = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} TBLPROPERTIES ({listed}) AS {body}"
@@ -433,14 +445,31 @@ class Warehouse:
         """Name of the table that the last run wrote for a published view."""
         return self._properties(layer, table)[_SNAPSHOT]
 
+    def runs_shown(self, layer: str, table: str) -> set[str]:
+        """The runs whose tables the published view reads, or the last run wrote."""
+        return _runs_in(self._properties(layer, table))
+
+    def retired(self, layer: str, table: str) -> dict[str, int]:
+        """Since when runs that the view once showed are out of use (seconds since 1970)."""
+        return json.loads(from_chunks(_RETIRED, self._properties(layer, table)) or "{}")
+
+    def run_tables(self, layer: str, table: str | None = None) -> dict[str, tuple[str, int]]:
+        """The tables that runs have left, all or one's: published table and begin by name."""
+        found = self.spark.sql(f"SHOW TABLES IN {self.schema(layer)} LIKE '{table or '*'}__*'").collect()
+        named = [RUN_NAME.fullmatch(row.tableName) for row in found]
+        return {
+            name[0]: (name[1], int(name[2], 16))
+            for name in named
+            if name and (table is None or name[1] == table.lower())
+        }
+
     def drop_old_snapshots(self, layer: str, table: str) -> list[str]:
-        """Remove every run's table that is not published. Run it when no reader is left."""
-        layout = self.layout(layer, table)
-        live = {name.lower() for name in (layout.runs() if layout else {})} | {self.snapshot(layer, table).lower()}
-        found = self.spark.sql(f"SHOW TABLES IN {self.schema(layer)} LIKE '{table}__*'").collect()
-        ours = re.compile(re.escape(table.lower()) + "__[0-9a-f]{12}")
-        names = [row.tableName for row in found if ours.fullmatch(row.tableName)]
-        stale = [name for name in names if name not in live]
+        """Remove every run's table that is not published, at once.
+
+        Run it when no reader is left; `retention.clean_up` can run at any time.
+        """
+        shown = self.runs_shown(layer, table)
+        stale = [run for run in self.run_tables(layer, table) if run not in shown]
         for snapshot in stale:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, snapshot)}")
         return stale
@@ -547,6 +576,16 @@ class MergeWarehouse(Warehouse):
         return Published(name, int(seen.get[_ROWS]))
 
 
+def _run_name(table: str) -> str:
+    return f"{table}__{shared.now():08x}{uuid.uuid4().hex[:8]}"
+
+
+def _runs_in(properties: Mapping[str, str]) -> set[str]:
+    layout = Layout.from_properties(properties)
+    runs = {*(layout.runs() if layout else ()), properties.get(_SNAPSHOT)}
+    return {run.lower() for run in runs if run}
+
+
 def _shown(df: DataFrame, judged: bool) -> list[str]:
     """The columns that the published view of written rows has."""
     return [c for c in df.columns if not (judged and c == REASON)]

@@ -2,7 +2,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm.html_text import LABELLED, extract_text, main_text, text_blocks, trained_tree
+from tidemark.llm.html_text import FEATURES, LABELLED, block_features, extract_text, main_text, text_blocks, trained_tree
 
 TREE = trained_tree()
 
@@ -14,6 +14,97 @@ def test_learns_its_table():
         assert kept == wanted
 
 
+def test_table_needs_more_than_the_place():
+    assert len(LABELLED) >= 60
+    answers = {(b.place, main) for page in LABELLED for part, main in page for b in text_blocks(part)}
+    assert {(0, 0), (0, 1), (1, 0), (1, 1)} <= answers
+    used = {FEATURES[int(node[0])] for node in TREE.nodes if node[0] >= 0}
+    assert "link density" in used
+    assert used & {"words before", "link density before"} or used & {"words behind", "link density behind"}
+
+
+def test_place_alone_is_worse():
+    right = all_blocks = by_place = 0
+    for page in HELD_OUT:
+        blocks, wanted = _labelled(page)
+        kept = TREE.predict(block_features(blocks))
+        right += sum(int(k) == w for k, w in zip(kept, wanted))
+        by_place += sum((b.place >= 0) == w for b, w in zip(blocks, wanted))
+        all_blocks += len(blocks)
+    assert right >= 0.9 * all_blocks
+    assert right > by_place
+
+
+def _labelled(page):
+    """A page's blocks and whether they are main text, by the fragment in which each begins."""
+    ends, answers = [], []
+    for part, main in page:
+        ends.append((ends[-1] if ends else 0) + len(part))
+        answers.append(main)
+    blocks = text_blocks("".join(part for part, _ in page))
+    return blocks, [answers[next(i for i, end in enumerate(ends) if b.start < end)] for b in blocks]
+
+
+LONG = "The river rose in the night and by the morning the lower fields stood under water, as they had in most of the years before. "
+#: Pages of other makes than those of the table.
+HELD_OUT = [
+    [("<div id=hd><a href=/>The Valley Post</a></div><div id=nv><a href=/a>Local</a> | <a href=/b>Farming</a> | <a href=/c>Letters</a></div>", 0),
+     (f"<div id=bd><h2>High water</h2><p>{LONG * 2}</p><p>Nobody was hurt.</p><p>{LONG}</p><p>&quot;We wait,&quot; she said.</p></div>", 1),
+     ("<div id=ft>Printed in the valley</div>", 0)],
+    [(f"<section class='hero banner'><h2>Subscribe today</h2><p>{LONG}</p></section>", 0), (f"<div class='entry-content'><p>{LONG}</p><pre>a = b + c</pre><p>Done.</p></div>", 1),
+     ("<div class='pagination'><a href=/1>1</a> <a href=/2>2</a></div>", 0)],
+    [("<table><tr><td><a href=/1>Index</a><td><a href=/2>Guestbook</a></tr></table>", 0), (f"<center><h1>My garden</h1></center><p>{LONG * 3}<p>{LONG}<p>Roses, too.<p>{LONG}", 1),
+     ("<hr><center><a href=/up>Back to the top</a></center>", 0)],
+    [("<form id=aspnet><div><a href=/1>Start</a><a href=/2>Contact</a></div>", 0), (f"<h1>Opening hours</h1><p>{LONG}</p><p>{LONG}</p><p>Closed on Sundays.</p>", 1),
+     ("<select><option>English<option>German</select></form>", 0)],
+    [("<nav><ol><li><a href=/>Home</a><li>Here</ol></nav>", 0), (f"<main><h1>Tea</h1><p>{LONG}</p><div class='tip warning'><p>Mind the hot water.</p></div><p>{LONG}</p>", 1),
+     ("<p class='share-buttons'>Send this page to a friend</p>", 0), (f"<h2>Steps</h2><ol><li>Boil.<li>{LONG}<li>Pour.</ol></main>", 1)],
+    [(f"<article><p>{LONG}</p>", 1), (f"<ul><li><a href=/1>{'Word ' * 5}</a><li><a href=/2>{'Word ' * 6}</a><li><a href=/3>{'Word ' * 4}</a><li><a href=/4>{'Word ' * 7}</a></ul>", 0),
+     (f"<p>{LONG}</p><p>As <a href=/5>told before</a> in these pages.</p></article>", 1), (f"<div class='comment-thread comments'><p>{LONG}</p></div>", 0)],
+    [("<ul><li><a href=/1>Cats</a><li><a href=/2>Dogs</a><li><a href=/3>Birds</a></ul>", 0), (f"<div><h3>On cats</h3><p>{LONG}</p><ul><li>They sleep by day.<li>They hunt by night.</ul><p>{LONG}</p></div>", 1),
+     ("<div><h3>Popular</h3><div><a href=/4>On dogs and their owners</a></div><div><a href=/5>On birds of the lake</a></div></div>", 0)],
+    [(f"<div class='search-engines-compared'><p>{LONG}</p><p>{LONG}</p><p>So much for that.</p></div>", 1), ("<div class='ads-right'>Cheap flights</div><div style='display: none'><p>Not seen by anyone who reads this page.</p></div>", 0)],
+    [(f"<body><div><div><div><p>{LONG}</p></div></div><div><p>{LONG}</p><p>It ends.</p></div></div>", 1), ("<div><a href=/1>Imprint</a> <a href=/2>Privacy</a></div>", 0)],
+    [("<header class=site><h1>Daily</h1></header>", 0), (f"<article><header><h1>One day</h1><p>In short: rain.</p></header><figure><figcaption>The bridge</figcaption></figure><p>{LONG}</p></article>", 1),
+     (f"<aside><p>{LONG}</p></aside>", 0)],
+]
+
+
+def test_probes():
+    linked = "<div><a href='/x'>" + "word " * 36 + "</a></div>"
+    assert main_text(linked, TREE) == ""
+    assert main_text(f"{linked}<div><p>{LONG}</p></div>", TREE) == LONG.strip()
+    for around in ("<form action='/x'>{}</form>", "<body><form>{}<input></form>"):
+        assert main_text(around.format(f"<h1>One day</h1><p>{LONG}</p><p>It rained.</p><p>{LONG}</p>"), TREE) == f"One day\n{LONG.strip()}\nIt rained.\n{LONG.strip()}"
+    for aside in (
+        "<p class='advert'>Buy our new shoes now at half the price</p>", "<ul><li class='share'>Tell all of your friends of it<li class=share>Send it</ul>", f"<div hidden><p>{LONG}</p></div>",
+        f"<p style='color:red; display:none'>{LONG}</p>", "<form><label>Your name</label><button>Send</button></form>", "<div class='related-posts'><a href='/r'>Another one</a></div>",
+    ):
+        assert main_text(f"<article><p>{LONG}</p>{aside}<p>The end.</p></article>", TREE) == f"{LONG.strip()}\nThe end."
+    for own in ("social-science", "related-work", "warning", "content-warning", "notice"):
+        assert main_text(f"<article><p>{LONG}</p><div class='{own}'><p>{LONG}</p></div></article>", TREE) == f"{LONG.strip()}\n{LONG.strip()}"
+    talk = f"<h2>Night</h2><p>{LONG}</p><p>He looked up.</p><p>Who was it?</p><p>{LONG}</p>"
+    assert main_text(f"<div>{talk}</div>", TREE) == f"Night\n{LONG.strip()}\nHe looked up.\nWho was it?\n{LONG.strip()}"
+
+
+def test_items_end_items():
+    blocks = text_blocks("<ul><li class=share>a<ul><li>b</ul><li>c</ul><table class=x><tr><td class=ad>d<td>e<tr><td>f</table><p class=ad>g<p>h<dl><dt class=ad>i<dd>j</dl>")
+    assert [(b.text, b.place) for b in blocks] == [(t, -1 if t in "abdgi" else 0) for t in "abcdefghij"]
+
+
+def test_brute_force_pages(spark):
+    """Made pages, whose main text is known by how they are made, through the whole frame."""
+    rows, wanted = [], {}
+    for n in range(60):
+        body = [f"Paragraph {i} " + "word " * (i * n % 41) + "end." for i in range(1 + n % 9)]
+        menu = "".join(f"<li><a href='/{i}'>Topic {i}</a>" for i in range(2 + n % 4))
+        rows.append((n, f"<nav><ul>{menu}</ul></nav><div class='ad'>{'Buy ' * n}it</div><article>" + "".join(f"<p>{p}" for p in body) + f"</article><footer>{'c ' * n}</footer>"))
+        wanted[n] = "\n".join(body)
+    out = extract_text(spark.createDataFrame(rows, "page_id long, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in out} == wanted
+    assert all(r["n_chars"] == len(r["text"]) for r in out)
+
+
 def test_held_out_pages():
     page = (
         "<html><head><title>T</title><script>var t='</p>';</script></head><body><header><p>Site name</p></header>"

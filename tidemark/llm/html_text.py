@@ -1,9 +1,10 @@
 """Main text of html pages: flat text blocks judged by a small decision tree.
 
 A page is cut into text blocks at block-level tags. Each block is described by
-its own and its neighbours' word counts and link densities and by what encloses
-it; a decision tree, trained here on a small labelled table of page fragments,
-keeps or drops it.
+its own and its neighbours' word counts and link densities, by how much prose
+shares its container, by the run of link-only blocks it stands in, and by what
+the elements around it claim to be; a decision tree, trained here on a small
+labelled table of pages, keeps or drops it.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from html import unescape
+from random import Random
 from typing import NamedTuple
 
 import numpy as np
@@ -32,10 +34,12 @@ BLOCK_TAGS = frozenset(
 RAW_TAGS = frozenset("script style title textarea iframe".split())  # no markup inside; they end at their end tag or with the page
 DRAWN_TAGS = frozenset(("svg", "math"))  # may be closed by "/>", and end where html goes on
 NESTED_TAGS = frozenset(("template", "object")) | DRAWN_TAGS  # hidden elements with markup inside
-SIDE_TAGS = frozenset("nav aside footer form menu dialog search button select fieldset".split())
+SIDE_TAGS = frozenset("nav aside footer menu dialog search button select fieldset".split())
 MAIN_TAGS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-CONTAINERS = frozenset("header section div ul ol dl table blockquote figure details address".split()) | SIDE_TAGS | MAIN_TAGS
+CONTAINERS = frozenset("form header section div ul ol dl table blockquote figure details address".split()) | SIDE_TAGS | MAIN_TAGS
+ITEMS = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",)}  # items and their holders
+PROSE_TAGS = frozenset("p blockquote pre".split())
 HTML_TAGS = BLOCK_TAGS | frozenset(  # tags that end a drawing, unless one of its elements that hold html is open
     "b big br code em embed i img meta nobr ruby s small span strong strike sub sup tt u var".split()
 )
@@ -47,7 +51,12 @@ SIDE_WORDS = frozenset(
     "navigation newsletter notice pagination popup privacy promo promoted recommended related replies reply respond "
     "search share sharing sidebar signup skip social sponsor sponsored subscribe tags toolbar topbar warning widget".split()
 )
+NOTE_WORDS = frozenset("alert notice warning".split())  # in an article, these are part of it
 MAIN_WORDS = frozenset("article content main post story entry body text".split())
+LAYOUT_WORDS = MAIN_WORDS | frozenset(  # say nothing about what a part is for
+    "area articles bar block bottom box button buttons col column container global group header headers inner item items left level "
+    "link links list module outer page panel part posts primary right row secondary section site slot stories top unit wrap wrapper".split()
+)
 STATE_WORDS = frozenset("no non not without with has have hide hides".split())  # what they precede is another part, if any
 
 _TAG = re.compile(
@@ -56,6 +65,7 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_HIDDEN = re.compile(r"""(?:^|\s)(?:hidden(?:\s*=\s*(?:"(?:hidden|)"|'(?:hidden|)'|hidden(?!\S)))?(?=\s|/|$)|style\s*=\s*(?:"[^"]*?\bdisplay\s*:\s*none\b|'[^']*?\bdisplay\s*:\s*none\b))""", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW_TAGS}
 _NOSCRIPT = re.compile(r"<(/?)noscript\b[^>]*>", re.I)
@@ -69,33 +79,57 @@ class Block(NamedTuple):
     linked: int  # words inside links
     heading: bool
     place: int  # -1 in a side part, 1 in an article, 0 neither
+    hint: bool  # some class name around it has a word of side parts among others
+    form: bool  # inside a form
+    prose: bool  # a paragraph, quotation or the like
+    box: int  # number of the container it stands in
+
+
+#: What an element says about its content, beside -1 side, 1 article and 0 nothing.
+PAGE_HEADER, NOTE, HINT, FORM, HIDDEN = -2, -3, -4, -5, -6
 
 
 def _role(name: str, attributes: str) -> int:
-    """What an opened container says about its content: -1 side, 1 article, 0 nothing."""
+    """What an opened element says about its content."""
+    if attributes and _HIDDEN.search(attributes):
+        return HIDDEN
     if name in SIDE_TAGS:
         return -1
     if name in MAIN_TAGS:
         return 1
     names = [n for value in _ATTRIBUTE.findall(attributes) for n in value.lower().strip("\"'").split()] if attributes else []
-    if any(n in SIDE_WORDS for n in names):
+    if any(n in SIDE_WORDS and n not in NOTE_WORDS for n in names):
         return -1
     main = any(n in MAIN_WORDS for n in names)
-    if not main and any(_side_name(n) for n in names):
+    said = {_name_role(n) for n in names}
+    if not main and -1 in said:
         return -1
+    if name == "form":
+        return FORM
     if name == "header":
-        return -2  # of the page, unless it stands in an article
-    return 1 if main or any(w in MAIN_WORDS for n in names for w in _WORD.findall(n)) else 0
+        return PAGE_HEADER  # of the page, unless it stands in an article
+    if NOTE in said:
+        return NOTE  # a side part, unless it stands in an article
+    if main:
+        return 1
+    if HINT in said:
+        return HINT
+    return 1 if any(w in MAIN_WORDS for n in names for w in _WORD.findall(n)) else 0
 
 
-def _side_name(name: str) -> bool:
-    """Whether a class name of several words, as in ad-top, names a side part; no-sidebar and has-share do not."""
+def _name_role(name: str) -> int:
+    """What a class name says: ad-top names a side part, social-science may, no-sidebar and has-share say nothing."""
+    words = []
     for word in _WORD.findall(name):
         if word in STATE_WORDS:
-            return False
-        if word in SIDE_WORDS:
-            return True
-    return False
+            break
+        words.append(word)
+    side = [w for w in words if w in SIDE_WORDS]
+    if not side:
+        return 0
+    if any(w not in SIDE_WORDS and w not in LAYOUT_WORDS for w in words):
+        return HINT
+    return NOTE if all(w in NOTE_WORDS for w in side) else -1
 
 
 def _behind_raw(page: str, name: str, at: int) -> int:
@@ -149,27 +183,49 @@ def _nested_ends(page: str) -> dict[int, int]:
     return ends
 
 
+def _leave_item(open_parts: list[tuple[str, int, int]], names: str, holders: tuple[str, ...]) -> None:
+    """Closes the outermost open item of these names inside the innermost holder."""
+    found = -1
+    for depth in range(len(open_parts) - 1, -1, -1):
+        part = open_parts[depth][0]
+        if part in holders:
+            break
+        if part in names.split():
+            found = depth
+    if found >= 0:
+        del open_parts[found:]
+
+
 def text_blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with character references decoded."""
     blocks: list[Block] = []
-    open_parts: list[tuple[str, int]] = []  # containers and their roles, outermost first
+    open_parts: list[tuple[str, int, int]] = []  # containers, their roles and numbers, outermost first
     pieces: list[str] = []
-    linked = in_link = heading = 0
+    linked = in_link = heading = prose = own = boxes = 0
     first = -1
     ends = _nested_ends(page)
 
     def close() -> None:
         nonlocal linked, first
         words = "".join(pieces).split()
-        if words:
-            place = 0
-            for depth in range(len(open_parts) - 1, -1, -1):
-                place = open_parts[depth][1]
-                if place == -2:
-                    place = 1 if any(role == 1 for _, role in open_parts[:depth]) else -1
+        roles = [role for _, role, _ in open_parts]
+        roles.append(own)
+        if words and HIDDEN not in roles:
+            place = hint = form = 0
+            for depth in range(len(roles) - 1, -1, -1):
+                role = roles[depth]
+                hint |= role == HINT
+                form |= role == FORM
+                if role in (PAGE_HEADER, NOTE):
+                    place = 1 if 1 in roles[:depth] else -1
+                elif role in (-1, 1):
+                    place = role
                 if place:
                     break
-            blocks.append(Block(" ".join(words), first, len(words), min(linked, len(words)), bool(heading), place))
+            box = next((number for part, _, number in reversed(open_parts) if part not in ITEMS), 0)
+            blocks.append(
+                Block(" ".join(words), first, len(words), min(linked, len(words)), bool(heading), place, bool(hint), bool(form), bool(prose), box)
+            )
         pieces.clear()
         linked, first = 0, -1
 
@@ -206,32 +262,72 @@ def text_blocks(page: str) -> list[Block]:
         if name not in BLOCK_TAGS:
             continue
         close()
-        in_link = 0
+        in_link = own = 0
         heading = int(name in HEADINGS and not closing)
-        if name in CONTAINERS:
+        prose = int(name in PROSE_TAGS and not closing)
+        if name in CONTAINERS or name in ITEMS:
+            holders = ITEMS.get(name, ())
             if not closing:
-                open_parts.append((name, _role(name, tag[3] or tag[6] or "")))
-            elif any(part == name for part, _ in open_parts):
+                if holders:  # ends an open item of the same holder
+                    _leave_item(open_parts, "li" if name == "li" else "dt dd" if holders[0] == "dl" else "tr td th" if name == "tr" else "td th", holders)
+                boxes += 1
+                open_parts.append((name, _role(name, tag[3] or tag[6] or ""), boxes))
+            elif holders:
+                _leave_item(open_parts, name, holders)
+            elif any(part == name for part, _, _ in open_parts):
                 while open_parts.pop()[0] != name:
                     pass
+        elif not closing:
+            own = _role(name, tag[3] or tag[6] or "")
     add(page[at:], at)
     close()
     return blocks
 
 
+#: Columns of a block's description.
+FEATURES = (
+    "words", "link density", "words before", "link density before", "words behind", "link density behind",
+    "heading", "prose", "place", "hint", "prose in container", "run of links", "share of form",
+)
+SMALL_FORM = 0.1  # share of form that smaller ones are given, as 0 stands for none
+LINK_ONLY = 0.9  # link density of a block that is a link
+DOUBLINGS = 6  # of words that the tree tells apart; all longer blocks look alike to it
+
+
+def _size(words: int) -> int:
+    return min((words + 1).bit_length() - 1, DOUBLINGS)
+
+
 def block_features(blocks: list[Block]) -> np.ndarray:
-    """Rows: words, link density; the same of the block before and behind; heading; place."""
-    own = np.array([(b.words, b.linked / b.words) for b in blocks], float).reshape(-1, 2)
+    """A row of FEATURES for each block of a page.
+
+    "prose in container" counts words outside links in the container it stands
+    in, "run of links" the blocks around it that are links without a break,
+    "share of form" the part of the page's words outside side parts that its
+    forms hold (0 for a block in none). Words are told as doublings.
+    """
+    own = np.array([(_size(b.words), b.linked / b.words) for b in blocks], float).reshape(-1, 2)
     edge = np.zeros((1, 2))
     padded = np.vstack([edge, own, edge])
-    more = np.array([(b.heading, b.place) for b in blocks], float).reshape(-1, 2)
-    return np.hstack([own, padded[:-2], padded[2:], more])
+    prose: Counter[int] = Counter()
+    for b in blocks:
+        prose[b.box] += b.words - b.linked
+    runs = np.zeros(len(blocks))
+    start = 0
+    for at in range(len(blocks) + 1):
+        if at == len(blocks) or own[at, 1] < LINK_ONLY:
+            runs[start:at] = at - start
+            start = at + 1
+    free = sum(b.words for b in blocks if b.place >= 0)
+    share = max(sum(b.words for b in blocks if b.place >= 0 and b.form) / max(free, 1), SMALL_FORM)
+    said = [(b.heading, b.prose, b.place, b.hint, _size(prose[b.box]), run, share * b.form) for b, run in zip(blocks, runs)]
+    return np.hstack([own, padded[:-2], padded[2:], np.array(said, float).reshape(-1, 7)])
 
 
 class DecisionTree:
     """Binary tree of thresholds, grown by Gini impurity; at ties the first feature wins."""
 
-    def __init__(self, depth: int = 6) -> None:
+    def __init__(self, depth: int = 12) -> None:
         self.depth = depth
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> DecisionTree:
@@ -279,47 +375,103 @@ class DecisionTree:
         return out
 
 
-_LONG = "This part of the story goes on for a good many words, as running text does, and ends with a full stop. "
-_LINKS = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("home", "news", "sport", "about us", "help"))
-#: Labelled table: pages as (fragment, whether its text is main text).
-LABELLED = (
-    [("<nav><ul>" + _LINKS + "</ul></nav>", 0), ('<div class="ad">Buy our new shoes now at half the price.</div>', 0),
-     ("<article><h1>A day in the hills</h1>", 1), ("<p>" + _LONG * 3 + "</p>", 1), ("<p>Be.</p><p>So it was.</p>", 1),
-     ('<p>See <a href="/x">the other report</a> too.</p>', 1), ("<ul><li>bread</li><li>salt and oil</li></ul>", 1),
-     ("</article><footer>&copy; example.net &middot; all rights reserved by the owner of this place</footer>", 0)],
-    [("<header><h1>The Daily Paper</h1><p>News for all of us, every day of the week</p></header>", 0),
-     ('<div class="cookie-notice"><p>We use cookies to make this site better. ' + _LONG + "</p></div>", 0),
-     ("<main><h2>What we saw</h2>", 1), ("<p>" + _LONG * 2 + "</p><blockquote>Short words.</blockquote>", 1),
-     ("<table><tr><td>one</td><td>two</td></tr></table>", 1), ('<p><a href="/y">A line that is a link</a></p>', 1),
-     ("<aside><h3>Related</h3><p>" + _LONG + "</p></aside>", 0), ("<p>Last words of it.</p>", 1),
-     ('<section id="comments"><h3>Comments</h3><p>I liked this very much, thank you. ' + _LONG + "</p></section></main>", 0),
-     ('<form><label>Your name</label><button>Send</button></form>', 0)],
-    [('<div id="menu"><a href="/">Start</a> <a href="/b">Shop</a> <a href="/c">Contact</a></div>', 0),
-     ("<div><h1>Plain page without roles</h1></div>", 1), ("<div><p>" + _LONG * 4 + "</p>", 1), ("<p>" + _LONG * 2 + "</p>", 1),
-     ("<p>" + _LONG + "</p></div>", 1), ("<div>Posted in <a href='/t'>topics</a>, <a href='/u'>people</a></div>", 0),
-     ("<div><a href='/1'>One more story to read</a></div><div><a href='/2'>And another one to read</a></div>", 0),
-     ("<div>Terms</div><div>Imprint</div>", 0), ('<div class="footer">' + _LONG + "</div>", 0)],
-    [("<div>Sign in</div><div>Join</div>", 0), ("<p>" + _LONG * 5 + "</p><p>" + _LONG * 2 + "</p>", 1),
-     ("<h2>Then</h2>", 1), ("<p>" + _LONG * 3 + "</p>", 1), ("<p><a href='/3'>Next page of this long list</a></p>", 0),
-     ("<div class='sidebar'><p>" + _LONG * 2 + "</p></div>", 0), ("<div><a href='/4'>Top</a></div>", 0)],
-    [("<article><header><h1>Title in its own header</h1></header>", 1), ("<p>" + _LONG + "</p>", 1),
-     ("<div class='share'><a href='/f'>Share this</a> with friends of yours</div>", 0), ("<p>Yes.</p>", 1),
-     ("<footer>Written by someone on a fine day in May</footer></article>", 0),
-     ("<div role='complementary'><p>" + _LONG + "</p></div>", 0)],
-    [("<article><p>" + _LONG * 4 + "</p>", 1), ("<aside><p>" + _LONG * 3 + "</p><p>" + _LONG * 2 + "</p></aside>", 0),
-     ("<p>" + _LONG * 2 + "</p></article>", 1), ("<footer><p>" + _LONG * 2 + "</p></footer>", 0)],
-    [('<div class="notice"><p>' + _LONG * 4 + "</p><p>" + _LONG + "</p></div>", 0), ("<main><p>" + _LONG * 6 + "</p></main>", 1),
-     ('<ol class="commentlist"><li>' + _LONG * 3 + "</li><li>" + _LONG * 2 + "</li><li>Thanks.</li></ol>", 0),
-     ("<form><p>" + _LONG * 2 + "</p></form>", 0), ('<div class="promo">' + _LONG * 5 + "</div>", 0)],
-    [("<p>" + _LONG * 2 + "</p><p>" + _LONG * 3 + "</p>", 1), ('<div class="widget"><p>' + _LONG * 2 + "</p></div>", 0),
-     ("<p>" + _LONG * 2 + "</p>", 1), ("<footer>" + _LONG + "</footer>", 0)],
-    [("<article><p>" + _LONG * 3 + "</p><p><a href='/5'>The whole report as a file</a></p>", 1),
-     ("<p>" + _LONG + "</p><ul><li><a href='/6'>First source</a></li><li><a href='/7'>Second source</a></li></ul>", 1),
-     ("<p><a href='/8'>" + _LONG + "</a></p><p><a href='/9'>More</a> of it</p></article>", 1)],
-)
+def _prose(words: int) -> str:
+    return "So " * (words - 1) + "on."
+
+
+def _p(words: int, attributes: str = "") -> str:
+    return f"<p{attributes}>{_prose(words)}</p>"
+
 
+def _prose_div(words: int) -> str:
+    return f"<div>{_prose(words)}</div>"
 
-def trained_tree(labelled=LABELLED) -> DecisionTree:
+
+def _links(number: int, words: int = 1, inner: str = "li") -> str:
+    return "".join(f'<{inner}><a href="/{i}">{"More " * words}</a></{inner}>' for i in range(number))
+
+
+def labelled_pages(lengths: tuple[int, ...] = (16, 24, 40, 70, 120)) -> list[list[tuple[str, int]]]:
+    """The labelled table: pages as lists of (fragment, whether its text is main text).
+
+    Each make of page comes once for each length (words of a usual paragraph).
+    Side parts may hold long prose, articles may hold menus, and many pages name
+    no parts at all, so that no single feature tells all blocks.
+    """
+    pages = []
+    random = Random(len(lengths))
+    for n in lengths:
+        menu, shop = f"<ul>{_links(4 + n % 5)}</ul>", "<div><a href='/s'>" + "Offer " * n + "</a></div>"
+        short, few = _p(3), f"<p>See <a href='/x'>the other report</a> {'and more ' * 4}</p>"
+        says, cells = "<p>Yes.</p><p>Who was that?</p>", "<table><tr><td>one<td>two three<tr><td>four</table>"
+        linked = f"<p>{_prose(n // 2)} <a href='/l'>{'as told ' * (n // 8 + 1)}</a> {_prose(5)}</p>"
+        teasers = "".join(f"<div><a href='/{i}'>{'News ' * (3 + i)}</a> {'of today ' * (2 + (n + i) % 3)}</div>" for i in range(3))
+        rough = "".join(random.choice((_p, _prose_div))(random.choice((1, 2, 3, 5, 8, 13, n, 2 * n))) for _ in range(12))
+        plain = "".join(_p(random.choice((1, 2, 3, 5, 8, 13, n, 2 * n))) for _ in range(12))
+        pages += [
+            # Texts of parts of all lengths.
+            [(f"<nav>{menu}</nav><div class='ad'>{_prose(n // 2)}</div>", 0), (f"<article><h1>{_prose(n // 8 + 1)}</h1>{rough}</article>", 1), (f"<footer>{_prose(n // 3)}</footer>", 0)],
+            [(f"<header>{menu}</header>", 0), (f"<main>{plain}<h2>Then</h2>{rough}</main>", 1), (f"<aside>{rough}</aside><footer>{plain}</footer>", 0)],
+            [(f"<div>{menu}</div>", 0), (f"<div>{plain}{_p(n)}{plain}</div>", 1), (teasers, 0)],
+            *(
+                [(f"<nav>{menu}</nav>", 0), (f"<article><h1>{_prose(k)}</h1>{_p(random.randint(1, 2 * k))}</article>", 1), (f"<footer>{_prose(n // 2)}</footer>", 0)]
+                for k in range(1, 12)
+            ),
+            [(f"<nav>{menu}</nav>", 0), (f"<article><h1>Eggs</h1>{_p(n)}<h2>Sources</h2><ul>{_links(3, 3)}</ul>{_p(n)}<p>Also:</p>{_links(1, 2, 'p')}</article>", 1)],
+            # Nothing stands behind the text.
+            [(f"<nav>{menu}</nav>", 0), (f"<article>{_p(n)}{few}{short}{short}</article>", 1)],
+            *([(f"<main>{_p(k)}{_p(n)}{_p(k)}</main>", 1)] for k in range(1, 9)),
+            *([(f"<div>{menu}</div>", 0), (f"<div>{_p(n)}{_p(2 * n)}{_p(k)}</div>", 1)] for k in range(1, 9)),
+            # Named parts.
+            [(f"<nav>{menu}</nav><div class='ad'>Buy our new shoes now.</div>", 0), ("<article><h1>A day in the hills</h1>", 1), (_p(n) + short + few + says, 1),
+             ("<ul><li>bread<li>salt and oil</ul></article>", 1), ("<footer>&copy; example.net, all rights reserved by its owner</footer>", 0)],
+            [("<header><h1>The Daily Paper</h1><p>News for all of us, every day of the week</p></header>", 0), (f"<div class='cookie-notice'>{_p(n)}</div>", 0),
+             (f"<main><h2>What we saw</h2>{_p(n)}<blockquote>Short words.</blockquote>{cells}", 1), (f"<aside><h3>Related</h3>{_p(n)}</aside>", 0),
+             ("<p>Last words of it.</p>", 1), (f"<section id='comments'><h3>Comments</h3><p>Thank you.</p>{_p(2 * n)}</section></main>", 0),
+             ("<form><label>Your name</label><button>Send</button></form>", 0)],
+            [(f"<article><header><h1>Title in its own header</h1></header>{_p(n)}", 1), (f"<p class='advert'>{_prose(n)}</p>", 0), (short, 1),
+             ("<ul><li class='share'>Tell your friends of it</li></ul>", 0), (_p(n // 2), 1), (f"<div class='newsletter-box'>{_p(n)}</div>", 0),
+             ("<footer>Written by someone on a fine day</footer></article>", 0), (f"<div role='complementary'>{_p(n)}</div>", 0)],
+            [(f"<div class='notice'>{_p(3 * n)}{_p(n)}</div>", 0), (f"<main>{_p(2 * n)}<div class='warning'>{_p(n // 2)}{short}</div></main>", 1),
+             (f"<ol class='commentlist'><li>{_prose(n)}<li>{_prose(2 * n)}<li>Thanks.</ol>", 0), (f"<form>{_p(n)}</form>", 0), (f"<div class='promo'>{_prose(3 * n)}</div>", 0)],
+            [(_p(n) + short + _p(2 * n), 1), (f"<div class='widget'>{_p(n)}</div><footer>{_p(n)}</footer>", 0)],
+            # Articles that hold menus, links and class names with a word of side parts.
+            [(f"<main>{menu}", 0), (f"<h1>The work</h1>{_p(n)}{short}", 1), (f"<div>{_links(6, 2, 'p')}</div></main>", 0)],
+            [(f"<article>{_p(n)}<p><a href='/5'>The whole report as a file</a></p>{_p(n)}<ul>{_links(2, 2)}</ul>", 1), (_p(4) + "<p><a href='/9'>More</a> of it</p></article>", 1)],
+            [(f"<article><div class='social-science'><h2>Fields</h2>{_p(n)}{short}</div><section class='related-work'>{_p(n)}{few}</section></article>", 1),
+             (f"<div class='related-posts'><ul>{_links(3, 4)}</ul></div>", 0)],
+            [(f"<div class='share-price'>{_p(n)}{short}</div>", 1), (f"<div class='popup-made-here'><ul>{_links(4, 3)}</ul></div>", 0), (_p(n), 1)],
+            [(f"<article>{_p(n)}", 1), (f"<div class='promoted-reading'>{_links(2, 3, 'p')}</div>", 0), (f"{_p(n)}<p><a href='/d'>The figures</a></p></article>", 1)],
+            # Pages that name no parts.
+            [(f"<div>{menu}</div>", 0), (f"<div><h1>Plain page</h1>{_p(n)}{short}{says}{_p(2 * n)}{short}</div>", 1), (shop, 0), ("<div>Terms</div><div>Imprint</div>", 0)],
+            [(f"<div><a href='/a'>Start</a> <a href='/b'>Shop</a> <a href='/c'>Contact</a></div>{shop}", 0), (f"<div>{_prose(n)}</div><div>{_prose(2 * n)}</div>", 1),
+             (shop + shop, 0), (f"<div>{_prose(n)}</div>", 1), ("<div>Posted in <a href='/t'>topics</a>, <a href='/u'>people</a></div>", 0)],
+            [("<div>Sign in</div><div>Join</div>", 0), (f"{_p(n)}{says}<h2>Then</h2>{_p(n)}<ul><li>some milk and flour<li>a pinch of salt<li>two eggs</ul>{_p(n)}", 1),
+             ("<p><a href='/3'>Next page of this long list</a></p>", 0), ("<div><a href='/4'>Top</a></div>", 0)],
+            [(f"<table><tr><td>{_links(5, 1, 'p')}<td>", 0), (f"<h1>Old page</h1>{_p(n)}{short}{few}", 1), (f"<td><h3>Elsewhere</h3><ul>{_links(5, 3)}</ul></table>", 0)],
+            [(f"<div><h3>Read on</h3>{_links(3, 5, 'div')}</div>", 0), (f"<div><h2>The road</h2>{_p(n)}{says}{_p(n)}</div>", 1), ("<ul><li>Imprint<li>Press<li>Jobs</ul>", 0)],
+            [("<div>Free delivery on all orders of this week only</div>", 0), (f"<div><h1>The lake</h1>{_p(n)}{linked}{short}{_p(n)}", 1),
+             ("<p>Tagged <a href='/t'>water</a>, <a href='/u'>hills and woods</a></p><p><a href='/n'>Read the next story here</a></p></div>", 0),
+             (f"<ul>{'<li>Privacy rules<li>Press room' * (1 + n % 4)}</ul>", 0)],
+            [(teasers, 0), (f"<div>{_p(n)}{says}{linked}{_p(2 * n)}{few}</div>", 1), (teasers, 0), ("<div><p>All rights reserved by the owner of this page.</p></div>", 0)],
+            [("<div>Monday, the first of May</div><div>Rain later on</div>", 0), (f"<div><h2>Bread</h2>{_p(n)}<ol><li>mix it<li>wait for it<li>bake it</ol>{short}</div>", 1),
+             ("<div>Call us on weekdays from nine to five</div><div>Imprint</div>", 0)],
+            [("<div><a href='/h'>Home</a></div>", 0), (f"<div>{_p(n)}{linked}</div>", 1), (teasers, 0)],
+            # Forms: one around the page, one beside it, one that is all there is.
+            [(f"<form><div>{menu}</div>", 0), (f"<div><h1>In a form</h1>{_p(n)}{says}{_p(2 * n)}</div>", 1), ("<div>Search</div><div>Go</div></form>", 0)],
+            [(f"<form>{_p(n)}{short}{_p(n)}{_p(n)}</form>", 1), ("<footer>The end</footer>", 0)],
+            [(f"<div>{_p(n)}{_p(2 * n)}{_p(n)}</div>", 1), ("<form><p>Leave your address here and we write.</p><div>Name</div><p>Mail</p></form>", 0)],
+            [(f"<article>{plain}{rough}", 1), ("<form><label>Your name</label><div>Mail</div><p>Then send it</p></form>", 0), (f"{rough}</article>", 1)],
+            [("<form><div>Name</div><div>Password</div><label>Stay</label></form>", 0)],
+            [("<p>Very little.</p>", 1)],
+        ]
+    return pages
+
+
+LABELLED = labelled_pages()
+
+
+def trained_tree(labelled: list[list[tuple[str, int]]] = LABELLED) -> DecisionTree:
     x, y = [], []
     for page in labelled:
         starts = np.cumsum([0, *(len(part) for part, _ in page)])
@@ -340,8 +492,9 @@ def main_text(page: str | None, tree: DecisionTree) -> str:
 def extract_text(df: DataFrame, html: str = "html") -> DataFrame:
     """``df`` with ``text`` (main text) and ``n_chars`` (its code points).
 
-    A null or empty page and one without main text give an empty text. Pages are
-    read one by one, whole and alike; broken markup is read as far as it goes:
+    A null or empty page and one without main text give an empty text; an empty
+    table gives no rows, repeated rows are kept. Pages are read one by one, whole
+    and alike, at any length; broken markup is read as far as it goes:
     unclosed elements end with the page, but an unclosed noscript, object or
     template hides nothing, and an unclosed drawing (svg, math) ends where html
     goes on. Input columns named text or n_chars are replaced.

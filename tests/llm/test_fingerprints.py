@@ -4,7 +4,9 @@ import random
 import numpy as np
 import pytest
 
-from tidemark.llm.fingerprints import edited, fingerprint_edits, fingerprint_texts, likeness, passages
+from pyspark.sql import functions as F
+
+from tidemark.llm.fingerprints import differences, edited, fingerprint_edits, fingerprint_texts, likeness, passages, subtract_fingerprints, text_differences
 
 
 def exact(a, b):
@@ -21,6 +23,44 @@ def test_likeness_equals_sets():
     assert likeness(left, right) == pytest.approx(expected)
 
 
+def test_differences_are_the_digests():
+    rng = np.random.default_rng(2)
+    sets = [(rng.integers(0, 2**64, a, np.uint64), rng.integers(0, 2**64, b, np.uint64), rng.integers(0, 2**64, c, np.uint64)) for a, b, c in [(0, 0, 0), (9, 0, 0), (5, 1, 0), (50, 3, 4), (500, 0, 9), (3000, 800, 1), (0, 70, 90)]]
+    left, right = [np.concatenate([a, b]) for a, b, _ in sets], [np.concatenate([a, c]) for a, _, c in sets]
+    pair, keys, sign = differences(left, right)
+    for i, (_, gone, new) in enumerate(sets):
+        assert set(keys[(pair == i) & (sign > 0)].tolist()) == set(gone.tolist())
+        assert set(keys[(pair == i) & (sign < 0)].tolist()) == set(new.tolist())
+
+
+def test_stored_fingerprints_subtract(spark):
+    """Fingerprints alone tell what changed, up to their size; whole texts tell everything."""
+    rng = random.Random(5)
+    line = lambda: " ".join(rng.choices("abcdefgh", k=6)) + "."
+    rows = [(0, None, "a b."), (1, "", ""), (2, "x.", None), (3, "same.", "same.")]
+    for n in range(4, 60):
+        shared = [line() for _ in range(40)]
+        rows.append((n, "\n".join([*shared, *(line() for _ in range(n // 8))]), "\n".join([*(line() for _ in range(n % 5)), *shared])))
+    for n in range(60, 64):
+        rows.append((n, "\n".join(line() for _ in range(400)), "\n".join(line() for _ in range(300))))
+    df = spark.createDataFrame(rows, "id long, old string, new string")
+    marked = fingerprint_texts(df, "old").withColumnRenamed("fingerprint", "was")
+    marked = fingerprint_texts(marked, "new").withColumnRenamed("fingerprint", "is").drop("old", "new")
+    wanted = {}
+    for n, old, new in rows:
+        a, b = set(passages(old or "").view(np.int64).tolist()), set(passages(new or "").view(np.int64).tolist())
+        wanted[n] = (sorted(a - b), sorted(b - a))
+    stored = subtract_fingerprints(marked, "was", "is").collect()
+    assert all((r["removed"], r["added"]) == (wanted[r["id"]] if r["whole"] else (None, None)) for r in stored)
+    assert all(r["whole"] for r in stored if sum(map(len, wanted[r["id"]])) <= 6)
+    assert not any(r["whole"] for r in stored if r["id"] >= 60)
+    whole = text_differences(df, "old", "new").collect()
+    assert all(r["whole"] and (r["removed"], r["added"]) == wanted[r["id"]] for r in whole)
+    odd = marked.limit(2).select("id", F.when(F.col("id") == 0, F.col("was")).alias("was"), F.lit("AAAA").alias("is"))
+    assert [(r["removed"], r["added"], r["whole"]) for r in subtract_fingerprints(odd, "was", "is").collect()] == [(None, None, False)] * 2
+    assert subtract_fingerprints(marked.limit(0), "was", "is").count() == text_differences(df.limit(0), "old", "new").count() == 0
+
+
 def test_edit():
     assert edited("abcde", "XYZ") == "abcXY"
     assert edited("abcdef", "X") == "abcX"

@@ -23,10 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.shared import staged
 
-from .frames import names_of, record_batch, shuffle_width
+from .frames import names_of, record_batch, shuffle_width, with_fields
 
 TABLES = 3
 CELLS = 8  # of each table of the fingerprint; a power of two
@@ -68,8 +69,9 @@ def _mixed(keys: np.ndarray, salt: int, number: int) -> np.ndarray:
 class _Sketches:
     """Sketches of several sets side by side, each with its own number of cells."""
 
-    def __init__(self, cells: np.ndarray, salt: int = 0) -> None:
+    def __init__(self, cells: np.ndarray, salt: int = 0, check_bits: int = 64) -> None:
         self.cells, self.salt = cells.astype(np.int64), salt
+        self.mask = np.uint64((1 << check_bits) - 1)
         self.offsets = np.concatenate([[0], np.cumsum(self.cells * TABLES)])
         size = int(self.offsets[-1])
         self.owner = np.repeat(np.arange(len(cells)), self.cells * TABLES)
@@ -78,7 +80,7 @@ class _Sketches:
         self.checks = np.zeros(size, np.uint64)
 
     def add(self, owner: np.ndarray, keys: np.ndarray, sign: np.ndarray | int) -> None:
-        checks = _mixed(keys, self.salt, 2)
+        checks = _mixed(keys, self.salt, 2) & self.mask
         for table in range(TABLES):
             place = _mixed(keys, self.salt + 7 * table, table % 2).astype(np.int64) & (self.cells[owner] - 1)
             place += self.offsets[owner] + table * self.cells[owner]
@@ -86,22 +88,24 @@ class _Sketches:
             np.bitwise_xor.at(self.keys, place, keys)
             np.bitwise_xor.at(self.checks, place, checks)
 
-    def peel(self) -> tuple[np.ndarray, np.ndarray]:
-        """(recovered digests, whether all were recovered) for each set."""
-        found = np.zeros(len(self.cells), np.int64)
+    def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Owners, digests and signs of what was recovered, and for each set whether that is all of it."""
+        nothing = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        rounds = [nothing]
         for _ in range(64 * 64):
             pure = np.flatnonzero(np.abs(self.counts) == 1)
-            pure = pure[_mixed(self.keys[pure], self.salt, 2) == self.checks[pure]]
+            pure = pure[_mixed(self.keys[pure], self.salt, 2) & self.mask == self.checks[pure]]
             if not len(pure):
                 break
             owner, keys = self.owner[pure], self.keys[pure]
             _, one = np.unique(keys ^ (owner.astype(np.uint64) * _ODD[1]), return_index=True)
             owner, keys, sign = owner[one], keys[one], self.counts[pure[one]]
             self.add(owner, keys, -sign)
-            found += np.bincount(owner, minlength=len(found))
+            rounds.append((owner, keys, sign))
+        owner, keys, sign = (np.concatenate(part) for part in zip(*rounds))
         left = (self.counts != 0) | (self.keys != 0) | (self.checks != 0)
-        stuck = np.bincount(self.owner[left], minlength=len(found)) > 0
-        return found, ~stuck
+        stuck = np.bincount(self.owner[left], minlength=len(self.cells)) > 0
+        return owner, keys, sign, ~stuck
 
     def bytes(self) -> list[bytes]:
         """Each sketch as bytes: counts modulo 2^16, digests, 32 bits of the check values."""
@@ -111,6 +115,20 @@ class _Sketches:
             made.append(b"".join(p.tobytes() for p in parts))
         return made
 
+    @classmethod
+    def difference(cls, left: Sequence[bytes], right: Sequence[bytes]) -> _Sketches:
+        """Stored sketches (see ``bytes``) less others, cell by cell."""
+        made = cls(np.full(len(left), CELLS), check_bits=32)
+        a, b = (np.frombuffer(b"".join(side), _STORED).reshape(-1) for side in (left, right))
+        made.counts = (a["counts"] - b["counts"]).reshape(-1).astype(np.int32)
+        made.keys = (a["keys"] ^ b["keys"]).reshape(-1).astype(np.uint64)
+        made.checks = (a["checks"] ^ b["checks"]).reshape(-1).astype(np.uint64)
+        return made
+
+
+#: A stored sketch.
+_STORED = np.dtype([("counts", "<i2", CELLS * TABLES), ("keys", "<u8", CELLS * TABLES), ("checks", "<u4", CELLS * TABLES)])
+
 
 def _flat(sets: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -124,27 +142,44 @@ def sketch_sets(sets: Sequence[np.ndarray]) -> list[bytes]:
     return made.bytes()
 
 
-def likeness(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
-    """Shared passages over all passages of two sets, for many pairs.
+def differences(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What sets of passages differ in, for many pairs: numbers of pairs, digests, signs (1: only left, -1: only right).
 
     The first try subtracts sketches of the fingerprint's size; pairs that get
     stuck are tried again with cells for all their passages, then ever more.
     """
     sizes = np.array([len(a) + len(b) for a, b in zip(left, right)], np.int64)
-    apart = np.zeros(len(sizes), np.int64)
+    parts = [(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32))]
     todo, cells, attempt = np.arange(len(sizes)), np.full(len(sizes), CELLS), 0
     while len(todo):
         difference = _Sketches(cells, salt=attempt)
         difference.add(*_flat([left[i] for i in todo]), 1)
         difference.add(*_flat([right[i] for i in todo]), -1)
-        found, done = difference.peel()
-        apart[todo[done]] = found[done]
+        owner, keys, sign, done = difference.peel()
+        whole = done[owner]
+        parts.append((todo[owner[whole]], keys[whole], sign[whole]))
         todo, cells, attempt = todo[~done], cells[~done], attempt + 1
         enough = 2 ** np.ceil(np.log2(np.maximum(sizes[todo], CELLS) * 0.55)).astype(np.int64)
         cells = np.maximum(cells * 2, enough)
+    pair, keys, sign = (np.concatenate(part) for part in zip(*parts))
+    return pair, keys, sign
+
+
+def likeness(left: Sequence[np.ndarray], right: Sequence[np.ndarray]) -> np.ndarray:
+    """Shared passages over all passages of two sets, for many pairs, by the digests they differ in."""
+    sizes = np.array([len(a) + len(b) for a, b in zip(left, right)], np.int64)
+    apart = np.bincount(differences(left, right)[0], minlength=len(sizes))
     return np.where(sizes > 0, (sizes - apart) / np.maximum(sizes + apart, 1), 1.0)
 
 
+def _by_pair(count: int, pair: np.ndarray, keys: np.ndarray, chosen: np.ndarray) -> list[list[int]]:
+    """Sorted digests, as signed numbers, of each pair."""
+    digests = keys[chosen].view(np.int64)
+    order = np.lexsort((digests, pair[chosen]))
+    ends = np.cumsum(np.bincount(pair[chosen], minlength=count))[:-1]
+    return [part.tolist() for part in np.split(digests[order], ends)] if count else []
+
+
 def edited(text: str, following: str) -> str:
     """``text`` with its last half (rounded down) replaced by the start of ``following``."""
     half = len(text) // 2
@@ -190,13 +225,66 @@ def fingerprint_texts(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("fingerprint", F.base64(sketch(F.col(f"`{text}`"))))
 
 
+DIFFERENCE_FIELDS = "removed array<long>, added array<long>, whole boolean"
+
+
+def subtract_fingerprints(df: DataFrame, before: str, after: str) -> DataFrame:
+    """``df`` with the passages' digests that two stored fingerprints differ in.
+
+    ``before`` and ``after`` name columns as ``fingerprint_texts`` makes them; no
+    text is read. ``removed`` has the digests only in the first, ``added`` those
+    only in the second, in ascending order, as signed numbers. ``whole`` is false
+    when the fingerprints differ in more than they can tell (about half as many
+    passages as they have cells): both are null then, and ``text_differences``
+    makes larger sketches. Nulls in a fingerprint, or one of another
+    size, give nulls and false. Input columns of these names are replaced.
+    """
+    schema = T._parse_datatype_string(DIFFERENCE_FIELDS)
+
+    @F.pandas_udf(schema)
+    def subtract(before: pd.Series, after: pd.Series) -> pd.DataFrame:
+        removed, added, whole = [None] * len(before), [None] * len(before), np.zeros(len(before), bool)
+        fit = [i for i, (a, b) in enumerate(zip(before, after)) if a is not None and b is not None and len(a) == len(b) == _STORED.itemsize]
+        for at in range(0, len(fit), GROUP):
+            rows = fit[at : at + GROUP]
+            owner, keys, sign, done = _Sketches.difference([before[i] for i in rows], [after[i] for i in rows]).peel()
+            lost, new = _by_pair(len(rows), owner, keys, sign > 0), _by_pair(len(rows), owner, keys, sign < 0)
+            for number, row in enumerate(rows):
+                if done[number]:
+                    removed[row], added[row], whole[row] = lost[number], new[number], True
+        return pd.DataFrame({"removed": pd.Series(removed, dtype=object), "added": pd.Series(added, dtype=object), "whole": whole})
+
+    return with_fields(df, subtract(F.unbase64(F.col(f"`{before}`")), F.unbase64(F.col(f"`{after}`"))), schema.names)
+
+
+def text_differences(df: DataFrame, before: str, after: str) -> DataFrame:
+    """As ``subtract_fingerprints``, from two columns of whole texts: larger sketches are made until all is recovered.
+
+    Null texts are empty, so ``whole`` is always true.
+    """
+    schema = T._parse_datatype_string(DIFFERENCE_FIELDS)
+
+    @F.pandas_udf(schema)
+    def subtract(before: pd.Series, after: pd.Series) -> pd.DataFrame:
+        removed, added = [], []
+        for at in range(0, len(before), GROUP):
+            left, right = ([passages(t or "") for t in side.iloc[at : at + GROUP]] for side in (before, after))
+            pair, keys, sign = differences(left, right)
+            removed += _by_pair(len(left), pair, keys, sign > 0)
+            added += _by_pair(len(left), pair, keys, sign < 0)
+        return pd.DataFrame({"removed": pd.Series(removed, dtype=object), "added": pd.Series(added, dtype=object), "whole": True})
+
+    return with_fields(df, subtract(F.col(f"`{before}`"), F.col(f"`{after}`")), schema.names)
+
+
 def fingerprint_edits(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document and of its edited text, with their likeness.
 
     The next document is the one with the next smaller id; after the last comes
     the first; a document alone is followed by itself. Null texts are empty,
     null ids come last, documents of one id are ordered by their text's hash.
-    Every row gives a row, repeated rows included; other columns are left out.
+    Every row gives a row, repeated rows included; other columns are left out. An
+    empty table gives no rows; texts of any length are read whole.
 
     One range exchange puts documents in order. A document whose follower lies
     in the next range is finished in a second step over one row for each range.

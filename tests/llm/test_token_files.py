@@ -52,6 +52,27 @@ def test_damage_is_found():
         write_frame([(1, raw([70000]))])
 
 
+def test_every_flipped_bit_and_cut_is_found():
+    documents = [(7, raw(range(40))), (None, raw([5, 6])), (-3, b"")]
+    frame = write_frame(documents)
+    tables = 16 + 3 * token_files._DOC.itemsize + token_files._BLOCK.itemsize
+    for at in range(8 * tables):
+        damaged = bytearray(frame)
+        damaged[at // 8] ^= 1 << at % 8
+        with pytest.raises(ValueError):
+            read_frame(bytes(damaged))
+    for size in range(tables):
+        with pytest.raises(ValueError):
+            read_frame(frame[:size])
+    for at in range(8 * tables, 8 * len(frame)):  # behind the tables: right ids or an error
+        damaged = bytearray(frame)
+        damaged[at // 8] ^= 1 << at % 8
+        try:
+            assert read_frame(bytes(damaged)) == documents
+        except ValueError:
+            pass
+
+
 @pytest.mark.parametrize("frame", [token_files.FRAME, 500])
 def test_files_equal_brute_force(spark, tmp_path, monkeypatch, frame):
     monkeypatch.setattr(token_files, "FRAME", frame)

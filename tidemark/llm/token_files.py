@@ -2,7 +2,8 @@
 
 A frame holds whole documents; its ids are cut into blocks of 2,048 that are
 coded on their own, each with a fresh model and a checksum, so a damaged block
-spoils no other. A block's model predicts the next id in three orders: the id
+spoils no other; the document table and the blocks' heads have a checksum, too. A
+block's model predicts the next id in three orders: the id
 that last followed the two ids before it, the one that last followed the id
 before it, and adaptive frequencies of ids, in four steps of four bits. Whether
 the predicted id comes is coded first, with a probability mixed from adaptive
@@ -33,7 +34,8 @@ BLOCK = 2048  # ids
 FRAME = 2048 * BLOCK  # ids from which a frame is closed
 END = 1  # id behind every document
 
-_MAGIC = b"TKF1"
+_MAGIC = b"TKF2"
+_HEAD = struct.Struct("<III")  # documents, blocks, checksum of these two, the table and the heads
 _DOC = np.dtype([("doc_id", "<i8"), ("known", "?"), ("length", "<u4")])
 _BLOCK = np.dtype([("length", "<u2"), ("words", "<u2"), ("crc", "<u4")])
 _SLOTS = 1024  # of a block's prediction tables
@@ -209,19 +211,26 @@ def write_frame(documents: list[tuple[int | None, bytes]]) -> bytes:
         heads["words"] = [len(w) for w in words]
         heads["crc"] = [zlib.crc32(joined[BLOCK * i : BLOCK * (i + 1)].tobytes()) for i in range(blocks)]
         payload = np.concatenate(words).astype("<u2").tobytes()
-    return b"".join([_MAGIC, struct.pack("<II", len(table), blocks), table.tobytes(), heads.tobytes(), payload])
+    tables = table.tobytes() + heads.tobytes()
+    return b"".join([_MAGIC, _HEAD.pack(len(table), blocks, _tables_crc(len(table), blocks, tables)), tables, payload])
+
+
+def _tables_crc(n_docs: int, blocks: int, tables: bytes) -> int:
+    return zlib.crc32(tables, zlib.crc32(struct.pack("<II", n_docs, blocks)))
 
 
 def read_frame(frame: bytes) -> list[tuple[int | None, bytes]]:
-    """The documents of a frame; raises ValueError when a block's checksum is wrong."""
-    if frame[:4] != _MAGIC:
+    """The documents of a frame; raises ValueError when a checksum is wrong or the frame is cut."""
+    at = len(_MAGIC) + _HEAD.size
+    if frame[:4] != _MAGIC or len(frame) < at:
         raise ValueError("not a frame of token ids")
-    n_docs, blocks = struct.unpack_from("<II", frame, 4)
-    at = 12
+    n_docs, blocks, crc = _HEAD.unpack_from(frame, 4)
+    behind = at + n_docs * _DOC.itemsize + blocks * _BLOCK.itemsize
+    if len(frame) < behind or _tables_crc(n_docs, blocks, frame[at:behind]) != crc:
+        raise ValueError("the document table or the blocks' heads are damaged")
     table = np.frombuffer(frame, _DOC, n_docs, at)
-    at += table.nbytes
-    heads = np.frombuffer(frame, _BLOCK, blocks, at)
-    at += heads.nbytes
+    heads = np.frombuffer(frame, _BLOCK, blocks, at + table.nbytes)
+    at = behind
     joined = b""
     if blocks:
         ends = np.cumsum(heads["words"], dtype=np.int64)
@@ -250,7 +259,8 @@ def write_token_files(df: DataFrame, folder: str, tokenizer: str, doc_id: str =
     then ``end``; a null or empty text is just an end. Null ids come last,
     documents of one id follow each other by their text's hash. Each range of
     documents becomes a part of numbered frames; ``first`` is where a frame
-    starts in its part.
+    starts in its part. An empty table writes files without rows; a document
+    longer than a frame makes one longer frame. Other columns are left out.
     """
     keys = (F.col("doc_id").asc_nulls_last(), F.col("tie"))
     documents = (
@@ -326,7 +336,11 @@ def _documents(frames: DataFrame, fields: str, columns) -> DataFrame:
 
 
 def token_digests(df: DataFrame, tokenizer: str) -> DataFrame:
-    """Writes the documents' ids to files in the shared folder and digests what is read back."""
+    """Writes the documents' ids to files in the shared folder and digests what is read back.
+
+    Every row gives a row, repeated rows, null ids and null texts included (an
+    end only); an empty table gives none.
+    """
     spark = df.sparkSession
     folder = new_folder(spark, "tokens")
     write_token_files(df, folder, tokenizer)

@@ -75,8 +75,9 @@ def test_frame(spark, items):
 
 def test_items_that_never_fit_together(spark):
     df = spark.createDataFrame([(i, "cat " * 70) for i in range(90)], "doc_id long, text string")
-    out = pack_documents(df, PATH, size=128, items=10)
-    assert out.select("sequence_id").distinct().count() == 90
+    for worth in (0.5, 1.0):
+        out = pack_documents(df, PATH, size=128, items=10, worth=worth)
+        assert out.select("sequence_id").distinct().count() == 90
     assert pack_documents(df.limit(0), PATH).count() == 0
 
 

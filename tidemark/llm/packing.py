@@ -28,7 +28,7 @@ SIZE = 2048
 END = 0  # id behind every document
 NEARLY_FULL = 0.995  # of a sequence
 ITEMS = 20_000  # that a task packs at once
-WORTH = 0.98  # another round needs the number of underfull bins to have shrunk below this
+WORTH = 0.98  # another round needs the underfull bins to have become at most this part of those before
 
 _PIECE = np.dtype(
     [("doc_id", "<i8"), ("known", "?"), ("piece", "<i4"), ("start", "<i8"), ("length", "<i4"), ("crc", "<u4")]
@@ -112,6 +112,7 @@ def pack_documents(
     size: int = SIZE,
     end: int = END,
     items: int = ITEMS,
+    worth: float = WORTH,
 ) -> DataFrame:
     """One row for each piece of a document: where it lies in which sequence.
 
@@ -120,7 +121,14 @@ def pack_documents(
     cut, into pieces of ``size`` tokens. ``start`` is a piece's place in its
     document, ``offset`` its place in the sequence, ``ids_crc32`` the CRC of its
     ids as little-endian unsigned 32-bit numbers. Null and repeated ids keep one
-    set of rows for each input row. Other columns are left out.
+    set of rows for each input row. Other columns are left out. An empty table
+    gives no rows; a text of any length is cut like others.
+
+    A round in which ``tasks`` pack apart ends the rounds when it leaves more
+    than ``worth`` of the underfull bins it was given, since bins that hardly fit
+    each other anywhere won't in fewer tasks either. ``worth=1`` goes on until
+    one task has packed all that is left or a round saves nothing. Every document
+    is packed either way; only the number of sequences depends on it.
     """
     documents = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     full = F.col("filled") >= math.ceil(NEARLY_FULL * size)
@@ -132,7 +140,7 @@ def pack_documents(
         bins = staged(_next_round(left, tasks, size))
         left, before, count = bins.where(~full), count, bins.where(~full).count()
         done.append(bins.where(full))
-        if tasks == 1 or count > WORTH * before:
+        if tasks == 1 or count >= before or count > worth * before:
             break
     sequences = done[0]
     for more in (*done[1:], left):

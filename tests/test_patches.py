@@ -1,0 +1,144 @@
+"""Merges of few rows write these alone, as patches of the parts they fall into."""
+
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import plan_of, rows, ts
+from tidemark import warehouse as warehouse_module
+from tidemark.layout import PART, Layout, Part
+from tidemark.operators.profiling import one_pass
+from tidemark.operators.upsert import upsert
+from tidemark.operators.watermark import read_watermark
+from tidemark.plans.marts import sales_changes
+from tidemark.warehouse import Warehouse
+
+KEYS = ["k", "n"]
+CHECKS = {"t": {"late": "updated_at > TIMESTAMP_NTZ '2020-01-03 00:00:00'"}}
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    return Warehouse(spark, root=str(tmp_path), namespace=f"x{uuid.uuid4().hex[:8]}_", parts=4, checks=CHECKS)
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "k int, n int, v string, updated_at timestamp_ntz")
+
+
+def first(spark, house, n=400):
+    data = [(k // 4 if k % 50 else None, k % 2, "a", ts("2020-01-01")) for k in range(n)]
+    house.overwrite("silver", "t", frame(spark, data), mark="updated_at", part_by=("k",))
+
+
+def written(spark, house):
+    return spark.table(house.name("silver", house.snapshot("silver", "t")))
+
+
+@pytest.mark.parametrize("kept", [16, 2])
+def test_patched_tables_equal_upserts(spark, house, monkeypatch, kept):
+    """Repeated and NULL keys, patches over patches, and parts written anew where they get too large."""
+    monkeypatch.setattr(warehouse_module, "RUNS_KEPT", kept)
+    rng = random.Random(kept)
+    first(spark, house)
+    patched = 0
+    for step in range(2, 9):
+        keys = {(rng.choice([None, *range(110)]), rng.randint(0, 1)) for _ in range(120 if step == 6 else 6)}
+        source = frame(spark, [(*key, f"s{step}", ts(f"2020-01-{rng.randint(1, 9):02d}")) for key in sorted(keys, key=str)])
+        expected = rows(upsert(house.read("silver", "t"), source, KEYS))
+        changes = house.staged("silver", "t", house.changes("silver", "t", source, KEYS))
+        published = house.merge("silver", "t", changes, KEYS, mark="updated_at")
+        found = house.read("silver", "t")
+        layout = house.layout("silver", "t")
+        assert rows(found) == expected
+        assert rows(house.read_parts("silver", "t", range(4))) == expected
+        assert published.rows == len(expected) == house.rows("silver", "t")
+        assert house.watermark("silver", "t", "updated_at") == read_watermark(found)
+        assert rows(house.profile("silver", "t")) == rows(one_pass(found, CHECKS["t"]))
+        assert len(layout.runs()) <= kept
+        patched += bool(layout.patches)
+        stale = house.drop_old_snapshots("silver", "t")
+        assert not set(stale) & set(layout.runs()) and rows(house.read("silver", "t")) == expected
+    assert patched >= 3
+
+
+def test_a_small_merge_writes_the_rows_that_change(spark, house):
+    first(spark, house)
+    source = frame(spark, [(7, 1, "b", ts("2020-01-02")), (200, 0, "b", ts("2020-01-02"))])
+    before = house.layout("silver", "t")
+    house.merge("silver", "t", source, KEYS, mark="updated_at")
+    # Two rows of the table have the first key.
+    assert rows(written(spark, house).drop(PART, "updated_at")) == [(200, 0, "b"), (7, 1, "b"), (7, 1, "b")]
+    after = house.layout("silver", "t")
+    assert 0 < len(after.differing(before)) == len(after.patches) <= 2
+    # The rows as they were can still be read, for marts that want the difference.
+    assert house.read_parts("silver", "t", range(4), before).filter("v = 'b'").isEmpty()
+    house.merge("silver", "t", frame(spark, [(7, 1, "c", ts("2020-01-03"))]), KEYS, mark="updated_at")
+    assert house.read("silver", "t").filter("v = 'b'").count() == 1
+    assert house.read("silver", "t").filter("v = 'c'").count() == 2
+
+
+def test_rows_that_failed_a_check_stay_hidden_under_a_patch(spark, house):
+    rows_in = spark.range(200).selectExpr(
+        "CAST(id AS INT) AS k", "0 AS n", "'a' AS v", "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS updated_at",
+        "IF(id % 10 = 0, 'bad', NULL) AS quarantine_reason",
+    )
+    house.overwrite_judged("silver", "t", rows_in, "updated_at", keep_rejected=lambda bad: None, part_by=("k",))
+    house.merge("silver", "t", frame(spark, [(10, 0, "b", ts("2020-01-02")), (11, 0, "b", ts("2020-01-02"))]), KEYS)
+    assert house.layout("silver", "t").patches
+    assert house.read("silver", "t").count() == house.rows("silver", "t") == 181
+    assert rows(house.read("silver", "t").filter("v = 'b'"), "k") == [(10,), (11,)]
+
+
+def test_deletions_write_the_parts_anew(spark, house):
+    first(spark, house)
+    house.merge("silver", "t", frame(spark, [(7, 1, "b", ts("2020-01-02"))]), KEYS)
+    gone = spark.createDataFrame([(7, 1)], "k int, n int")
+    house.merge("silver", "t", frame(spark, []), KEYS, gone=gone)
+    assert not house.layout("silver", "t").patches
+    assert house.read("silver", "t").filter("k = 7").count() == 2
+
+
+def test_layouts_keep_their_patches():
+    layout = Layout(9, ("a",), {1: Part("r1", 5, "m", (1, 2)), 2: Part("r1", 3)}, counted="c")
+    layout = layout.patched("r2", {2: 1, 3: 4}, ("a", "b"))
+    assert Layout.from_properties(layout.to_properties()) == layout
+    assert layout.pieces() == {("r1", None): [1], ("r1", "r2"): [2], ("r2", None): [3]}
+    assert layout.patch_pieces() == {"r2": [2]} and layout.runs() == {"r1": [1, 2], "r2": [2, 3]}
+    assert layout.replaced([2], {}).patches == {} and layout.replaced([1], {}).patches == {2: ("r2", 1)}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_patched_parts_and_netted_sales_move_no_line(spark, house, no_broadcast):
+    lines = spark.range(600).selectExpr(
+        "CAST(id div 3 AS INT) AS order_id", "id % 3 AS line", "id % 7 AS product_id",
+        "CAST(1 AS DECIMAL(12, 2)) AS price", "CAST(2 AS DECIMAL(12, 2)) AS freight_value",
+    )
+    house.overwrite("silver", "lines", lines, part_by=("order_id",))
+    before = house.layout("silver", "lines")
+    source = house.staged("silver", "lines", lines.filter("order_id = 5").withColumn("price", F.col("price") + 1))
+    house.merge("silver", "lines", source, ["order_id", "line"])
+    assert house.layout("silver", "lines").patches
+    found = house.read_parts("silver", "lines", range(4))
+    assert "Exchange" not in plan_of(found.groupBy("order_id").count())
+    changes = sales_changes(house.read_parts("silver", "lines", range(4), before), found)
+    # What is left of each order, not its lines, goes to the products.
+    assert plan_of(changes).count("Exchange hashpartitioning(") == 1
+    assert "hashpartitioning(product_id" in plan_of(changes)
+    assert [r.total_product_value for r in changes.collect()] == [1, 1, 1]
+
+
+def test_rows_staged_for_a_new_table_are_loaded_where_they_are(spark, house):
+    data = spark.range(100).selectExpr("CAST(id AS INT) AS k", "'a' AS v")
+    staged = house.staged("bronze", "new", data, part_by=("k",))
+    assert house.run_tables("bronze") == {}
+    assert "Exchange" not in plan_of(staged.repartition(4, "k"))
+    assert staged.count() == 100

@@ -7,7 +7,9 @@ from tests.helpers import plan_of
 from tidemark.layout import PART
 from tidemark.operators.upsert import upsert
 from tidemark.operators.watermark import Watermark, since
+from tidemark.shared import shared_folder
 from tidemark.specs import TABLES
+from tidemark.verify import queries
 from tidemark.verify.queries import CurrentSource, new_warehouse
 
 KEYS = ["order_id", "line"]
@@ -79,3 +81,27 @@ def test_rows_below_the_mark_are_left_out_before_the_newest_are_sought(spark):
     found = source.read_since(spec, mark)
     assert sorted(map(str, found.collect())) == sorted(map(str, since(source.read(spec), mark).collect()))
     assert found.count() == 3
+
+
+def test_of_the_changes_only_keys_are_written(spark, house):
+    """Known, new, repeated and missing keys: the rows come from the staged source."""
+    data = [(3, 0, "new"), (4, 1, "old"), (900, 0, "new"), (901, 0, "x"), (901, 0, "y"), (None, 1, "z")]
+    source = house.staged("silver", "lines", spark.createDataFrame(data, "order_id bigint, line bigint, v string"))
+    expected = house.changes("silver", "lines", source, KEYS)
+    found = house.staged_changes("silver", "lines", source, KEYS)
+    assert found.columns == expected.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect())) and found.count() == 5
+    written = {path.split("/staged-")[1].split("/")[0] for path in found.inputFiles()}
+    columns = [set(spark.read.parquet(f"{shared_folder(spark)}/staged-{folder}").columns) for folder in written]
+    assert sorted(map(sorted, columns)) == [["__known", *KEYS[::-1]], [*KEYS[::-1], "v"]]
+    assert "Exchange" not in plan_of(found)
+
+
+def test_large_shops_get_more_parts(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    assert queries.parts_for(spark, folder) == 4
+    lines = queries.SourceTables(spark, folder)["order_items"].count()
+    monkeypatch.setattr(queries, "PART_ROWS", lines // 9)
+    assert queries.parts_for(spark, folder) == 10
+    state, _ = queries.two_states(spark, folder)
+    assert state["orders"].select(F.spark_partition_id()).distinct().count() == 10

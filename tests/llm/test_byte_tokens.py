@@ -81,3 +81,19 @@ def test_long_units_are_not_kept():
     for text in texts:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
     assert all(len(unit) <= byte_tokens.LONG for unit in encoder.units)
+
+
+def test_new_units_of_a_text_are_encoded_together():
+    class Counted:
+        calls = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.calls += bool(texts)
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    encoder = ChunkEncoder(PATH)
+    encoder.library = Counted()
+    text = " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}x, (no{n}) été{n}!" for n in range(600))
+    assert len(byte_tokens.cut_points(text.encode())) > 10
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert encoder.library.calls <= 2  # those between firm boundaries, all others

@@ -33,6 +33,12 @@ CHUNK_BYTES_KEPT = 16_000_000
 
 _GEAR = np.random.default_rng(77).integers(0, 2**32, 256, np.uint32)
 _FIRM = re.compile(rb"(?<=[\x21-\x7e])(?=[\x20\x09-\x0d])")
+#: A word and the marks behind it, which the tokenizer's pattern always parts.
+_MARKED = re.compile(rb"( [A-Za-z]+)([!-&(-/:-@\[-`{-~]+)")
+_SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
+#: Text before the first firm boundary; ids from there to the last, or units that wait
+#: for theirs; text behind it, None if there is no firm boundary.
+_Entry = list
 FIELDS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -63,7 +69,7 @@ class ChunkEncoder:
         self.library.no_padding()
         self.library.no_truncation()
         self.units: dict[bytes, bytes] = {}
-        self.chunks: dict[bytes, tuple[bytes, bytes, bytes | None]] = {}
+        self.chunks: dict[bytes, _Entry] = {}
         self.chunk_bytes = 0
         chars = _bytes_of_chars()
         added = {number for number in self.library.get_added_tokens_decoder()}
@@ -73,64 +79,100 @@ class ChunkEncoder:
                 self.shown[number] = token.encode()
             else:
                 self.shown[number] = bytes(chars[c] for c in token)
+        self.sizes = np.array([len(shown) for shown in self.shown])
 
-    def _units(self, data: bytes) -> bytes:
-        """Ids of text that starts and ends at firm boundaries (or the text's ends)."""
-        if not data:
-            return b""
-        units = _FIRM.split(data)
-        new = list(set(units).difference(self.units))
+    def _learn(self, units: set[bytes]) -> None:
+        """Keep the ids of units; those of a word with marks are its own and the marks'."""
+        marked = {u: m.groups() for u in units if len(u) <= LONG and (m := _MARKED.fullmatch(u))}
+        known = self.units
+        self._encode(units.difference(marked).union(p for pair in marked.values() for p in pair if p not in known))
+        for unit, (word, marks) in marked.items():
+            known[unit] = known[word] + known[marks]
+
+    def _encode(self, units: set[bytes]) -> None:
+        """Have the library encode units.
+
+        Those that start and end at firm boundaries are encoded as one text: its
+        tokens end where they do, which the tokens' bytes tell.
+        """
+        inner = [u for u in units if u[0] in _SPACE and 0x21 <= u[-1] <= 0x7E]
+        if inner:
+            text = b"".join(inner).decode("utf-8", "replace")
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(list(map(len, inner)))
+            last = np.searchsorted(ends, wanted)
+            assert np.array_equal(ends[last], wanted), "a firm boundary ends a token"
+            raw, start = ids.tobytes(), 0
+            for unit, stop in zip(inner, (4 * last + 4).tolist()):
+                self.units[unit] = raw[start:stop]
+                start = stop
+        others = list(units.difference(inner))
+        texts = [u.decode("utf-8", "replace") for u in others]
+        for unit, encoded in zip(others, self.library.encode_batch_fast(texts, add_special_tokens=False)):
+            self.units[unit] = np.array(encoded.ids, "<u4").tobytes()
+
+    def _resolve(self, entries: list[_Entry]) -> None:
+        """Put ids in the place of the entries' units; new units of all of them are encoded together."""
+        every = set().union(*[entry[1] for entry in entries])
+        new = every.difference(self.units)
         if new:
-            if len(self.units) + len(new) > UNITS_KEPT:
+            if len(self.units) + 2 * len(new) > UNITS_KEPT:  # words of marked units are kept, too
                 self.units.clear()
-                new = list(set(units))
-            texts = [u.decode("utf-8", "replace") for u in new]
-            for unit, encoded in zip(new, self.library.encode_batch_fast(texts, add_special_tokens=False)):
-                self.units[unit] = np.array(encoded.ids, "<u4").tobytes()
-        ids = b"".join(map(self.units.__getitem__, units))
+                new = every
+            self._learn(new)
+        find = self.units.__getitem__
+        for entry in entries:
+            entry[1] = b"".join(map(find, entry[1]))
         for unit in new:
             if len(unit) > LONG:
                 del self.units[unit]
-        return ids
 
-    def _chunk(self, data: bytes) -> tuple[bytes, bytes, bytes | None]:
-        """(text before the first firm boundary, ids from there to the last, text behind it).
-
-        The last part is None if there is no firm boundary.
-        """
-        found = self.chunks.get(data)
-        if found is None:
-            first = _FIRM.search(data)
-            if first is None:
-                found = (data, b"", None)
-            else:
-                last = len(data)
-                while not _FIRM.match(data, last):
-                    last = max(map(data[:last].rfind, (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")))
-                found = (data[: first.start()], self._units(data[first.start() : last]), data[last:])
-            if self.chunk_bytes > CHUNK_BYTES_KEPT:
-                self.chunks.clear()
-                self.chunk_bytes = 0
-            self.chunks[data] = found
-            self.chunk_bytes += 3 * len(data)
-        return found
+    def _chunk(self, data: bytes) -> _Entry:
+        """A chunk's entry; that of a new chunk still has units."""
+        first = _FIRM.search(data)
+        if first is None:
+            return [data, b"", None]
+        last = len(data)
+        while not _FIRM.match(data, last):
+            last = max(map(data[:last].rfind, (b" ", b"\n", b"\t", b"\r", b"\v", b"\f")))
+        middle = data[first.start() : last]
+        return [data[: first.start()], _FIRM.split(middle) if middle else b"", data[last:]]
 
     def encode(self, text: str | None) -> bytes:
         """A text's ids as little-endian unsigned 32-bit numbers; null has none."""
         data = (text or "").encode("utf-8", "replace")
         if not data:
             return b""
-        parts, open_text, start = [], b"", 0
+        parts: list[_Entry] = []
+        waiting: list[_Entry] = []
+        open_text, start = b"", 0
+
+        def stretch() -> None:
+            if open_text:
+                parts.append([b"", _FIRM.split(open_text), b""])
+                waiting.append(parts[-1])
+
         for end in cut_points(data):
-            head, ids, tail = self._chunk(data[start:end])
+            chunk = data[start:end]
             start = end
-            open_text += head
-            if tail is None:
+            entry = self.chunks.get(chunk)
+            if entry is None:
+                if self.chunk_bytes > CHUNK_BYTES_KEPT:
+                    self.chunks.clear()
+                    self.chunk_bytes = 0
+                entry = self.chunks[chunk] = self._chunk(chunk)
+                self.chunk_bytes += 3 * len(chunk)
+                if entry[1]:
+                    waiting.append(entry)
+            open_text += entry[0]
+            if entry[2] is None:
                 continue
-            parts += [self._units(open_text), ids]
-            open_text = tail
-        parts.append(self._units(open_text))
-        return b"".join(parts)
+            stretch()
+            parts.append(entry)
+            open_text = entry[2]
+        stretch()
+        self._resolve(waiting)
+        return b"".join([entry[1] for entry in parts])
 
     def decode(self, ids: bytes) -> str:
         shown = self.shown

@@ -95,3 +95,10 @@ def test_long_words_are_not_kept():
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
     assert encoder.words and all(len(word) <= word_tokens.LONG for word in encoder.words)
     assert all(len(part) <= word_tokens.LONG for part in encoder.parts)
+
+
+def test_plain_words_need_no_patterns(monkeypatch):
+    monkeypatch.setattr(word_tokens, "_COMMON", None)
+    monkeypatch.setattr(word_tokens, "_PART", None)
+    texts = ["Plain WORDS in\nlines", "and more words " + "x" * 300]
+    assert [np.frombuffer(i, "<u4").tolist() for i in WordEncoder(PATH).encode(texts)] == [library_ids(t) for t in texts]

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -49,9 +50,9 @@ class WordEncoder:
             ids = np.array(self.bare.encode(group, is_pretokenized=True, add_special_tokens=False).ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             assert len(stops) == len(group), "a part's last token ends it, no other does"
-            start = 0
-            for part, stop in zip(group, stops.tolist()):
-                self.parts[part] = ids[start:stop].tobytes()
+            raw, start = ids.tobytes(), 0
+            for part, stop in zip(group, (4 * stops).tolist()):
+                self.parts[part] = raw[start:stop]
                 start = stop
 
     def _learn(self, words: set[bytes]) -> None:
@@ -60,18 +61,26 @@ class WordEncoder:
         if len(self.parts) > WORDS_KEPT:
             self.parts.clear()
         cut: dict[bytes, list[str]] = {}
-        for word in words:
-            low = word.decode("utf-8", "replace").lower()
-            if _COMMON.fullmatch(low) and "<|" not in low:
+        plain: dict[bytes, str] = {}
+        listed = list(words)
+        # No word has a line end in it, so all are lower-cased in one go.
+        for word, low in zip(listed, b"\n".join(listed).decode("utf-8", "replace").lower().split("\n")):
+            if low.isascii() and low.isalpha():
+                plain[word] = low
+            elif _COMMON.fullmatch(low) and "<|" not in low:
                 cut[word] = _PART.findall(low)
             else:
                 found = self.whole.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
                 self.words[word] = np.array(found, "<u4").tobytes()
-        self._learn_parts({p for parts in cut.values() for p in parts})
+        self._learn_parts(set(chain(plain.values(), *cut.values())))
         find = self.parts.__getitem__
+        for word, part in plain.items():
+            self.words[word] = find(part)
         for word, parts in cut.items():
             self.words[word] = b"".join(map(find, parts))
-        for part in {p for word, parts in cut.items() if len(word) > LONG for p in parts}:
+        long = {p for word, parts in cut.items() if len(word) > LONG for p in parts}
+        long.update(part for word, part in plain.items() if len(word) > LONG)
+        for part in long:
             if len(part) > LONG:
                 del self.parts[part]
 

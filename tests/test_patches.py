@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan_of, rows, ts
+from tidemark import layout as layout_module
 from tidemark import warehouse as warehouse_module
 from tidemark.layout import PART, Layout, Part
 from tidemark.operators.profiling import one_pass
@@ -80,6 +81,53 @@ def test_a_small_merge_writes_the_rows_that_change(spark, house):
     assert house.read("silver", "t").filter("v = 'c'").count() == 2
 
 
+@pytest.mark.parametrize("day", [3, 1])
+def test_a_merge_of_known_rows_reads_no_part_again(spark, tmp_path, monkeypatch, day):
+    """Counts and marks follow from the changes, unless the highest mark may have gone."""
+    house = Warehouse(spark, root=str(tmp_path), namespace=f"x{uuid.uuid4().hex[:8]}_", parts=4)
+    data = [(k, 0, "a", ts(f"2020-01-{1 + k % 2:02d}")) for k in range(400)]
+    house.overwrite("silver", "t", frame(spark, data), mark="updated_at", part_by=("k",))
+    source = frame(spark, [(k, 0, "b", ts(f"2020-01-{day:02d}")) for k in (1, 2, 3, 500, None)])
+    for again in range(2):  # a patch, and one over it
+        expected = rows(upsert(house.read("silver", "t"), source, KEYS))
+        changes = house.staged_changes("silver", "t", house.staged("silver", "t", source), KEYS)
+        read = []
+        with monkeypatch.context() as patched:
+            real = Warehouse._pieced
+            patched.setattr(Warehouse, "_pieced", lambda *a: read.append(a[2]) or real(*a))
+            published = house.merge("silver", "t", changes, KEYS, mark="updated_at")
+        assert house.layout("silver", "t").patches and len(read) == (day == 1)
+        found = house.read("silver", "t")
+        assert rows(found) == expected and published.rows == len(expected) == house.rows("silver", "t")
+        assert house.watermark("silver", "t", "updated_at") == read_watermark(found)
+        source = source.withColumn("v", F.lit("c"))
+
+
+def test_merges_without_rows_write_nothing(spark, house):
+    first(spark, house)
+    state = house.state("silver", "t")
+    assert house.merge("silver", "t", frame(spark, []), KEYS, mark="updated_at") is None
+    assert house.state("silver", "t") == state
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_changes_of_many_rows_sort_no_table(spark, house, monkeypatch, no_broadcast, unique):
+    """Lookups in memory find what joins of sorted rows find, also under a patch and of keys held twice."""
+    first(spark, house)
+    source = frame(spark, [(k, n, "b" if k % 7 else "a", ts("2020-01-01")) for k in range(90, 130) for n in (0, 1)])
+    house.merge("silver", "t", source.filter("k < 95"), KEYS, mark="updated_at")
+    assert house.layout("silver", "t").patches
+    more = source if unique else source.unionByName(source.filter("k = 91 OR k = 129"))
+    staged = house.staged("silver", "t", more)
+    sorted_ = rows(house.changes("silver", "t", staged, KEYS, source_is_unique=unique))
+    monkeypatch.setattr(layout_module, "_BROADCAST_ROWS", 0)
+    found = house.changes("silver", "t", staged, KEYS, source_is_unique=unique)
+    assert rows(found) == sorted_ and sorted_
+    assert "SortMergeJoin" not in plan_of(found) and "Exchange" not in plan_of(found)
+    # Two rows of the table have the key; of two source rows for one the merge must fail.
+    assert {r[4] for r in sorted_} == ({0, 2} if unique else {0, 2, -2})
+
+
 def test_rows_that_failed_a_check_stay_hidden_under_a_patch(spark, house):
     rows_in = spark.range(200).selectExpr(
         "CAST(id AS INT) AS k", "0 AS n", "'a' AS v", "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS updated_at",

@@ -15,6 +15,10 @@ PART = "__part"
 #: Characters of one property; some catalogs refuse more than 4,000.
 _CHUNK = 3500
 _PREFIX = "tidemark.layout."
+#: Rows of one part that a task may hold in memory to look keys up in.
+HASHED_ROWS = 200_000
+#: So few rows in all that Spark broadcasts them by itself.
+_BROADCAST_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -68,6 +72,10 @@ class Layout:
             found.setdefault((self.parts[part].run, patch), []).append(part)
         return found
 
+    def hashed(self, parts: Iterable[int] | None = None) -> bool:
+        """Whether a task can hold the keys of its part's patch in memory (see `may_be_hashed`)."""
+        return may_be_hashed([self.patches[part][1] for part in self._listed(parts) if part in self.patches])
+
     def patch_pieces(self, parts: Iterable[int] | None = None) -> dict[str, list[int]]:
         """The patched parts (all, or those asked for) by the run of the patch."""
         found: dict[str, list[int]] = {}
@@ -76,6 +84,16 @@ class Layout:
                 found.setdefault(self.patches[part][0], []).append(part)
         return found
 
+    def patched_since(self, newer: Layout, parts: Iterable[int]) -> bool:
+        """Whether in each of these parts a newer layout differs from this one by its patch alone."""
+        listed = list(parts)
+        same = all(
+            part in newer.patches and part in self.parts and self.parts[part].run == newer.parts[part].run
+            for part in listed
+        )
+        before = any(part in self.patches for part in listed)
+        return bool(listed) and same and not (before and self.patch_keys != newer.patch_keys)
+
     def _listed(self, parts: Iterable[int] | None) -> list[int]:
         return sorted(self.parts if parts is None else set(parts) & set(self.parts))
 
@@ -182,6 +200,17 @@ def part_of(columns: Iterable[str], count: int) -> Column:
     return F.pmod(F.hash(*[quoted(c) for c in columns]), F.lit(count))
 
 
+def rows_by_part(df: DataFrame, layout: Layout) -> dict[int, int]:
+    """How many rows of ``df`` lie in which part: one number for each part at most."""
+    return {row[0]: row[1] for row in df.groupBy(layout.place().alias(PART)).count().collect()}
+
+
 def parts_touched(df: DataFrame, layout: Layout) -> list[int]:
-    """The parts in which the rows of ``df`` lie: one number for each part at most."""
-    return sorted(row[0] for row in df.select(layout.place().alias(PART)).distinct().collect())
+    """The parts in which the rows of ``df`` lie."""
+    return sorted(rows_by_part(df, layout))
+
+
+def may_be_hashed(rows: Iterable[int]) -> bool:
+    """Whether so many rows of single parts are better looked up in memory than sorted with the table."""
+    listed = list(rows)
+    return sum(listed) > _BROADCAST_ROWS and max(listed) <= HASHED_ROWS

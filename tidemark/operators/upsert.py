@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import all_not_null, quoted
 
 _NEW = "__new"
 _COUNT = "__count"
-#: Whether the target has a source row's key, where that has been found out before.
+_TIMES = "__times"
+_RANK = "__rank"
+#: How many target rows have a source row's key, where that has been found out before:
+#: 0 for an insert, negative if several source rows share the key of a target row.
 KNOWN = "__known"
 
 
@@ -63,19 +66,31 @@ def _matched(keys: Sequence[str]) -> Column:
     return F.when(F.col(_COUNT) > 1, F.raise_error(message)).otherwise(F.col(_COUNT).isNotNull())
 
 
-def _found(target: DataFrame, incoming: DataFrame, keys: Sequence[str], null_safe: bool) -> DataFrame:
-    """The incoming keys that the target has, and whether one of its rows differs from the source's.
+def hashed_if(df: DataFrame, hashed: bool) -> DataFrame:
+    """The side of a join whose rows, if they are ``hashed``, are so few that each task can
+    hold its share of them in memory; the other side is then not sorted."""
+    return df.hint("shuffle_hash") if hashed else df
 
-    The target is joined to the incoming keys before anything of it is grouped,
-    so a source under Spark's broadcast threshold moves no target row.
+
+def _found(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_safe: bool, unique: bool, hashed: bool
+) -> DataFrame:
+    """The source's keys that the target has, in how many rows, and whether one of them differs.
+
+    Of source rows that share a key one is compared. The target is joined to them
+    before anything of it is grouped, so a source under Spark's broadcast
+    threshold moves no target row.
     """
-    row = F.struct(*[quoted(c) for c in target.columns])
+    if not unique:
+        window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*[quoted(k) for k in keys])
+        source = source.withColumn(_RANK, F.row_number().over(window)).filter(f"{_RANK} = 1").drop(_RANK)
+    columns = [quoted(c) for c in target.columns]
+    incoming = source.select(*_renamed_keys(source, keys), F.struct(*columns).alias(_NEW))
     names = [f"__key{i}" for i in range(len(keys))]
     return (
-        target.join(incoming, _same_key(keys, null_safe), "inner")
+        target.join(hashed_if(incoming, hashed), _same_key(keys, null_safe), "inner")
         .groupBy(*names)
-        .agg(F.max(~row.eqNullSafe(F.col(_NEW))).alias("__differs"))
-        .select(*[F.col(n).alias(f"{n}_found") for n in names], "__differs")
+        .agg(F.max(~F.struct(*columns).eqNullSafe(F.col(_NEW))).alias("__differs"), F.count("*").alias(_TIMES))
     )
 
 
@@ -85,6 +100,7 @@ def effective(
     keys: Sequence[str],
     null_safe: bool = False,
     source_is_unique: bool = False,
+    hashed: bool = False,
 ) -> DataFrame:
     """The source rows whose merge would change the target, or fail.
 
@@ -92,45 +108,32 @@ def effective(
     key that the target lacks, with a key of which some target row differs, and
     rows that share their key (an error that the merge must raise, or several
     inserts). Merging them alone gives the same table as merging all. The column
-    `KNOWN` says whether the target has the key; `upsert` needs not look again.
+    `KNOWN` says how many target rows have the key; `upsert` needs not look again.
 
     All target rows of a key count; ``target`` may be limited to parts that hold
-    every row of the incoming keys.
+    every row of the incoming keys. It is read once, and not sorted if the source
+    is ``hashed`` (see `hashed_if`).
     """
     keys = list(keys)
     source = aligned(source, target)
     keyed = source if null_safe else source.filter(all_not_null(keys))
-    incoming = _one_per_key(keyed, keys, source_is_unique)
-    names = [f"__key{i}" for i in range(len(keys))]
-    pairs = [(F.col(n), F.col(f"{n}_found")) for n in names]
-    same = reduce(lambda a, b: a & b, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
-    known = F.col("__differs").isNotNull().alias(KNOWN)
-
+    found = _found(target, keyed, keys, null_safe, source_is_unique, hashed)
+    times = F.coalesce(F.col(_TIMES), F.lit(0).cast("bigint"))
+    acts, known, rows = F.coalesce(F.col("__differs"), F.lit(True)), times, keyed
+    if not source_is_unique:
+        rows = keyed.withColumn(_COUNT, F.count("*").over(Window.partitionBy(*[quoted(k) for k in keys])))
+        several = F.col(_COUNT) > 1
+        acts, known = several | acts, F.when(several, -times).otherwise(times)
+    merged = (
+        rows.join(hashed_if(found, hashed), _same_key(keys, null_safe), "left")
+        .filter(acts)
+        .select(*[quoted(c) for c in source.columns], known.alias(KNOWN))
+    )
+    if null_safe:
+        return merged
     # Rows with NULL keys come first: a union whose pieces are partitioned alike is
     # seen to be so only if its first one has not lost the NULLs.
-    acting = []
-    if not null_safe:
-        acting.append(source.filter(~all_not_null(keys)).withColumn(KNOWN, F.lit(False)))
-    single = incoming.filter(F.col(_COUNT) == 1)
-    acting.append(
-        single.join(_found(target, single, keys, null_safe), same, "left")
-        .filter(F.coalesce(F.col("__differs"), F.lit(True)))
-        # The keys themselves are passed on, which keeps their partitioning.
-        .select(
-            *[
-                F.col(names[keys.index(c)] if c in keys else f"{_NEW}.`{c}`").alias(c)
-                for c in source.columns
-            ],
-            known,
-        )
-    )
-    if not source_is_unique:
-        several = incoming.filter(F.col(_COUNT) > 1)
-        listed = several.join(_found(target, several, keys, null_safe), same, "left").select(*names, known)
-        acting.append(
-            keyed.join(listed, _same_key(keys, null_safe), "inner").select(*[quoted(c) for c in source.columns], KNOWN)
-        )
-    return reduce(DataFrame.unionByName, acting)
+    return source.filter(~all_not_null(keys)).withColumn(KNOWN, F.lit(0).cast("bigint")).unionByName(merged)
 
 
 def has_effect(
@@ -140,15 +143,19 @@ def has_effect(
     return not effective(target, source, keys, null_safe).isEmpty()
 
 
-def without_keys(target: DataFrame, gone: DataFrame, keys: Sequence[str], null_safe: bool = True) -> DataFrame:
+def without_keys(
+    target: DataFrame, gone: DataFrame, keys: Sequence[str], null_safe: bool = True, hashed: bool = False
+) -> DataFrame:
     """The target rows whose key is not among ``gone``, NULLs compared as equal (unless told not to)."""
     listed = gone.select(*_renamed_keys(gone, keys))
-    return target.join(listed.distinct() if null_safe else listed, _same_key(keys, null_safe), "left_anti")
+    listed = listed.distinct() if null_safe else listed
+    return target.join(hashed_if(listed, hashed), _same_key(keys, null_safe), "left_anti")
 
 
-def with_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def with_keys(target: DataFrame, source: DataFrame, keys: Sequence[str], hashed: bool = False) -> DataFrame:
     """The target rows that the source has a row for, by plain equality of keys."""
-    return target.join(source.select(*_renamed_keys(source, keys)), _same_key(keys, null_safe=False), "left_semi")
+    listed = hashed_if(source.select(*_renamed_keys(source, keys)), hashed)
+    return target.join(listed, _same_key(keys, null_safe=False), "left_semi")
 
 
 def marked(source: DataFrame, listed: DataFrame, keys: Sequence[str], mark: str) -> DataFrame:
@@ -192,8 +199,8 @@ def upsert(
     """
     columns = target.columns
     told = KNOWN in source.columns
-    inserts = aligned(source.filter(f"NOT {KNOWN}").drop(KNOWN), target) if told else None
-    source = aligned(source.filter(KNOWN).drop(KNOWN) if told else source, target)
+    inserts = aligned(source.filter(f"{KNOWN} = 0").drop(KNOWN), target) if told else None
+    source = aligned(source.filter(f"{KNOWN} <> 0").drop(KNOWN) if told else source, target)
     bypass = []
     if not null_safe:
         bypass = [side.filter(~all_not_null(keys)) for side in (target, source)]

@@ -57,13 +57,17 @@ def mark_text(df: DataFrame, column: str, where: Column | None = None) -> Column
     return highest.cast("string")
 
 
+def text_is_ordered(dtype: str) -> bool:
+    """Whether rendered marks are ordered like their text: text is, and dates and times of four-digit years."""
+    return dtype == "string" or dtype.startswith(("timestamp", "date"))
+
+
 def latest_mark(spark: SparkSession, texts: Iterable[str], dtype: str) -> str | None:
     """The highest of several rendered marks of one type."""
     found = sorted(set(texts))
     if len(found) < 2:
         return found[0] if found else None
-    # Dates and times of four-digit years are ordered like their text, and so is text.
-    if dtype == "string" or (dtype.startswith(("timestamp", "date")) and found[0][0] not in "+-"):
+    if dtype == "string" or (text_is_ordered(dtype) and found[0][0] not in "+-"):
         return found[-1]
     values = spark.createDataFrame([(text,) for text in found], "text string")
     return values.orderBy(F.col("text").cast(dtype).desc()).first()[0]

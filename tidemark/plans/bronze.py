@@ -42,10 +42,8 @@ def ingest(
     # differently each time, so the slice is fetched once.
     fetched = warehouse.staged(LAYER, spec.name, source.read_since(spec, mark))
     changes = warehouse.staged_changes(LAYER, spec.name, fetched, spec.ingest_keys)
-    if changes.isEmpty():
-        return UNCHANGED
-    warehouse.merge(LAYER, spec.name, changes, keys=spec.ingest_keys, mark=spec.watermark)
-    return MERGED
+    merged = warehouse.merge(LAYER, spec.name, changes, keys=spec.ingest_keys, mark=spec.watermark)
+    return UNCHANGED if merged is None else MERGED
 
 
 def run_bronze(

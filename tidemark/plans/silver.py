@@ -87,8 +87,7 @@ def _update(warehouse: Warehouse, spec: TableSpec, lookback: str | None, clear_r
     valid = accepted(rows)
     write_quarantine(warehouse, spec, rejected(rows), valid if clear_repaired else None)
     changes = warehouse.staged_changes("silver", name, valid, spec.keys, source_is_unique=True)
-    if not changes.isEmpty():
-        warehouse.merge("silver", name, changes, spec.keys, mark_column, source_is_unique=True)
+    warehouse.merge("silver", name, changes, spec.keys, mark_column, source_is_unique=True)
 
 
 def write_quarantine(
@@ -115,10 +114,7 @@ def write_quarantine(
         gone = staged(keys_among(warehouse.read("quarantine", name), repaired, spec.keys))
         if gone.isEmpty():
             gone = None
-    if gone is not None or not changes.isEmpty():
-        warehouse.merge(
-            "quarantine", name, changes, spec.keys, null_safe=True, source_is_unique=True, gone=gone
-        )
+    warehouse.merge("quarantine", name, changes, spec.keys, null_safe=True, source_is_unique=True, gone=gone)
 
 
 def run_silver(

@@ -26,6 +26,8 @@ COPIES = {table: ("order_id % 500 = {k}", {"order_id": "order_id + {k} * 1000000
 FATE = "coalesce(order_id, 0) % 8"
 SPOILED = "payment_installments <= 0"
 
+_COPY = "__copy"
+
 LATE = "order_id % 5 = 0"
 LOOKBACK_DAYS = 1000
 
@@ -36,13 +38,21 @@ def changed(table: str, rows: DataFrame, k: int) -> DataFrame:
     hit, values = HITS[table]
     hit = F.coalesce(F.expr(hit.format(k=k)), F.lit(False))
     fresh = {c: F.when(hit, F.expr(text.format(k=k))).otherwise(F.col(c)) for c, text in values.items()}
-    after = rows.withColumns(fresh | {"updated_at": F.when(hit, now).otherwise(F.col("updated_at"))})
-    if table in COPIES:
+    fresh["updated_at"] = F.when(hit, now).otherwise(F.col("updated_at"))
+    if table not in COPIES:
+        after = rows.withColumns(fresh)
+    else:
+        # A chosen row is there twice, changed and as its copy; so the table is read once.
         chosen, values = COPIES[table]
-        copies = rows.filter(chosen.format(k=k)).withColumns(
-            {c: F.expr(text.format(k=k)) for c, text in values.items()} | {"updated_at": now}
+        chosen = F.coalesce(F.expr(chosen.format(k=k)), F.lit(False))
+        both = F.when(chosen, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        copied = {c: F.expr(text.format(k=k)) for c, text in values.items()} | {"updated_at": now}
+        after = rows.withColumn(_COPY, F.explode(both)).withColumns(
+            {
+                c: F.when(F.col(_COPY), copied.get(c, F.col(c))).otherwise(fresh.get(c, F.col(c)))
+                for c in fresh | copied
+            }
         )
-        after = after.unionByName(copies)
     return after.select(*[F.col(f.name).cast(f.dataType) for f in rows.schema.fields])
 
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import plan_of, rows, ts
+from tidemark import layout as layout_module
 from tidemark.plans import marts
 from tidemark.plans.gold import customer_summary, fact_orders, product_summary
 from tidemark.plans.marts import KEPT, REBUILT, REFRESHED, publish_customers, publish_fact, publish_products, sales_changes
@@ -116,6 +117,25 @@ def test_three_change_sets_equal_full_builds(spark, house):
             assert house.read("gold", mart).dtypes == df.dtypes
 
 
+@pytest.mark.parametrize("hashed", [True, False])
+def test_patched_inputs_have_single_orders_built(spark, tmp_path, monkeypatch, hashed):
+    """Of few changed rows only the orders that they touch are built, not their whole parts."""
+    monkeypatch.setattr(layout_module, "_BROADCAST_ROWS", 0 if hashed else 10_000)
+    house = Warehouse(spark, root=str(tmp_path), namespace=f"o{uuid.uuid4().hex[:8]}_", parts=1)
+    shop = Shop(spark, house, 7)
+    assert shop.publish() == [REBUILT] * 3
+    for _ in range(2):
+        shop.change(orders=1, items=1)
+        house.merge("silver", "order_items", frame(spark, "order_items", [(None, 1, "p1", "2.00", "1.00")]), KEYS["order_items"])
+        assert shop.publish() == [REFRESHED] * 3
+        assert house.layout("silver", "order_items").patches and house.layout("gold", "fact_orders").patches
+        run = spark.table(house.name("gold", house.snapshot("gold", "fact_orders")))
+        assert 0 < run.count() < 12
+        for mart, df in shop.expected().items():
+            assert rows(house.read("gold", mart)) == rows(df), mart
+            assert house.rows("gold", mart) == df.count()
+
+
 def test_refresh_reads_changed_parts_only(spark, house):
     shop = Shop(spark, house, 4)
     shop.publish()
